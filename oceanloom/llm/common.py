@@ -24,13 +24,16 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The frame, written to the checkpoint folder and read from there.
-
-    The folder is the one that the session names, which executors share; a session without one (as in tests) gets a temporary one.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir, which executors share; where none is named, as in tests, a temporary one."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir")
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The frame, written to the shared folder and read from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oceanloom.llm import fingerprints, packing, toxicity
+from oceanloom.llm import chat, decontaminate, fingerprints, licenses, linededup, neardup, packing, quality, secrets, toxicity
 from oceanloom.llm.common import table
 
 
@@ -19,11 +20,63 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.removed_lines(table(spark, sf_dir, "documents"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "n_found", F.round("containment", 6).alias("containment"))
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_toxicity, op7_packing)}
-ORACLE_SQL: dict[str, str] = {}
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.grade(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("is_representative"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+#: Equal sets of (role, text) lists and their prefixes, by lists instead of hashes.
+CHAT_SQL = """
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations),
+c AS (SELECT conv_id, list(struct_pack(r := r, x := x) ORDER BY turn NULLS FIRST, r, x) AS l FROM t GROUP BY conv_id),
+m AS (SELECT min(conv_id) AS conv_id, count(*) AS n_copies, l FROM c GROUP BY l)
+SELECT conv_id, CAST(len(l) AS BIGINT) AS n_turns, n_copies, array_to_string(list_transform(l, lambda s: '<|' || s.r || '|>' || chr(10) || s.x || chr(10)), '') AS text
+FROM m WHERE NOT EXISTS (SELECT 1 FROM m b WHERE len(b.l) > len(m.l) AND b.l[1] = m.l[1] AND b.l[1:len(m.l)] = m.l)"""
+
+#: Exact containment of every item in every document, without a search.
+LEAKS_SQL = """
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5), LATERAL (SELECT array_to_string(w[i:i+4], ' ') AS s)),
+bs AS (SELECT DISTINCT item_id, s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM b WHERE len(w) >= 5), LATERAL (SELECT array_to_string(w[i:i+4], ' ') AS s)),
+n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id)
+SELECT doc_id, item_id, n_shingles, count(*) AS n_found, round(count(*) / n_shingles, 6) AS containment
+FROM bs JOIN ds USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= 0.8 * n_shingles"""
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_fingerprints, op2_toxicity, op3_secrets, op4_linededup, op5_decontaminate, op6_chat, op7_packing, op8_quality, op9_neardup, op10_licenses)
+} | {"pipeline": corpus_pipeline.run}
+ORACLE_SQL: dict[str, str] = ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}) | {"op5_decontaminate": LEAKS_SQL, "op6_chat": CHAT_SQL}
