@@ -13,16 +13,20 @@ settles nothing, against the others before it.  DataFrame functions only.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oceanloom.llm.common import cut
+from oceanloom.llm.common import cut, shared_folder
 
 SIMILARITY = 0.8
 CLASSES = 1 << 16
 HASH_BITS = 47
-#: Rows that may be broadcast; larger sides are shuffled.
-BROADCAST_ROWS = 500_000
+#: Bits of a signature; texts at any scale have far fewer signatures, and a clash only makes a pair to verify.
+SIGNATURE_BITS = 48
+#: Rows that may be broadcast, as one number each (about 32 MB); larger sides are shuffled.
+BROADCAST_ROWS = 1_000_000
 NULL_ID = (1 << 63) - 1
 
 
@@ -62,7 +66,7 @@ def lines(rows: DataFrame) -> DataFrame:
 
 
 def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
-    """``sig, doc, line, n, i`` from ``doc, line, k``.
+    """``sig, doc, line, ni`` from ``doc, line, k``; ni holds the set's size and the signature's place in its order.
 
     Sets of n and m words at Jaccard t share o >= t/(1+t) * (n+m) words.  The first unbroken neighbours end by word
     2(n-o) + (m-o) + 2 of the first set, which is (2-q)n - (q-1)m + 2 at most with q = 3t/(1+t), and m >= tn.  A set of one word is its own
@@ -73,7 +77,8 @@ def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
     n = F.size("k")
     count = F.greatest(F.lit(1), F.least(n - 1, F.floor(n * share + 1e-9).cast("int") + 1))
     at = keyed.select("doc", "line", "k", F.explode(F.sequence(F.lit(0), count - 1)).alias("i"))
-    return at.select(F.xxhash64(F.get("k", "i"), F.get("k", F.col("i") + 1)).alias("sig"), "doc", "line", F.size("k").alias("n"), "i")
+    sig = F.shiftrightunsigned(F.xxhash64(F.get("k", "i"), F.get("k", F.col("i") + 1)), 64 - SIGNATURE_BITS)
+    return at.select(sig.alias("sig"), "doc", "line", (F.shiftleft(F.size("k").cast("bigint"), 32) + F.col("i")).alias("ni"))
 
 
 def _may_match(n: Column, m: Column, i: Column, j: Column, t: float) -> Column:
@@ -85,37 +90,51 @@ def _may_match(n: Column, m: Column, i: Column, j: Column, t: float) -> Column:
 
 def _verified(pairs: DataFrame, rows: DataFrame, places: Column, t: float) -> DataFrame:
     """The pairs ``doc, line, doc0, line0`` whose Jaccard reaches t.  Only lines in pairs are read as words and moved."""
-    wanted = pairs.select("doc", "line").unionByName(pairs.select(F.col("doc0").alias("doc"), F.col("line0").alias("line"))).distinct()
-    sets = lines(rows).join(_if_small(wanted), ["doc", "line"], "left_semi").select("doc", "line", word_keys(F.col("value"), places).alias("k"))
+    wanted = cut(pairs.select(F.xxhash64("doc", "line").alias("id")).unionByName(pairs.select(F.xxhash64("doc0", "line0").alias("id"))).distinct())
+    some = lines(rows).withColumn("id", F.xxhash64("doc", "line")).join(_if_small(wanted), "id", "left_semi")
+    sets = some.select("doc", "line", word_keys(F.col("value"), places).alias("k"))
     both = pairs.join(sets, ["doc", "line"]).join(sets.select(F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("k").alias("k0")), ["doc0", "line0"])
     shared = F.size(F.array_intersect("k", "k0"))
     return both.withColumn("_s", shared).withColumn("jaccard", F.col("_s") / (F.size("k") + F.size("k0") - F.col("_s"))).where(F.col("jaccard") >= t).select("doc", "line", "doc0", "line0", "jaccard")
 
 
+def _size(ni: str) -> Column:
+    return F.shiftright(F.col(ni), 32)
+
+
+def _place(ni: str) -> Column:
+    return F.col(ni).bitwiseAND((1 << 32) - 1)
+
+
 def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc, line, doc0, line0, jaccard`` of every line that matches an earlier one, with one such line.
 
     Earlier is by ``doc_id``, then by place in the text; a line that is itself removed still counts as earlier.
     """
+    spark = docs.sparkSession
     rows = numbered(docs)
     places = F.split(F.lit(",".join(map(str, rarity_order(rows)))), ",").cast("array<bigint>")  # folded to one constant
     keyed = lines(rows).select("doc", "line", word_keys(F.col("value"), places).alias("k"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    signed = signatures(keyed, similarity).repartition(parts, "sig")
-    groups = signed.groupBy("sig").agg(F.min("doc").alias("doc0"), F.min_by("line", "doc").alias("line0"), F.min_by("n", "doc").alias("n0"), F.min_by("i", "doc").alias("i0"), F.count("*").alias("size")).where("size > 1")
-    spokes = signed.join(groups.hint("shuffle_hash"), "sig").where((F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0")))
-    spokes = cut(spokes.where(_may_match(F.col("n"), F.col("n0"), F.col("i"), F.col("i0"), similarity) | (F.col("size") > 2)).withColumn("ok", _may_match(F.col("n"), F.col("n0"), F.col("i"), F.col("i0"), similarity)))
+    signed = signatures(keyed, similarity).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sig")
+    groups = signed.groupBy("sig").agg(F.min("doc").alias("doc0"), F.min_by("line", "doc").alias("line0"), F.min_by("ni", "doc").alias("ni0"), F.count("*").alias("size")).where("size > 1")
+    may_match = _may_match(_size("ni"), _size("ni0"), _place("ni"), _place("ni0"), similarity)
+    found = signed.join(groups.hint("shuffle_hash"), "sig").where(((F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0"))) & (may_match | (F.col("size") > 2)))
+    folder = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
+    found.write.option("compression", "zstd").parquet(folder)
+    spokes = spark.read.parquet(folder)
     is_later = (F.col("doc") > F.col("doc0")) | ((F.col("doc") == F.col("doc0")) & (F.col("line") > F.col("line0")))
     swap = lambda a, b: F.when(is_later, F.col(a)).otherwise(F.col(b))
-    stars = spokes.where("ok").select(swap("doc", "doc0").alias("doc"), swap("line", "line0").alias("line"), swap("doc0", "doc").alias("doc0"), swap("line0", "line").alias("line0")).distinct()
+    stars = spokes.where(may_match).select(swap("doc", "doc0").alias("doc"), swap("line", "line0").alias("line"), swap("doc0", "doc").alias("doc0"), swap("line0", "line").alias("line0")).distinct()
     first = cut(_verified(cut(stars), rows, places, similarity))
 
     # Lines not settled yet, in groups of three or more, against all lines before them but the group's earliest.
-    crowd = spokes.where("size > 2").select("sig", "doc", "line", "n", "i")
+    crowd = spokes.where("size > 2").select("sig", "doc", "line", "ni")
     unsettled = crowd.join(first.select("doc", "line").distinct(), ["doc", "line"], "left_anti")
-    before = crowd.select("sig", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("n").alias("n0"), F.col("i").alias("i0"))
-    pairs = unsettled.join(before, "sig").where(is_later & _may_match(F.col("n"), F.col("n0"), F.col("i"), F.col("i0"), similarity)).select("doc", "line", "doc0", "line0").distinct()
-    second = _verified(cut(pairs), rows, places, similarity)
+    before = crowd.select("sig", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("ni").alias("ni0"))
+    pairs = unsettled.join(before, "sig").where(is_later & may_match).select("doc", "line", "doc0", "line0").distinct()
+    second = cut(_verified(cut(pairs), rows, places, similarity))
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     best = first.unionByName(second).groupBy("doc", "line").agg(F.min(F.struct("doc0", "line0", "jaccard")).alias("m"))
     return best.select("doc", "line", "m.doc0", "m.line0", "m.jaccard")
 
