@@ -66,7 +66,7 @@ def lines(rows: DataFrame) -> DataFrame:
 
 
 def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
-    """``sig, doc, line, ni`` from ``doc, line, k``; ni holds the set's size and the signature's place in its order.
+    """``sig, doc, line, about`` from ``doc, line, k``; about holds the set's size, eight bits of its hash, and the signature's place in its order.
 
     Sets of n and m words at Jaccard t share o >= t/(1+t) * (n+m) words.  The first unbroken neighbours end by word
     2(n-o) + (m-o) + 2 of the first set, which is (2-q)n - (q-1)m + 2 at most with q = 3t/(1+t), and m >= tn.  A set of one word is its own
@@ -76,9 +76,18 @@ def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
     share = (2 - q) - (q - 1) * similarity if q >= 1 else 2 - q + (1 - q) / similarity
     n = F.size("k")
     count = F.greatest(F.lit(1), F.least(n - 1, F.floor(n * share + 1e-9).cast("int") + 1))
-    at = keyed.select("doc", "line", "k", F.explode(F.sequence(F.lit(0), count - 1)).alias("i"))
+    at = keyed.select("doc", "line", "k", F.xxhash64("k").bitwiseAND(255).alias("e"), F.explode(F.sequence(F.lit(0), count - 1)).alias("i"))
     sig = F.shiftrightunsigned(F.xxhash64(F.get("k", "i"), F.get("k", F.col("i") + 1)), 64 - SIGNATURE_BITS)
-    return at.select(sig.alias("sig"), "doc", "line", (F.shiftleft(F.size("k").cast("bigint"), 32) + F.col("i")).alias("ni"))
+    about = F.shiftleft(F.size("k").cast("bigint"), 36) + F.shiftleft("e", 28) + F.col("i")
+    return at.select(sig.alias("sig"), "doc", "line", about.alias("about"))
+
+
+def _size(about: str) -> Column:
+    return F.shiftright(F.col(about), 36)
+
+
+def _place(about: str) -> Column:
+    return F.col(about).bitwiseAND((1 << 28) - 1)
 
 
 def _may_match(n: Column, m: Column, i: Column, j: Column, t: float) -> Column:
@@ -88,22 +97,30 @@ def _may_match(n: Column, m: Column, i: Column, j: Column, t: float) -> Column:
     return length & (bound * (1 + t) >= t * (n + m) - 1e-9)
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, places: Column, t: float) -> DataFrame:
-    """The pairs ``doc, line, doc0, line0`` whose Jaccard reaches t.  Only lines in pairs are read as words and moved."""
+def _words_of(pairs: DataFrame, rows: DataFrame, places: Column) -> DataFrame:
+    """``doc, line, k`` of the lines in pairs; no other line is read as words or moved."""
     wanted = cut(pairs.select(F.xxhash64("doc", "line").alias("id")).unionByName(pairs.select(F.xxhash64("doc0", "line0").alias("id"))).distinct())
     some = lines(rows).withColumn("id", F.xxhash64("doc", "line")).join(_if_small(wanted), "id", "left_semi")
-    sets = some.select("doc", "line", word_keys(F.col("value"), places).alias("k"))
-    both = pairs.join(sets, ["doc", "line"]).join(sets.select(F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("k").alias("k0")), ["doc0", "line0"])
-    shared = F.size(F.array_intersect("k", "k0"))
-    return both.withColumn("_s", shared).withColumn("jaccard", F.col("_s") / (F.size("k") + F.size("k0") - F.col("_s"))).where(F.col("jaccard") >= t).select("doc", "line", "doc0", "line0", "jaccard")
+    return some.select("doc", "line", word_keys(F.col("value"), places).alias("k"))
+
 
+def _beside(pairs: DataFrame, held: DataFrame, column: str) -> DataFrame:
+    """The pairs with both lines' column, the earlier line's as ``<column>0``."""
+    earlier = held.select(F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col(column).alias(f"{column}0"))
+    return pairs.join(held, ["doc", "line"]).join(earlier, ["doc0", "line0"])
 
-def _size(ni: str) -> Column:
-    return F.shiftright(F.col(ni), 32)
 
+def _equal(pairs: DataFrame, rows: DataFrame, places: Column) -> DataFrame:
+    """The pairs of equal sets, compared by a digest of 128 bits."""
+    digest = F.md5(F.array_join(F.transform("k", lambda x: x.cast("string")), ",").cast("binary"))
+    held = _words_of(pairs, rows, places).select("doc", "line", digest.alias("d"))
+    return _beside(pairs, held, "d").where("d = d0").select("doc", "line", "doc0", "line0", F.lit(1.0).alias("jaccard"))
 
-def _place(ni: str) -> Column:
-    return F.col(ni).bitwiseAND((1 << 32) - 1)
+
+def _verified(pairs: DataFrame, rows: DataFrame, places: Column, t: float) -> DataFrame:
+    """The pairs whose Jaccard reaches t."""
+    both = _beside(pairs, _words_of(pairs, rows, places), "k").withColumn("_s", F.size(F.array_intersect("k", "k0")))
+    return both.withColumn("jaccard", F.col("_s") / (F.size("k") + F.size("k0") - F.col("_s"))).where(F.col("jaccard") >= t).select("doc", "line", "doc0", "line0", "jaccard")
 
 
 def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -116,26 +133,32 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     places = F.split(F.lit(",".join(map(str, rarity_order(rows)))), ",").cast("array<bigint>")  # folded to one constant
     keyed = lines(rows).select("doc", "line", word_keys(F.col("value"), places).alias("k"))
     signed = signatures(keyed, similarity).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sig")
-    groups = signed.groupBy("sig").agg(F.min("doc").alias("doc0"), F.min_by("line", "doc").alias("line0"), F.min_by("ni", "doc").alias("ni0"), F.count("*").alias("size")).where("size > 1")
-    may_match = _may_match(_size("ni"), _size("ni0"), _place("ni"), _place("ni0"), similarity)
+    groups = signed.groupBy("sig").agg(F.min("doc").alias("doc0"), F.min_by("line", "doc").alias("line0"), F.min_by("about", "doc").alias("about0"), F.count("*").alias("size")).where("size > 1")
+    may_match = _may_match(_size("about"), _size("about0"), _place("about"), _place("about0"), similarity)
     found = signed.join(groups.hint("shuffle_hash"), "sig").where(((F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0"))) & (may_match | (F.col("size") > 2)))
     folder = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
     found.write.option("compression", "zstd").parquet(folder)
     spokes = spark.read.parquet(folder)
     is_later = (F.col("doc") > F.col("doc0")) | ((F.col("doc") == F.col("doc0")) & (F.col("line") > F.col("line0")))
     swap = lambda a, b: F.when(is_later, F.col(a)).otherwise(F.col(b))
-    stars = spokes.where(may_match).select(swap("doc", "doc0").alias("doc"), swap("line", "line0").alias("line"), swap("doc0", "doc").alias("doc0"), swap("line0", "line").alias("line0")).distinct()
-    first = cut(_verified(cut(stars), rows, places, similarity))
-
-    # Lines not settled yet, in groups of three or more, against all lines before them but the group's earliest.
-    crowd = spokes.where("size > 2").select("sig", "doc", "line", "ni")
-    unsettled = crowd.join(first.select("doc", "line").distinct(), ["doc", "line"], "left_anti")
-    before = crowd.select("sig", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("ni").alias("ni0"))
-    pairs = unsettled.join(before, "sig").where(is_later & may_match).select("doc", "line", "doc0", "line0").distinct()
-    second = cut(_verified(cut(pairs), rows, places, similarity))
+    in_order = [swap("doc", "doc0").alias("doc"), swap("line", "line0").alias("line"), swap("doc0", "doc").alias("doc0"), swap("line0", "line").alias("line0")]
+
+    # Lines that seem equal to a group's earliest are compared first: most matches are, and settled lines need no other test.
+    seems_equal = F.shiftright("about", 28) == F.shiftright("about0", 28)
+    same = cut(_equal(cut(spokes.where(seems_equal).select(*in_order).distinct()), rows, places))
+    settled = same.select("doc", "line").distinct()
+    stars = spokes.where(may_match).select(*in_order).distinct().join(settled, ["doc", "line"], "left_anti")
+    close = cut(_verified(cut(stars), rows, places, similarity))
+
+    # What is still open, in groups of three or more, against all lines before it but the group's earliest.
+    settled = settled.unionByName(close.select("doc", "line")).distinct()
+    crowd = spokes.where("size > 2").select("sig", "doc", "line", "about")
+    before = crowd.select("sig", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("about").alias("about0"))
+    pairs = crowd.join(settled, ["doc", "line"], "left_anti").join(before, "sig").where(is_later & may_match).select("doc", "line", "doc0", "line0").distinct()
+    rest = cut(_verified(cut(pairs), rows, places, similarity))
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    best = first.unionByName(second).groupBy("doc", "line").agg(F.min(F.struct("doc0", "line0", "jaccard")).alias("m"))
+    best = same.unionByName(close).unionByName(rest).groupBy("doc", "line").agg(F.min(F.struct("doc0", "line0", "jaccard")).alias("m"))
     return best.select("doc", "line", "m.doc0", "m.line0", "m.jaccard")
 
 
