@@ -6,7 +6,7 @@ keeps the join exact).  Two sets that reach the threshold differ in so few
 words that, in their shared order, some two neighbouring common words have no
 differing word between them within a prefix of each; these neighbours are the
 signatures.  Lines that share one are candidates, if their lengths and the
-signature's positions still allow the threshold, and are verified.  A line is
+signature's positions, and the parities of the sets, still allow the threshold, and are verified.  A line is
 tested against the earliest line of each of its signatures first, then, if that
 settles nothing, against the others before it.  DataFrame functions only.
 """
@@ -25,6 +25,8 @@ CLASSES = 1 << 16
 HASH_BITS = 47
 #: Bits of a signature; texts at any scale have far fewer signatures, and a clash only makes a pair to verify.
 SIGNATURE_BITS = 48
+#: A set's parities, and the largest size and place that are told apart.
+PARITY_BITS, FULL = 32, (1 << 16) - 1
 #: Rows that may be broadcast, as one number each (about 32 MB); larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 NULL_ID = (1 << 63) - 1
@@ -66,7 +68,8 @@ def lines(rows: DataFrame) -> DataFrame:
 
 
 def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
-    """``sig, doc, line, about`` from ``doc, line, k``; about holds the set's size, eight bits of its hash, and the signature's place in its order.
+    """``sig, doc, line, about`` from ``doc, line, k``; about holds the set's size (16 bits), the parity of its
+    words in each of 32 hash classes, and the signature's place in its order (16 bits).
 
     Sets of n and m words at Jaccard t share o >= t/(1+t) * (n+m) words.  The first unbroken neighbours end by word
     2(n-o) + (m-o) + 2 of the first set, which is (2-q)n - (q-1)m + 2 at most with q = 3t/(1+t), and m >= tn.  A set of one word is its own
@@ -76,25 +79,28 @@ def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
     share = (2 - q) - (q - 1) * similarity if q >= 1 else 2 - q + (1 - q) / similarity
     n = F.size("k")
     count = F.greatest(F.lit(1), F.least(n - 1, F.floor(n * share + 1e-9).cast("int") + 1))
-    at = keyed.select("doc", "line", "k", F.xxhash64("k").bitwiseAND(255).alias("e"), F.explode(F.sequence(F.lit(0), count - 1)).alias("i"))
+    bits = F.array(*[F.lit(1 << b).cast("bigint") for b in range(PARITY_BITS)])
+    parity = F.aggregate("k", F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseXOR(F.get(bits, w.bitwiseAND(PARITY_BITS - 1).cast("int"))))
+    at = keyed.select("doc", "line", "k", parity.alias("e"), F.explode(F.sequence(F.lit(0), count - 1)).alias("i"))
     sig = F.shiftrightunsigned(F.xxhash64(F.get("k", "i"), F.get("k", F.col("i") + 1)), 64 - SIGNATURE_BITS)
-    about = F.shiftleft(F.size("k").cast("bigint"), 36) + F.shiftleft("e", 28) + F.col("i")
+    most = F.lit(FULL).cast("bigint")
+    about = F.shiftleft(F.least(F.size("k").cast("bigint"), most), 48).bitwiseOR(F.shiftleft("e", 16)).bitwiseOR(F.least(F.col("i").cast("bigint"), most))
     return at.select(sig.alias("sig"), "doc", "line", about.alias("about"))
 
 
-def _size(about: str) -> Column:
-    return F.shiftright(F.col(about), 36)
+def _may_match(t: float) -> Column:
+    """Length, positional and parity filters between ``about`` and ``about0``.
 
-
-def _place(about: str) -> Column:
-    return F.col(about).bitwiseAND((1 << 28) - 1)
-
-
-def _may_match(n: Column, m: Column, i: Column, j: Column, t: float) -> Column:
-    """Length filter and positional filter: what can still be shared before and after the two shared words."""
+    After the two shared words and before them there must be enough words to share.  The bits that differ between two sets'
+    parities can't outnumber the words that differ.  Sizes and places of FULL or more are not known, and pass.
+    """
+    n, m = (F.shiftrightunsigned(F.col(c), 48) for c in ("about", "about0"))
+    i, j = (F.col(c).bitwiseAND(FULL) for c in ("about", "about0"))
     length = F.least(n, m) >= t * F.greatest(n, m) - 1e-9
-    bound = F.least(i, j) + F.lit(2) + F.least(n - i, m - j) - F.lit(2)
-    return length & (bound * (1 + t) >= t * (n + m) - 1e-9)
+    bound = F.least(i, j) + F.least(n - i, m - j)
+    odd = F.bit_count(F.shiftrightunsigned(F.col("about").bitwiseXOR(F.col("about0")), 16).bitwiseAND((1 << PARITY_BITS) - 1))
+    near = (bound * (1 + t) >= t * (n + m) - 1e-9) & (odd <= (n + m) * ((1 - t) / (1 + t)) + 1e-9)
+    return length & (near | (n >= FULL) | (m >= FULL))
 
 
 def _words_of(pairs: DataFrame, rows: DataFrame, places: Column) -> DataFrame:
@@ -134,7 +140,7 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     keyed = lines(rows).select("doc", "line", word_keys(F.col("value"), places).alias("k"))
     signed = signatures(keyed, similarity).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sig")
     groups = signed.groupBy("sig").agg(F.min("doc").alias("doc0"), F.min_by("line", "doc").alias("line0"), F.min_by("about", "doc").alias("about0"), F.count("*").alias("size")).where("size > 1")
-    may_match = _may_match(_size("about"), _size("about0"), _place("about"), _place("about0"), similarity)
+    may_match = _may_match(similarity)
     found = signed.join(groups.hint("shuffle_hash"), "sig").where(((F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0"))) & (may_match | (F.col("size") > 2)))
     folder = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
     found.write.option("compression", "zstd").parquet(folder)
@@ -144,7 +150,7 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     in_order = [swap("doc", "doc0").alias("doc"), swap("line", "line0").alias("line"), swap("doc0", "doc").alias("doc0"), swap("line0", "line").alias("line0")]
 
     # Lines that seem equal to a group's earliest are compared first: most matches are, and settled lines need no other test.
-    seems_equal = F.shiftright("about", 28) == F.shiftright("about0", 28)
+    seems_equal = F.shiftright("about", 16) == F.shiftright("about0", 16)
     same = cut(_equal(cut(spokes.where(seems_equal).select(*in_order).distinct()), rows, places))
     settled = same.select("doc", "line").distinct()
     stars = spokes.where(may_match).select(*in_order).distinct().join(settled, ["doc", "line"], "left_anti")
