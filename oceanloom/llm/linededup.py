@@ -79,9 +79,10 @@ def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
     share = (2 - q) - (q - 1) * similarity if q >= 1 else 2 - q + (1 - q) / similarity
     n = F.size("k")
     count = F.greatest(F.lit(1), F.least(n - 1, F.floor(n * share + 1e-9).cast("int") + 1))
-    bits = F.array(*[F.lit(1 << b).cast("bigint") for b in range(PARITY_BITS)])
-    parity = F.aggregate("k", F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseXOR(F.get(bits, w.bitwiseAND(PARITY_BITS - 1).cast("int"))))
-    at = keyed.select("doc", "line", "k", parity.alias("e"), F.explode(F.sequence(F.lit(0), count - 1)).alias("i"))
+    one = F.lit(1).cast("bigint")
+    parity = F.aggregate("k", F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", one, w.bitwiseAND(PARITY_BITS - 1).cast("int"))))
+    marked = keyed.select("doc", "line", "k", parity.alias("e"))  # before the explode, or it would be found again for each signature
+    at = marked.select("doc", "line", "k", "e", F.explode(F.sequence(F.lit(0), count - 1)).alias("i"))
     sig = F.shiftrightunsigned(F.xxhash64(F.get("k", "i"), F.get("k", F.col("i") + 1)), 64 - SIGNATURE_BITS)
     most = F.lit(FULL).cast("bigint")
     about = F.shiftleft(F.least(F.size("k").cast("bigint"), most), 48).bitwiseOR(F.shiftleft("e", 16)).bitwiseOR(F.least(F.col("i").cast("bigint"), most))
