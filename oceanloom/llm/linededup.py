@@ -150,18 +150,20 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     swap = lambda a, b: F.when(is_later, F.col(a)).otherwise(F.col(b))
     in_order = [swap("doc", "doc0").alias("doc"), swap("line", "line0").alias("line"), swap("doc0", "doc").alias("doc0"), swap("line0", "line").alias("line0")]
 
-    # Lines that seem equal to a group's earliest are compared first: most matches are, and settled lines need no other test.
-    seems_equal = F.shiftright("about", 16) == F.shiftright("about0", 16)
+    # Lines that seem equal to the earliest with their first signature are compared first: most matches are, and settled lines
+    # need no other test.
+    seems_equal = (F.col("about") == F.col("about0")) & (F.col("about").bitwiseAND(FULL) == 0)
     same = cut(_equal(cut(spokes.where(seems_equal).select(*in_order).distinct()), rows, places))
-    settled = same.select("doc", "line").distinct()
-    stars = spokes.where(may_match).select(*in_order).distinct().join(settled, ["doc", "line"], "left_anti")
+    settled = cut(same.select("doc", "line").distinct())
+    stars = spokes.where(may_match).select(*in_order).join(_if_small(settled), ["doc", "line"], "left_anti").distinct()
     close = cut(_verified(cut(stars), rows, places, similarity))
 
     # What is still open, in groups of three or more, against all lines before it but the group's earliest.
-    settled = settled.unionByName(close.select("doc", "line")).distinct()
+    settled = cut(settled.unionByName(close.select("doc", "line")).distinct())
     crowd = spokes.where("size > 2").select("sig", "doc", "line", "about")
-    before = crowd.select("sig", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("about").alias("about0"))
-    pairs = crowd.join(settled, ["doc", "line"], "left_anti").join(before, "sig").where(is_later & may_match).select("doc", "line", "doc0", "line0").distinct()
+    unsettled = cut(crowd.join(_if_small(settled), ["doc", "line"], "left_anti"))
+    before = crowd.join(_if_small(cut(unsettled.select("sig").distinct())), "sig", "left_semi").select("sig", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("about").alias("about0"))
+    pairs = unsettled.join(before, "sig").where(is_later & may_match).select("doc", "line", "doc0", "line0").distinct()
     rest = cut(_verified(cut(pairs), rows, places, similarity))
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
