@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,3 +38,9 @@ def cut(df: DataFrame) -> DataFrame:
     """The frame, written to the shared folder and read from there."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of frames that nothing refers to any more, instead of at its next collection."""
+    gc.collect()
+    spark._jvm.System.gc()

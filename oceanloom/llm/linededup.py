@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oceanloom.llm.common import cut, shared_folder
+from oceanloom.llm.common import cut, release, shared_folder
 
 SIMILARITY = 0.8
 CLASSES = 1 << 16
@@ -145,6 +145,8 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     found = signed.join(groups.hint("shuffle_hash"), "sig").where(((F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0"))) & (may_match | (F.col("size") > 2)))
     folder = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
     found.write.option("compression", "zstd").parquet(folder)
+    del keyed, signed, groups, found
+    release(spark)  # the signatures' shuffle is the largest
     spokes = spark.read.parquet(folder)
     is_later = (F.col("doc") > F.col("doc0")) | ((F.col("doc") == F.col("doc0")) & (F.col("line") > F.col("line0")))
     swap = lambda a, b: F.when(is_later, F.col(a)).otherwise(F.col(b))
@@ -155,16 +157,22 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     seems_equal = (F.col("about") == F.col("about0")) & (F.col("about").bitwiseAND(FULL) == 0)
     same = cut(_equal(cut(spokes.where(seems_equal).select(*in_order).distinct()), rows, places))
     settled = cut(same.select("doc", "line").distinct())
+    release(spark)
     stars = spokes.where(may_match).select(*in_order).join(_if_small(settled), ["doc", "line"], "left_anti").distinct()
     close = cut(_verified(cut(stars), rows, places, similarity))
 
     # What is still open, in groups of three or more, against all lines before it but the group's earliest.
     settled = cut(settled.unionByName(close.select("doc", "line")).distinct())
+    del stars
+    release(spark)
     crowd = spokes.where("size > 2").select("sig", "doc", "line", "about")
     unsettled = cut(crowd.join(_if_small(settled), ["doc", "line"], "left_anti"))
     before = crowd.join(_if_small(cut(unsettled.select("sig").distinct())), "sig", "left_semi").select("sig", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("about").alias("about0"))
     pairs = unsettled.join(before, "sig").where(is_later & may_match).select("doc", "line", "doc0", "line0").distinct()
-    rest = cut(_verified(cut(pairs), rows, places, similarity))
+    pairs = cut(pairs)
+    del before, unsettled, crowd
+    release(spark)
+    rest = cut(_verified(pairs, rows, places, similarity))
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     best = same.unionByName(close).unionByName(rest).groupBy("doc", "line").agg(F.min(F.struct("doc0", "line0", "jaccard")).alias("m"))
