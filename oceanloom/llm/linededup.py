@@ -8,12 +8,14 @@ differing word between them within a prefix of each; these neighbours are the
 signatures.  Lines that share one are candidates, if their lengths and the
 signature's positions, and the parities of the sets, still allow the threshold, and are verified.  A line is
 tested against the earliest line of each of its signatures first, then, if that
-settles nothing, against the others before it.  DataFrame functions only.
+settles nothing, against the others before it.  Lines of the same text, but for case and
+outer spaces, match the first of them and stay out of the join.  DataFrame functions only.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 from oceanloom.llm.common import cut, release, shared_folder
 
 SIMILARITY = 0.8
-CLASSES = 1 << 16
+CLASS_BITS = 16
+CLASSES = 1 << CLASS_BITS
 HASH_BITS = 47
 #: Bits of a signature; texts at any scale have far fewer signatures, and a clash only makes a pair to verify.
 SIGNATURE_BITS = 48
@@ -30,16 +33,28 @@ PARITY_BITS, FULL = 32, (1 << 16) - 1
 #: Rows that may be broadcast, as one number each (about 32 MB); larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 NULL_ID = (1 << 63) - 1
+#: White space besides the plain space and the line break.
+OTHER_SPACES = ("\t", "\x0b", "\f", "\r")
 
 
 def _if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def _holds_any(text: Column, *parts: str) -> Column:
+    return reduce(lambda a, b: a | b, [text.contains(p) for p in parts])
+
+
+def _class_of(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 64 - CLASS_BITS)
+
+
 def rarity_order(texts: DataFrame) -> list[int]:
     """Place of each word class from rare to common, over all words of all texts; CLASSES numbers."""
-    word = texts.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("w")).where("w != ''")
-    counts = {r["c"]: r["count"] for r in word.groupBy(F.pmod(F.xxhash64("w"), F.lit(CLASSES)).alias("c")).count().collect()}
+    low = F.replace(F.lower("text"), F.lit("\n"), F.lit(" "))
+    words = F.when(_holds_any(low, *OTHER_SPACES), F.split(low, r"\s+")).otherwise(F.split(low, " "))  # one plain space splits without a pattern
+    word = texts.select(F.explode(words).alias("w")).where("w != ''")
+    counts = {r["c"]: r["count"] for r in word.groupBy(_class_of(F.xxhash64("w")).alias("c")).count().collect()}
     place = [0] * CLASSES
     for k, c in enumerate(sorted(range(CLASSES), key=lambda c: (counts.get(c, 0), c))):
         place[c] = k
@@ -48,9 +63,10 @@ def rarity_order(texts: DataFrame) -> list[int]:
 
 def word_keys(line: Column, places: Column) -> Column:
     """The line's distinct words as numbers whose order is the rarity order: class place, then 47 bits of hash."""
-    hashes = F.transform(F.split(F.trim(F.lower(line)), r"\s+"), lambda w: F.xxhash64(w))
-    key = lambda h: F.shiftleft(F.get(places, F.pmod(h, F.lit(CLASSES)).cast("int")), HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
-    return F.sort_array(F.array_distinct(F.transform(hashes, key)))
+    low = F.trim(F.lower(line))
+    words = F.when(_holds_any(low, "  ", *OTHER_SPACES), F.split(low, r"\s+")).otherwise(F.split(low, " "))
+    key = lambda h: F.get(places, _class_of(h).cast("int")).bitwiseOR(h.bitwiseAND((1 << HASH_BITS) - 1))
+    return F.sort_array(F.array_distinct(F.transform(F.transform(words, lambda w: F.xxhash64(w)), key)))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -117,11 +133,17 @@ def _beside(pairs: DataFrame, held: DataFrame, column: str) -> DataFrame:
     return pairs.join(held, ["doc", "line"]).join(earlier, ["doc0", "line0"])
 
 
-def _equal(pairs: DataFrame, rows: DataFrame, places: Column) -> DataFrame:
-    """The pairs of equal sets, compared by a digest of 128 bits."""
-    digest = F.md5(F.array_join(F.transform("k", lambda x: x.cast("string")), ",").cast("binary"))
-    held = _words_of(pairs, rows, places).select("doc", "line", digest.alias("d"))
-    return _beside(pairs, held, "d").where("d = d0").select("doc", "line", "doc0", "line0", F.lit(1.0).alias("jaccard"))
+def _equal(rows: DataFrame) -> DataFrame:
+    """``doc, line, doc0, line0`` of every line whose text, but for case and outer spaces, an earlier line has, and the first such line.
+
+    Texts are compared by 128 bits of hash.  Counts and firsts are found before the shuffle, and the join has one row a text on
+    its other side, so that a text that most rows share can be split.
+    """
+    low = F.trim(F.lower("value"))
+    each = cut(lines(rows).select("doc", "line", F.xxhash64(low).alias("h"), F.xxhash64(F.lit(1), low).alias("g")))
+    first = each.groupBy("h", "g").agg(F.min(F.struct("doc", "line")).alias("m"), F.count("*").alias("size")).where("size > 1")
+    first = cut(first.select("h", "g", F.col("m.doc").alias("doc0"), F.col("m.line").alias("line0")))
+    return each.join(_if_small(first), ["h", "g"]).where("doc != doc0 or line != line0").select("doc", "line", "doc0", "line0")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, places: Column, t: float) -> DataFrame:
@@ -137,33 +159,27 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = numbered(docs)
-    places = F.split(F.lit(",".join(map(str, rarity_order(rows)))), ",").cast("array<bigint>")  # folded to one constant
-    keyed = lines(rows).select("doc", "line", word_keys(F.col("value"), places).alias("k"))
+    places = F.split(F.lit(",".join(str(p << HASH_BITS) for p in rarity_order(rows))), ",").cast("array<bigint>")  # folded to one constant
+    same = cut(_equal(rows))
+    fresh = lines(rows).join(_if_small(same.select("doc", "line")), ["doc", "line"], "left_anti")
+    keyed = fresh.select("doc", "line", word_keys(F.col("value"), places).alias("k"))
     signed = signatures(keyed, similarity).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sig")
     groups = signed.groupBy("sig").agg(F.min("doc").alias("doc0"), F.min_by("line", "doc").alias("line0"), F.min_by("about", "doc").alias("about0"), F.count("*").alias("size")).where("size > 1")
     may_match = _may_match(similarity)
     found = signed.join(groups.hint("shuffle_hash"), "sig").where(((F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0"))) & (may_match | (F.col("size") > 2)))
     folder = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
     found.write.option("compression", "zstd").parquet(folder)
-    del keyed, signed, groups, found
+    del fresh, keyed, signed, groups, found
     release(spark)  # the signatures' shuffle is the largest
     spokes = spark.read.parquet(folder)
     is_later = (F.col("doc") > F.col("doc0")) | ((F.col("doc") == F.col("doc0")) & (F.col("line") > F.col("line0")))
     swap = lambda a, b: F.when(is_later, F.col(a)).otherwise(F.col(b))
     in_order = [swap("doc", "doc0").alias("doc"), swap("line", "line0").alias("line"), swap("doc0", "doc").alias("doc0"), swap("line0", "line").alias("line0")]
 
-    # Lines that seem equal to the earliest with their first signature are compared first: most matches are, and settled lines
-    # need no other test.
-    seems_equal = (F.col("about") == F.col("about0")) & (F.col("about").bitwiseAND(FULL) == 0)
-    same = cut(_equal(cut(spokes.where(seems_equal).select(*in_order).distinct()), rows, places))
-    settled = cut(same.select("doc", "line").distinct())
-    release(spark)
-    stars = spokes.where(may_match).select(*in_order).join(_if_small(settled), ["doc", "line"], "left_anti").distinct()
-    close = cut(_verified(cut(stars), rows, places, similarity))
+    close = cut(_verified(cut(spokes.where(may_match).select(*in_order).distinct()), rows, places, similarity))
 
     # What is still open, in groups of three or more, against all lines before it but the group's earliest.
-    settled = cut(settled.unionByName(close.select("doc", "line")).distinct())
-    del stars
+    settled = cut(close.select("doc", "line").distinct())
     release(spark)
     crowd = spokes.where("size > 2").select("sig", "doc", "line", "about")
     unsettled = cut(crowd.join(_if_small(settled), ["doc", "line"], "left_anti"))
@@ -175,8 +191,9 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     rest = cut(_verified(pairs, rows, places, similarity))
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    best = same.unionByName(close).unionByName(rest).groupBy("doc", "line").agg(F.min(F.struct("doc0", "line0", "jaccard")).alias("m"))
-    return best.select("doc", "line", "m.doc0", "m.line0", "m.jaccard")
+    same = same.withColumn("jaccard", F.lit(1.0))
+    best = close.unionByName(rest).groupBy("doc", "line").agg(F.min(F.struct("doc0", "line0", "jaccard")).alias("m"))
+    return same.unionByName(best.select("doc", "line", "m.doc0", "m.line0", "m.jaccard"))
 
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
