@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of frames that nothing refers to any more, instead of at its next collection."""
-    gc.collect()
-    spark._jvm.System.gc()
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within this, Spark removes a job's shuffle files when the job ends, instead of at its next collection.
+
+    What later steps read has been written by then; a frame that is run again makes its shuffles anew.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

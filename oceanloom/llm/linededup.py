@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oceanloom.llm.common import cut, release, shared_folder
+from oceanloom.llm.common import cut, shared_folder, shuffles_dropped
 
 SIMILARITY = 0.8
 CLASS_BITS = 16
@@ -148,7 +148,8 @@ def _equal(rows: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, rows: DataFrame, places: Column, t: float) -> DataFrame:
     """The pairs whose Jaccard reaches t."""
-    both = _beside(pairs, _words_of(pairs, rows, places), "k").withColumn("_s", F.size(F.array_intersect("k", "k0")))
+    held = cut(_words_of(pairs, rows, places))  # both sides read it
+    both = _beside(pairs, held, "k").withColumn("_s", F.size(F.array_intersect("k", "k0")))
     return both.withColumn("jaccard", F.col("_s") / (F.size("k") + F.size("k0") - F.col("_s"))).where(F.col("jaccard") >= t).select("doc", "line", "doc0", "line0", "jaccard")
 
 
@@ -157,6 +158,11 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     Earlier is by ``doc_id``, then by place in the text; a line that is itself removed still counts as earlier.
     """
+    with shuffles_dropped(docs.sparkSession):
+        return _later_matches(docs, similarity)
+
+
+def _later_matches(docs: DataFrame, similarity: float) -> DataFrame:
     spark = docs.sparkSession
     rows = numbered(docs)
     places = F.split(F.lit(",".join(str(p << HASH_BITS) for p in rarity_order(rows))), ",").cast("array<bigint>")  # folded to one constant
@@ -169,8 +175,6 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     found = signed.join(groups.hint("shuffle_hash"), "sig").where(((F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0"))) & (may_match | (F.col("size") > 2)))
     folder = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
     found.write.option("compression", "zstd").parquet(folder)
-    del fresh, keyed, signed, groups, found
-    release(spark)  # the signatures' shuffle is the largest
     spokes = spark.read.parquet(folder)
     is_later = (F.col("doc") > F.col("doc0")) | ((F.col("doc") == F.col("doc0")) & (F.col("line") > F.col("line0")))
     swap = lambda a, b: F.when(is_later, F.col(a)).otherwise(F.col(b))
@@ -180,14 +184,11 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     # What is still open, in groups of three or more, against all lines before it but the group's earliest.
     settled = cut(close.select("doc", "line").distinct())
-    release(spark)
     crowd = spokes.where("size > 2").select("sig", "doc", "line", "about")
     unsettled = cut(crowd.join(_if_small(settled), ["doc", "line"], "left_anti"))
     before = crowd.join(_if_small(cut(unsettled.select("sig").distinct())), "sig", "left_semi").select("sig", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("about").alias("about0"))
     pairs = unsettled.join(before, "sig").where(is_later & may_match).select("doc", "line", "doc0", "line0").distinct()
     pairs = cut(pairs)
-    del before, unsettled, crowd
-    release(spark)
     rest = cut(_verified(pairs, rows, places, similarity))
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
