@@ -28,8 +28,8 @@ CLASSES = 1 << CLASS_BITS
 HASH_BITS = 47
 #: Bits of a signature; texts at any scale have far fewer signatures, and a clash only makes a pair to verify.
 SIGNATURE_BITS = 48
-#: A set's parities, and the largest size and place that are told apart.
-PARITY_BITS, FULL = 32, (1 << 16) - 1
+#: A set's parities (a full number: 32 bits let most unrelated sets of 70 words pass), and the largest size and place that are told apart.
+PARITY_BITS, FULL = 64, (1 << 16) - 1
 #: Rows that may be broadcast, as one number each (about 32 MB); larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 NULL_ID = (1 << 63) - 1
@@ -84,8 +84,8 @@ def lines(rows: DataFrame) -> DataFrame:
 
 
 def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
-    """``sig, doc, line, about`` from ``doc, line, k``; about holds the set's size (16 bits), the parity of its
-    words in each of 32 hash classes, and the signature's place in its order (16 bits).
+    """``sig, doc, line, about, odd`` from ``doc, line, k``; about holds the set's size and the signature's place in
+    its order (16 bits), odd the parity of its words in each of 64 hash classes.
 
     Sets of n and m words at Jaccard t share o >= t/(1+t) * (n+m) words.  The first unbroken neighbours end by word
     2(n-o) + (m-o) + 2 of the first set, which is (2-q)n - (q-1)m + 2 at most with q = 3t/(1+t), and m >= tn.  A set of one word is its own
@@ -97,25 +97,25 @@ def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
     count = F.greatest(F.lit(1), F.least(n - 1, F.floor(n * share + 1e-9).cast("int") + 1))
     one = F.lit(1).cast("bigint")
     parity = F.aggregate("k", F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", one, w.bitwiseAND(PARITY_BITS - 1).cast("int"))))
-    marked = keyed.select("doc", "line", "k", parity.alias("e"))  # before the explode, or it would be found again for each signature
-    at = marked.select("doc", "line", "k", "e", F.explode(F.sequence(F.lit(0), count - 1)).alias("i"))
+    marked = keyed.select("doc", "line", "k", parity.alias("odd"))  # before the explode, or it would be found again for each signature
+    at = marked.select("doc", "line", "k", "odd", F.explode(F.sequence(F.lit(0), count - 1)).alias("i"))
     sig = F.shiftrightunsigned(F.xxhash64(F.get("k", "i"), F.get("k", F.col("i") + 1)), 64 - SIGNATURE_BITS)
     most = F.lit(FULL).cast("bigint")
-    about = F.shiftleft(F.least(F.size("k").cast("bigint"), most), 48).bitwiseOR(F.shiftleft("e", 16)).bitwiseOR(F.least(F.col("i").cast("bigint"), most))
-    return at.select(sig.alias("sig"), "doc", "line", about.alias("about"))
+    about = F.shiftleft(F.least(F.size("k").cast("bigint"), most), 16).bitwiseOR(F.least(F.col("i").cast("bigint"), most))
+    return at.select(sig.alias("sig"), "doc", "line", about.alias("about"), "odd")
 
 
 def _may_match(t: float) -> Column:
-    """Length, positional and parity filters between ``about`` and ``about0``.
+    """Length, positional and parity filters between ``about, odd`` and ``about0, odd0``.
 
     After the two shared words and before them there must be enough words to share.  The bits that differ between two sets'
     parities can't outnumber the words that differ.  Sizes and places of FULL or more are not known, and pass.
     """
-    n, m = (F.shiftrightunsigned(F.col(c), 48) for c in ("about", "about0"))
+    n, m = (F.shiftrightunsigned(F.col(c), 16) for c in ("about", "about0"))
     i, j = (F.col(c).bitwiseAND(FULL) for c in ("about", "about0"))
     length = F.least(n, m) >= t * F.greatest(n, m) - 1e-9
     bound = F.least(i, j) + F.least(n - i, m - j)
-    odd = F.bit_count(F.shiftrightunsigned(F.col("about").bitwiseXOR(F.col("about0")), 16).bitwiseAND((1 << PARITY_BITS) - 1))
+    odd = F.bit_count(F.col("odd").bitwiseXOR(F.col("odd0")))
     near = (bound * (1 + t) >= t * (n + m) - 1e-9) & (odd <= (n + m) * ((1 - t) / (1 + t)) + 1e-9)
     return length & (near | (n >= FULL) | (m >= FULL))
 
@@ -170,7 +170,7 @@ def _later_matches(docs: DataFrame, similarity: float) -> DataFrame:
     fresh = lines(rows).join(_if_small(same.select("doc", "line")), ["doc", "line"], "left_anti")
     keyed = fresh.select("doc", "line", word_keys(F.col("value"), places).alias("k"))
     signed = signatures(keyed, similarity).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sig")
-    groups = signed.groupBy("sig").agg(F.min("doc").alias("doc0"), F.min_by("line", "doc").alias("line0"), F.min_by("about", "doc").alias("about0"), F.count("*").alias("size")).where("size > 1")
+    groups = signed.groupBy("sig").agg(F.min("doc").alias("doc0"), F.min_by("line", "doc").alias("line0"), F.min_by("about", "doc").alias("about0"), F.min_by("odd", "doc").alias("odd0"), F.count("*").alias("size")).where("size > 1")
     may_match = _may_match(similarity)
     found = signed.join(groups.hint("shuffle_hash"), "sig").where(((F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0"))) & (may_match | (F.col("size") > 2)))
     folder = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
@@ -184,9 +184,9 @@ def _later_matches(docs: DataFrame, similarity: float) -> DataFrame:
 
     # What is still open, in groups of three or more, against all lines before it but the group's earliest.
     settled = cut(close.select("doc", "line").distinct())
-    crowd = spokes.where("size > 2").select("sig", "doc", "line", "about")
+    crowd = spokes.where("size > 2").select("sig", "doc", "line", "about", "odd")
     unsettled = cut(crowd.join(_if_small(settled), ["doc", "line"], "left_anti"))
-    before = crowd.join(_if_small(cut(unsettled.select("sig").distinct())), "sig", "left_semi").select("sig", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("about").alias("about0"))
+    before = crowd.join(_if_small(cut(unsettled.select("sig").distinct())), "sig", "left_semi").select("sig", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("about").alias("about0"), F.col("odd").alias("odd0"))
     pairs = unsettled.join(before, "sig").where(is_later & may_match).select("doc", "line", "doc0", "line0").distinct()
     pairs = cut(pairs)
     rest = cut(_verified(pairs, rows, places, similarity))
