@@ -42,15 +42,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Within this, Spark removes a job's shuffle files when the job ends, instead of at its next collection.
-
-    What later steps read has been written by then; a frame that is run again makes its shuffles anew.
-    """
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Within this, the session has these settings."""
+    before = {k: spark.conf.get(k, None) for k in values}
     try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -1,8 +1,8 @@
 """Operator 4, line dedup: an exact set-similarity join of lines, at Jaccard 0.8, that removes later matches.
 
-A line is its set of lower-cased words, ordered from rare to common (by counts of
-65,536 hash classes of words over all documents; any order that all lines share
-keeps the join exact).  Two sets that reach the threshold differ in so few
+A line is its set of lower-cased words, ordered from rare to common (by the level of the
+count of a word's hash class, of 65,536, over all documents; any order that all lines
+share keeps the join exact).  Two sets that reach the threshold differ in so few
 words that, in their shared order, some two neighbouring common words have no
 differing word between them within a prefix of each; these neighbours are the
 signatures.  Lines that share one are candidates, if their lengths and the
@@ -16,23 +16,31 @@ from __future__ import annotations
 
 import uuid
 from functools import reduce
+from math import log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oceanloom.llm.common import cut, shared_folder, shuffles_dropped
+from oceanloom.llm.common import cut, settings, shared_folder
 
 SIMILARITY = 0.8
 CLASS_BITS = 16
 CLASSES = 1 << CLASS_BITS
-HASH_BITS = 47
+#: Levels of rarity a doubling of the count, and the most (one byte, below 128).
+LEVELS, MOST_LEVEL = 4, 126
+HASH_BITS = 56
 #: Bits of a signature; texts at any scale have far fewer signatures, and a clash only makes a pair to verify.
 SIGNATURE_BITS = 48
-#: A set's parities (a full number: 32 bits let most unrelated sets of 70 words pass), and the largest size and place that are told apart.
-PARITY_BITS, FULL = 64, (1 << 16) - 1
+#: A set's parities: 64 bits, and 128 for sets of so many words, since with 64 bits most unrelated sets of over 100 words pass.
+PARITY_BITS, WIDE_FROM = 64, 80
+#: The largest size and place that are told apart.
+FULL = (1 << 16) - 1
 #: Rows that may be broadcast, as one number each (about 32 MB); larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 NULL_ID = (1 << 63) - 1
+#: Shuffle files go when a job ends, instead of at Spark's next collection: what later steps read has been written by then.  Java's
+#: own case mapping takes less time than the other.
+SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.icu.caseMappings.enabled": "false"}
 #: White space besides the plain space and the line break.
 OTHER_SPACES = ("\t", "\x0b", "\f", "\r")
 
@@ -49,32 +57,36 @@ def _class_of(h: Column) -> Column:
     return F.shiftrightunsigned(h, 64 - CLASS_BITS)
 
 
-def rarity_order(texts: DataFrame) -> list[int]:
-    """Place of each word class from rare to common, over all words of all texts; CLASSES numbers."""
-    low = F.replace(F.lower("text"), F.lit("\n"), F.lit(" "))
-    words = F.when(_holds_any(low, *OTHER_SPACES), F.split(low, r"\s+")).otherwise(F.split(low, " "))  # one plain space splits without a pattern
-    word = texts.select(F.explode(words).alias("w")).where("w != ''")
+def rarity_levels(rows: DataFrame) -> bytes:
+    """The level of each word class, higher for more common ones, over all words of all ``numbered`` texts; a byte a class."""
+    word = rows.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w != ''")
     counts = {r["c"]: r["count"] for r in word.groupBy(_class_of(F.xxhash64("w")).alias("c")).count().collect()}
-    place = [0] * CLASSES
-    for k, c in enumerate(sorted(range(CLASSES), key=lambda c: (counts.get(c, 0), c))):
-        place[c] = k
-    return place
+    return bytes(min(MOST_LEVEL, 1 + int(LEVELS * log2(1 + counts.get(c, 0)))) for c in range(CLASSES))
 
 
-def word_keys(line: Column, places: Column) -> Column:
-    """The line's distinct words as numbers whose order is the rarity order: class place, then 47 bits of hash."""
-    low = F.trim(F.lower(line))
-    words = F.when(_holds_any(low, "  ", *OTHER_SPACES), F.split(low, r"\s+")).otherwise(F.split(low, " "))
-    key = lambda h: F.get(places, _class_of(h).cast("int")).bitwiseOR(h.bitwiseAND((1 << HASH_BITS) - 1))
-    return F.sort_array(F.array_distinct(F.transform(F.transform(words, lambda w: F.xxhash64(w)), key)))
+def word_hashes(line: Column) -> Column:
+    """Hashes of the line's distinct words."""
+    return F.array_remove(F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+
+
+def word_keys(line: Column, levels: bytes) -> Column:
+    """The line's distinct words as numbers whose order is the rarity order: the class's level, then 56 bits of hash."""
+    level = lambda h: F.ascii(F.call_function("substring", F.lit(levels), _class_of(h).cast("int") + 1, F.lit(1)).cast("string"))
+    key = lambda h: F.shiftleft(level(h).cast("bigint"), HASH_BITS).bitwiseOR(h.bitwiseAND((1 << HASH_BITS) - 1))
+    return F.sort_array(F.transform(word_hashes(line), key))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``doc, nth, text``: null ids last; rows of one id are told apart by their place in the order of texts."""
+    """``doc, nth, text``: null ids last; rows of one id are told apart by their place in the order of texts.  Texts are in lower
+    case and have plain spaces for other white space in a line.
+    """
     own = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     if own.groupBy("doc").count().where("count > 1").limit(1).count() == 0:
-        return own.select("doc", F.lit(0).cast("bigint").alias("nth"), "text")
-    return own.select("doc", (F.row_number().over(Window.partitionBy("doc").orderBy("text")) - 1).cast("bigint").alias("nth"), "text")
+        own = own.withColumn("nth", F.lit(0).cast("bigint"))
+    else:
+        own = own.withColumn("nth", (F.row_number().over(Window.partitionBy("doc").orderBy("text")) - 1).cast("bigint"))
+    spaced = F.when(_holds_any(F.col("text"), *OTHER_SPACES), F.translate("text", "".join(OTHER_SPACES), " " * len(OTHER_SPACES))).otherwise(F.col("text"))
+    return own.select("doc", "nth", F.lower(spaced).alias("text"))
 
 
 def lines(rows: DataFrame) -> DataFrame:
@@ -84,8 +96,8 @@ def lines(rows: DataFrame) -> DataFrame:
 
 
 def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
-    """``sig, doc, line, about, odd`` from ``doc, line, k``; about holds the set's size and the signature's place in
-    its order (16 bits), odd the parity of its words in each of 64 hash classes.
+    """``sig, doc, line, about, odd, wide`` from ``doc, line, k``; about holds the set's size and the signature's place in
+    its order (16 bits), odd the parity of its words in each of 64 hash classes, wide that of half its words (for large sets).
 
     Sets of n and m words at Jaccard t share o >= t/(1+t) * (n+m) words.  The first unbroken neighbours end by word
     2(n-o) + (m-o) + 2 of the first set, which is (2-q)n - (q-1)m + 2 at most with q = 3t/(1+t), and m >= tn.  A set of one word is its own
@@ -96,17 +108,18 @@ def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
     n = F.size("k")
     count = F.greatest(F.lit(1), F.least(n - 1, F.floor(n * share + 1e-9).cast("int") + 1))
     one = F.lit(1).cast("bigint")
-    parity = F.aggregate("k", F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", one, w.bitwiseAND(PARITY_BITS - 1).cast("int"))))
-    marked = keyed.select("doc", "line", "k", parity.alias("odd"))  # before the explode, or it would be found again for each signature
-    at = marked.select("doc", "line", "k", "odd", F.explode(F.sequence(F.lit(0), count - 1)).alias("i"))
+    bits = lambda words: F.aggregate(words, F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", one, w.bitwiseAND(PARITY_BITS - 1).cast("int"))))
+    half = F.filter("k", lambda w: w.bitwiseAND(PARITY_BITS) != 0)
+    marked = keyed.select("doc", "line", "k", bits(F.col("k")).alias("odd"), F.when(n >= WIDE_FROM, bits(half)).otherwise(0).alias("wide"))  # before the explode, or they would be found again for each signature
+    at = marked.select("doc", "line", "k", "odd", "wide", F.explode(F.sequence(F.lit(0), count - 1)).alias("i"))
     sig = F.shiftrightunsigned(F.xxhash64(F.get("k", "i"), F.get("k", F.col("i") + 1)), 64 - SIGNATURE_BITS)
     most = F.lit(FULL).cast("bigint")
     about = F.shiftleft(F.least(F.size("k").cast("bigint"), most), 16).bitwiseOR(F.least(F.col("i").cast("bigint"), most))
-    return at.select(sig.alias("sig"), "doc", "line", about.alias("about"), "odd")
+    return at.select(sig.alias("sig"), "doc", "line", about.alias("about"), "odd", "wide")
 
 
 def _may_match(t: float) -> Column:
-    """Length, positional and parity filters between ``about, odd`` and ``about0, odd0``.
+    """Length, positional and parity filters between ``about, odd, wide`` and ``about0, odd0, wide0``.
 
     After the two shared words and before them there must be enough words to share.  The bits that differ between two sets'
     parities can't outnumber the words that differ.  Sizes and places of FULL or more are not known, and pass.
@@ -115,16 +128,17 @@ def _may_match(t: float) -> Column:
     i, j = (F.col(c).bitwiseAND(FULL) for c in ("about", "about0"))
     length = F.least(n, m) >= t * F.greatest(n, m) - 1e-9
     bound = F.least(i, j) + F.least(n - i, m - j)
-    odd = F.bit_count(F.col("odd").bitwiseXOR(F.col("odd0")))
+    odd, wide = F.col("odd").bitwiseXOR(F.col("odd0")), F.col("wide").bitwiseXOR(F.col("wide0"))
+    odd = F.when((n >= WIDE_FROM) & (m >= WIDE_FROM), F.bit_count(odd.bitwiseXOR(wide)) + F.bit_count(wide)).otherwise(F.bit_count(odd))
     near = (bound * (1 + t) >= t * (n + m) - 1e-9) & (odd <= (n + m) * ((1 - t) / (1 + t)) + 1e-9)
     return length & (near | (n >= FULL) | (m >= FULL))
 
 
-def _words_of(pairs: DataFrame, rows: DataFrame, places: Column) -> DataFrame:
+def _words_of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """``doc, line, k`` of the lines in pairs; no other line is read as words or moved."""
     wanted = cut(pairs.select(F.xxhash64("doc", "line").alias("id")).unionByName(pairs.select(F.xxhash64("doc0", "line0").alias("id"))).distinct())
     some = lines(rows).withColumn("id", F.xxhash64("doc", "line")).join(_if_small(wanted), "id", "left_semi")
-    return some.select("doc", "line", word_keys(F.col("value"), places).alias("k"))
+    return some.select("doc", "line", word_hashes(F.col("value")).alias("k"))
 
 
 def _beside(pairs: DataFrame, held: DataFrame, column: str) -> DataFrame:
@@ -139,16 +153,16 @@ def _equal(rows: DataFrame) -> DataFrame:
     Texts are compared by 128 bits of hash.  Counts and firsts are found before the shuffle, and the join has one row a text on
     its other side, so that a text that most rows share can be split.
     """
-    low = F.trim(F.lower("value"))
+    low = F.trim("value")
     each = cut(lines(rows).select("doc", "line", F.xxhash64(low).alias("h"), F.xxhash64(F.lit(1), low).alias("g")))
     first = each.groupBy("h", "g").agg(F.min(F.struct("doc", "line")).alias("m"), F.count("*").alias("size")).where("size > 1")
     first = cut(first.select("h", "g", F.col("m.doc").alias("doc0"), F.col("m.line").alias("line0")))
     return each.join(_if_small(first), ["h", "g"]).where("doc != doc0 or line != line0").select("doc", "line", "doc0", "line0")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, places: Column, t: float) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, t: float) -> DataFrame:
     """The pairs whose Jaccard reaches t."""
-    held = cut(_words_of(pairs, rows, places))  # both sides read it
+    held = cut(_words_of(pairs, rows))  # both sides read it
     both = _beside(pairs, held, "k").withColumn("_s", F.size(F.array_intersect("k", "k0")))
     return both.withColumn("jaccard", F.col("_s") / (F.size("k") + F.size("k0") - F.col("_s"))).where(F.col("jaccard") >= t).select("doc", "line", "doc0", "line0", "jaccard")
 
@@ -158,19 +172,20 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     Earlier is by ``doc_id``, then by place in the text; a line that is itself removed still counts as earlier.
     """
-    with shuffles_dropped(docs.sparkSession):
+    with settings(docs.sparkSession, SETTINGS):
         return _later_matches(docs, similarity)
 
 
 def _later_matches(docs: DataFrame, similarity: float) -> DataFrame:
     spark = docs.sparkSession
     rows = numbered(docs)
-    places = F.split(F.lit(",".join(str(p << HASH_BITS) for p in rarity_order(rows))), ",").cast("array<bigint>")  # folded to one constant
+    levels = rarity_levels(rows)
     same = cut(_equal(rows))
     fresh = lines(rows).join(_if_small(same.select("doc", "line")), ["doc", "line"], "left_anti")
-    keyed = fresh.select("doc", "line", word_keys(F.col("value"), places).alias("k"))
+    keyed = fresh.select("doc", "line", word_keys(F.col("value"), levels).alias("k"))
     signed = signatures(keyed, similarity).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sig")
-    groups = signed.groupBy("sig").agg(F.min("doc").alias("doc0"), F.min_by("line", "doc").alias("line0"), F.min_by("about", "doc").alias("about0"), F.min_by("odd", "doc").alias("odd0"), F.count("*").alias("size")).where("size > 1")
+    about = ("doc", "line", "about", "odd", "wide")
+    groups = signed.groupBy("sig").agg(F.min("doc").alias("doc0"), *[F.min_by(c, "doc").alias(f"{c}0") for c in about[1:]], F.count("*").alias("size")).where("size > 1")
     may_match = _may_match(similarity)
     found = signed.join(groups.hint("shuffle_hash"), "sig").where(((F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0"))) & (may_match | (F.col("size") > 2)))
     folder = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
@@ -180,16 +195,16 @@ def _later_matches(docs: DataFrame, similarity: float) -> DataFrame:
     swap = lambda a, b: F.when(is_later, F.col(a)).otherwise(F.col(b))
     in_order = [swap("doc", "doc0").alias("doc"), swap("line", "line0").alias("line"), swap("doc0", "doc").alias("doc0"), swap("line0", "line").alias("line0")]
 
-    close = cut(_verified(cut(spokes.where(may_match).select(*in_order).distinct()), rows, places, similarity))
+    close = cut(_verified(cut(spokes.where(may_match).select(*in_order).distinct()), rows, similarity))
 
     # What is still open, in groups of three or more, against all lines before it but the group's earliest.
     settled = cut(close.select("doc", "line").distinct())
-    crowd = spokes.where("size > 2").select("sig", "doc", "line", "about", "odd")
+    crowd = spokes.where("size > 2").select("sig", *about)
     unsettled = cut(crowd.join(_if_small(settled), ["doc", "line"], "left_anti"))
-    before = crowd.join(_if_small(cut(unsettled.select("sig").distinct())), "sig", "left_semi").select("sig", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.col("about").alias("about0"), F.col("odd").alias("odd0"))
+    before = crowd.join(_if_small(cut(unsettled.select("sig").distinct())), "sig", "left_semi").select("sig", *[F.col(c).alias(f"{c}0") for c in about])
     pairs = unsettled.join(before, "sig").where(is_later & may_match).select("doc", "line", "doc0", "line0").distinct()
     pairs = cut(pairs)
-    rest = cut(_verified(pairs, rows, places, similarity))
+    rest = cut(_verified(pairs, rows, similarity))
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     same = same.withColumn("jaccard", F.lit(1.0))
