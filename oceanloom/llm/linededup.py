@@ -8,7 +8,7 @@ differing word between them within a prefix of each; these neighbours are the
 signatures.  Lines that share one are candidates, if their lengths and the
 signature's positions, and the parities of the sets, still allow the threshold, and are verified.  A line is
 tested against the earliest line of each of its signatures first, then, if that
-settles nothing, against the others before it.  Lines of the same text, but for case and
+settles nothing, against one drawn by hash, and last against all others before it.  Lines of the same text, but for case and
 outer spaces, match the first of them and stay out of the join.  DataFrame functions only.
 """
 
@@ -197,11 +197,17 @@ def _later_matches(docs: DataFrame, similarity: float) -> DataFrame:
 
     close = cut(_verified(cut(spokes.where(may_match).select(*in_order).distinct()), rows, similarity))
 
-    # What is still open, in groups of three or more, against all lines before it but the group's earliest.
+    # What is still open, in groups of three or more: first against one line of each group, drawn by hash, so that a line of a large
+    # group meets many of its lines at a cost in proportion to its signatures; then against all lines before it but the earliest.
     settled = cut(close.select("doc", "line").distinct())
     crowd = spokes.where("size > 2").select("sig", *about)
     unsettled = cut(crowd.join(_if_small(settled), ["doc", "line"], "left_anti"))
-    before = crowd.join(_if_small(cut(unsettled.select("sig").distinct())), "sig", "left_semi").select("sig", *[F.col(c).alias(f"{c}0") for c in about])
+    drawn = crowd.groupBy("sig").agg(*[F.min_by(c, F.xxhash64("sig", "doc", "line")).alias(f"{c}0") for c in about])
+    met = unsettled.join(drawn, "sig").where(((F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0"))) & may_match)
+    close = cut(close.unionByName(_verified(cut(met.select(*in_order).distinct()), rows, similarity)))
+    settled = cut(close.select("doc", "line").distinct())
+    unsettled = cut(unsettled.join(_if_small(settled), ["doc", "line"], "left_anti"))
+    before = crowd.select("sig", *[F.col(c).alias(f"{c}0") for c in about])
     pairs = unsettled.join(before, "sig").where(is_later & may_match).select("doc", "line", "doc0", "line0").distinct()
     pairs = cut(pairs)
     rest = cut(_verified(pairs, rows, similarity))
