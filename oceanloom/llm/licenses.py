@@ -1,7 +1,7 @@
 """Operator 10, license scans: a positional rare-token index of licence texts.
 
 Each template is indexed by its rarest words only, by their frequency over all
-documents.  A file's own rarest indexed words look up postings (template,
+documents.  All indexed words of a file look up postings (template,
 position); postings whose relative positions agree propose a place of the
 template; the place is compared word by word, weighted by rarity, and the
 template's mandatory phrases must stand in it.
@@ -45,9 +45,10 @@ TEMPLATES = [
 ]
 
 INDEXED_PER_TEMPLATE = 3
-LOOKED_UP = 8
 COVERAGE = 0.8
 DRIFT = 2
+#: Places of a template that are compared at once.
+PLACES = 4096
 
 
 def _folded(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -110,6 +111,7 @@ class Index:
         self.labels = [label for label, _, _ in templates]
         self.texts = [known.ids(words(t)) for _, t, _ in templates]
         self.phrases = [[known.ids(words(p)) for p in ps] for _, _, ps in templates]
+        self.longest = max(map(len, self.texts))
         self.base = [(known.ids(words(p)), label) for p, label in BASE_PHRASES]
         self.postings: dict[int, list[tuple[int, int]]] = {}
         for t, ids in enumerate(self.texts):
@@ -126,21 +128,28 @@ class Index:
         best = 0.0
         if not len(at):
             return found, best
-        rare = sorted(set(ids[at].tolist()), key=lambda w: (-self.idf[w], w))[:LOOKED_UP]
-        proposed = {(t, p - q) for w in rare for p in np.flatnonzero(ids == w).tolist() for t, q in self.postings[w]}
-        for t, offset in sorted(proposed):
-            own = self.texts[t]
-            window = ids[max(offset - DRIFT, 0) : offset + len(own) + DRIFT]
-            shift = offset - max(offset - DRIFT, 0)
-            hit = np.zeros(len(own), bool)
-            for d in range(-DRIFT, DRIFT + 1):
-                k = np.arange(len(own)) + shift + d
-                ok = (k >= 0) & (k < len(window))
-                hit[ok] |= window[k[ok]] == own[ok]
-            coverage = float(self.idf[own][hit].sum() / self.idf[own].sum())
-            best = max(best, coverage)
-            if coverage >= COVERAGE and all(len(places(window, p)) for p in self.phrases[t]):
-                found.add(self.labels[t])
+        offsets: dict[int, list[np.ndarray]] = {}
+        for w in np.unique(ids[at]).tolist():
+            where = at[ids[at] == w]
+            for t, q in self.postings[w]:
+                offsets.setdefault(t, []).append(where - q)
+        pad = self.longest + 2 * DRIFT
+        padded = np.pad(ids, pad, constant_values=-1)
+        for t, some in sorted(offsets.items()):
+            own, starts = self.texts[t], np.unique(np.concatenate(some))
+            for k in range(0, len(starts), PLACES):
+                part = starts[k : k + PLACES]
+                place = part[:, None] + np.arange(pad, pad + len(own))
+                hit = np.zeros(place.shape, bool)
+                for d in range(-DRIFT, DRIFT + 1):
+                    hit |= padded[place + d] == own
+                coverage = hit @ self.idf[own] / self.idf[own].sum()
+                best = max(best, float(coverage.max()))
+                for offset in part[coverage >= COVERAGE].tolist() if self.labels[t] not in found else []:
+                    window = ids[max(offset - DRIFT, 0) : offset + len(own) + DRIFT]
+                    if all(len(places(window, p)) for p in self.phrases[t]):
+                        found.add(self.labels[t])
+                        break
         return found, min(best, 1.0)
 
 

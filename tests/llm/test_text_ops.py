@@ -237,6 +237,14 @@ def test_licence_templates_need_place_and_phrase(spark):
     assert (got[4].n_words, got[4].first_word, got[4].labels, got[4].score) == (0, None, "", 0.0)
 
 
+def test_licences_of_a_file_with_all_templates(spark):
+    named = [(f"t{k}", text, phrases) for k, (_, text, phrases) in enumerate(licenses.TEMPLATES)]
+    notice = " some other words in between ".join(text for _, text, _ in named)
+    df = spark.createDataFrame([(1, notice), (2, "filler " * 5000 + notice)], "doc_id BIGINT, text STRING")
+    for r in licenses.scan(df, named).collect():
+        assert {label for label, _, _ in named} <= set(r.labels.split(","))
+
+
 def test_licences_of_awkward_rows(spark):
     assert licenses.scan(awkward(spark)).count() == awkward(spark).count()
     assert licenses.scan(empty(spark)).count() == 0
