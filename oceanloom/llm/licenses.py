@@ -1,7 +1,7 @@
 """Operator 10, license scans: a positional rare-token index of licence texts.
 
-Each template is indexed by its rarest words only, by their frequency over all
-documents.  All indexed words of a file look up postings (template,
+Each template is indexed by its rarest words, by their frequency over all
+documents: by so many that the others together can't make a match.  All indexed words of a file look up postings (template,
 position); postings whose relative positions agree propose a place of the
 template; the place is compared word by word, weighted by rarity, and the
 template's mandatory phrases must stand in it.
@@ -44,8 +44,11 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain", ["free and unencumbered software"]),
 ]
 
+#: At least so many.
 INDEXED_PER_TEMPLATE = 3
 COVERAGE = 0.8
+#: For rounding of sums of weights.
+SLACK = 1e-9
 DRIFT = 2
 #: Places of a template that are compared at once.
 PLACES = 4096
@@ -115,7 +118,11 @@ class Index:
         self.base = [(known.ids(words(p)), label) for p, label in BASE_PHRASES]
         self.postings: dict[int, list[tuple[int, int]]] = {}
         for t, ids in enumerate(self.texts):
-            for w in sorted(set(ids.tolist()), key=lambda w: (-idf[w], w))[:INDEXED_PER_TEMPLATE]:
+            rest = whole = idf[ids].sum()
+            for k, w in enumerate(sorted(set(ids.tolist()), key=lambda w: (-idf[w], w))):
+                if k >= INDEXED_PER_TEMPLATE and rest < (COVERAGE - SLACK) * whole:
+                    break  # a place without any word indexed so far can't be covered enough
+                rest -= idf[w] * (ids == w).sum()
                 for q in np.flatnonzero(ids == w).tolist():
                     self.postings.setdefault(w, []).append((t, q))
         self.indexed = np.zeros(len(known.hashes) + 1, bool)  # the last entry answers for id -1
@@ -132,7 +139,7 @@ class Index:
         for w in np.unique(ids[at]).tolist():
             where = at[ids[at] == w]
             for t, q in self.postings[w]:
-                offsets.setdefault(t, []).append(where - q)
+                offsets.setdefault(t, []).extend(where - q + d for d in range(-DRIFT, DRIFT + 1))  # the word may stand as far off its place
         pad = self.longest + 2 * DRIFT
         padded = np.pad(ids, pad, constant_values=-1)
         for t, some in sorted(offsets.items()):

@@ -245,6 +245,27 @@ def test_licences_of_a_file_with_all_templates(spark):
         assert {label for label, _, _ in named} <= set(r.labels.split(","))
 
 
+def test_licence_search_equals_all_places():
+    known = licenses.vocabulary(licenses.TEMPLATES)
+    rng = np.random.default_rng(5)
+    for _ in range(6):
+        index = licenses.Index(licenses.TEMPLATES, known, rng.choice([0.3, 1.0, 1.0, 1.2, 3.0], len(known.hashes)))
+        for t, ids in enumerate(index.texts):
+            for _ in range(12):
+                edited = [w if rng.random() > 0.18 else -1 for w in ids.tolist()]
+                edited[(k := rng.integers(len(edited))) : k] = [-1] * rng.integers(4)
+                text = np.array([-1] * 4 + edited + [-1] * 4)
+                by_place = [_covered(index, t, text, o) for o in range(-len(ids), len(text))]
+                if max(by_place) >= licenses.COVERAGE:
+                    assert index.matches(text)[1] >= max(by_place) - 1e-9
+
+
+def _covered(index, t, text, offset):
+    own = index.texts[t]
+    near = [text[max(offset + k - licenses.DRIFT, 0) : max(offset + k + licenses.DRIFT + 1, 0)] for k in range(len(own))]
+    return sum(index.idf[w] for w, some in zip(own, near, strict=True) if w in some) / index.idf[own].sum()
+
+
 def test_licences_of_awkward_rows(spark):
     assert licenses.scan(awkward(spark)).count() == awkward(spark).count()
     assert licenses.scan(empty(spark)).count() == 0
