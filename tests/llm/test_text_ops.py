@@ -1,13 +1,14 @@
 """Fingerprints, toxicity, quality, packing and licences against brute force."""
 
 import hashlib
+import random
 import re
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
-from llm_cases import SCHEMA, awkward, awkward_texts, empty
+from llm_cases import SCHEMA, awkward, awkward_texts, empty, syllables
 from pyspark.sql import functions as F
 
 from oceanloom.llm import fingerprints, licenses, packing, quality, textnum, toxicity
@@ -102,6 +103,24 @@ def test_toxicity_scores_stems_and_discounts():
     assert s.score("") == s.score("clean words only")
 
 
+def test_an_aimed_threat_counts_without_a_learned_word(spark):
+    threats = ["I will kill you", "Ich werde dich umbringen.", "tomorrow they will shoot all of them"]
+    discounted = ["I will not kill you", "he said he would kill you"]
+    fine = ["kill the process", "to shoot a long film before noon with you", "clean words only", "you and him"]
+    s = toxicity.Scorer({"zarg": 4.0}, [-3.0, *[1.0] * toxicity.FEATURES])
+    assert min(map(s.score, threats)) > 0.5 and {s.score(t) for t in fine} == {s.score("")}
+    assert s.features("I will not kill you")[toxicity.NEG] > 0 and s.features("he said he would kill you")[toxicity.REP] > 0
+    assert s.features("I will not kill you")[toxicity.AIM] == s.features("he said he would kill you")[toxicity.AIM] == 0
+    learned = toxicity.Scorer({"kill": 9.0})
+    assert learned.features("kill you").tolist() == learned.features("you kill").tolist() and learned.features("kill it")[toxicity.PLAIN] == np.log1p(9.0)
+    rows = [(k, f"{syllables(random.Random(k), 20)} {'it is zarg' if k % 3 == 0 else 'it is'}") for k in range(120)] + list(enumerate(threats + fine + discounted, 1000))
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(120)], "doc_id BIGINT, toxic INT")
+    assert {r.text for r in toxicity.reject_toxic(df, labels).where("doc_id >= 1000").collect()} == {*fine, *discounted}
+    assert {r.text for r in toxicity.reject_toxic(df, labels.where("false")).where("doc_id >= 1000").collect()} >= set(fine)
+    assert not {r.text for r in toxicity.reject_toxic(df, labels.where("false")).collect()} & set(threats)
+
+
 def test_toxicity_of_awkward_rows(spark):
     df = awkward(spark)
     labels = spark.createDataFrame([(k, k % 2, (k + 1) % 2) for k in range(12)] + [(None, 1, 1), (3, None, None), (99, 1, 1)], "doc_id BIGINT, quality INT, toxic INT")
