@@ -57,6 +57,20 @@ def test_classes_equal_all_pairs(spark):
     assert {r.doc_id: r.class_id for r in neardup.classes(df).collect()} == classes_by_all_pairs(docs)
 
 
+def test_similarity_does_not_depend_on_hash_classes():
+    rng = random.Random(8)
+    words = syllables(rng, 120).split()
+    texts = " ".join(words), " ".join(words[:100] + syllables(rng, 20).split())
+    (a, n), (b, m) = (textnum.text_shingles(t) for t in texts)
+    counts = np.zeros(1 << neardup.CLASS_BITS, np.int64)
+    counts[(a >> np.uint64(64 - neardup.CLASS_BITS)).astype(int)] = 1_000_000
+    least = sum(min(x, dict(zip(b.tolist(), m.tolist(), strict=True)).get(h, 0)) for h, x in zip(a.tolist(), n.tolist(), strict=True))
+    plain = least / (n.sum() + m.sum() - least)
+    for c in (counts, np.ones_like(counts)):
+        idf = neardup.inverse_frequencies(c)
+        assert abs(neardup.weighted_jaccard(*(neardup.weighted_set(t, idf) for t in texts)) - plain) < 1e-6
+
+
 def test_query_equals_all_pairs(spark):
     sf = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
