@@ -87,6 +87,16 @@ def test_samples_agree_as_often_as_weighted_jaccard():
     assert abs(agree - neardup.weighted_jaccard(a, b)) < 0.04
 
 
+def test_pairs_at_the_threshold_share_a_band():
+    missed = 0
+    for k in range(1500):
+        h = textnum.mix(np.arange(k * 200, k * 200 + 180, dtype=np.uint64))
+        a, b = (np.sort(x) for x in (h[:160], np.concatenate([h[20:160], h[160:175]])))  # 140 of 175 shingles: 0.8
+        keys = [neardup.band_keys(x, np.ones(len(x), np.float32), neardup.BANDS, neardup.ROWS) for x in (a, b)]
+        missed += not len(np.intersect1d(*keys))
+    assert missed == 0
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(f"{k:03}", f"{k + 1:03}") for k in range(40)] + [("x00", f"x{k:02}") for k in range(1, 30)]
     random.Random(1).shuffle(edges)
