@@ -6,10 +6,15 @@ share keeps the join exact).  Two sets that reach the threshold differ in so few
 words that, in their shared order, some two neighbouring common words have no
 differing word between them within a prefix of each; these neighbours are the
 signatures.  Lines that share one are candidates, if their lengths and the
-signature's positions, and the parities of the sets, still allow the threshold, and are verified.  A line is
-tested against the earliest line of each of its signatures first, then, if that
-settles nothing, against one drawn by hash, and last against all others before it.  Lines of the same text, but for case and
+signature's positions, and the parities of the sets, still allow the threshold, and are verified.
+
+A line needs one match only, so the likeliest candidate goes first: the first three lines of each signature
+are set against all its lines, and of these candidates each line has the one of nearest parity verified.  Only lines that this doesn't
+settle meet all lines before them.  There, signatures of many lines make a pair at its least shared signature, as far as the
+lines' least few tell, since near copies share most of theirs.  Lines of the same text, but for case and
 outer spaces, match the first of them and stay out of the join.  DataFrame functions only.
+
+Null texts have no lines.  Null ids come after the others of the same size, spread by a hash of the text; rows of one id stand in the order of their texts.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oceanloom.llm.common import cut, settings, shared_folder
+from oceanloom.llm.common import cut, remove, settings, shared_folder
 
 SIMILARITY = 0.8
 CLASS_BITS = 16
@@ -37,7 +42,14 @@ PARITY_BITS, WIDE_FROM = 64, 80
 FULL = (1 << 16) - 1
 #: Rows that may be broadcast, as one number each (about 32 MB); larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
-NULL_ID = (1 << 63) - 1
+#: Signatures of so many lines make a pair once; of a line's signatures there, so many are compared to see where.
+CROWDED, LEAST_FEW = 16, 8
+#: There, parities of so many times 64 bits are compared as well.
+FINE_PARTS = 4
+#: So many lines of each signature, the first in order, are set against all its lines.
+HUBS = 3
+#: Rows without an id have this bit set in their lines' numbers; their ``doc`` is a hash of the text from FIRST_NULL on.
+NULL_BIT, FIRST_NULL = 62, 1 << 62
 #: Shuffle files go when a job ends, instead of at Spark's next collection: what later steps read has been written by then.  Java's
 #: own case mapping takes less time than the other.
 SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.icu.caseMappings.enabled": "false"}
@@ -45,6 +57,18 @@ SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "
 OTHER_SPACES = ("\t", "\x0b", "\f", "\r")
 
 
+#: A line's place and what the filters need of it.
+ABOUT = ("doc", "line", "about", "odd", "wide")
+
+
+def _own(suffix: str = "") -> dict[str, Column]:
+    return {c: F.col(c + suffix) for c in ABOUT}
+
+
+def _is_later(x: dict[str, Column], y: dict[str, Column]) -> Column:
+    return (x["doc"] > y["doc"]) | ((x["doc"] == y["doc"]) & (x["line"] > y["line"]))
+
+
 def _if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
@@ -76,15 +100,21 @@ def word_keys(line: Column, levels: bytes) -> Column:
     return F.sort_array(F.transform(word_hashes(line), key))
 
 
+def _placed(rows: DataFrame, doc_id: Column, text: Column) -> DataFrame:
+    """The rows with ``doc`` and ``nth``, which name a row; rows without an id are spread by their text."""
+    spread = F.shiftrightunsigned(F.xxhash64(text), 2).bitwiseOR(F.lit(FIRST_NULL))
+    flag = F.when(doc_id.isNull(), F.lit(1 << (NULL_BIT - 32))).otherwise(F.lit(0)).cast("bigint")
+    rows = rows.withColumn("doc", F.coalesce(doc_id, spread)).withColumn("nth", flag)
+    if rows.groupBy("doc", "nth").count().where("count > 1").limit(1).count():
+        rows = rows.withColumn("nth", F.col("nth") + F.row_number().over(Window.partitionBy("doc", "nth").orderBy(text)) - 1)
+    return rows
+
+
 def numbered(docs: DataFrame) -> DataFrame:
-    """``doc, nth, text``: null ids last; rows of one id are told apart by their place in the order of texts.  Texts are in lower
+    """``doc, nth, text``: rows of one id are told apart by their place in the order of texts.  Texts are in lower
     case and have plain spaces for other white space in a line.
     """
-    own = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    if own.groupBy("doc").count().where("count > 1").limit(1).count() == 0:
-        own = own.withColumn("nth", F.lit(0).cast("bigint"))
-    else:
-        own = own.withColumn("nth", (F.row_number().over(Window.partitionBy("doc").orderBy("text")) - 1).cast("bigint"))
+    own = _placed(docs.select(F.col("doc_id").cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text")), F.col("id"), F.col("text"))
     spaced = F.when(_holds_any(F.col("text"), *OTHER_SPACES), F.translate("text", "".join(OTHER_SPACES), " " * len(OTHER_SPACES))).otherwise(F.col("text"))
     return own.select("doc", "nth", F.lower(spaced).alias("text"))
 
@@ -118,26 +148,30 @@ def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
     return at.select(sig.alias("sig"), "doc", "line", about.alias("about"), "odd", "wide")
 
 
-def _may_match(t: float) -> Column:
-    """Length, positional and parity filters between ``about, odd, wide`` and ``about0, odd0, wide0``.
+def _may_match(t: float, x: dict[str, Column], y: dict[str, Column]) -> Column:
+    """Length, positional and parity filters between two lines' ``about, odd, wide``.
 
     After the two shared words and before them there must be enough words to share.  The bits that differ between two sets'
     parities can't outnumber the words that differ.  Sizes and places of FULL or more are not known, and pass.
     """
-    n, m = (F.shiftrightunsigned(F.col(c), 16) for c in ("about", "about0"))
-    i, j = (F.col(c).bitwiseAND(FULL) for c in ("about", "about0"))
+    n, m = (F.shiftrightunsigned(c["about"], 16) for c in (x, y))
+    i, j = (c["about"].bitwiseAND(FULL) for c in (x, y))
     length = F.least(n, m) >= t * F.greatest(n, m) - 1e-9
     bound = F.least(i, j) + F.least(n - i, m - j)
-    odd, wide = F.col("odd").bitwiseXOR(F.col("odd0")), F.col("wide").bitwiseXOR(F.col("wide0"))
+    odd, wide = x["odd"].bitwiseXOR(y["odd"]), x["wide"].bitwiseXOR(y["wide"])
     odd = F.when((n >= WIDE_FROM) & (m >= WIDE_FROM), F.bit_count(odd.bitwiseXOR(wide)) + F.bit_count(wide)).otherwise(F.bit_count(odd))
     near = (bound * (1 + t) >= t * (n + m) - 1e-9) & (odd <= (n + m) * ((1 - t) / (1 + t)) + 1e-9)
     return length & (near | (n >= FULL) | (m >= FULL))
 
 
-def _words_of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """``doc, line, k`` of the lines in pairs; no other line is read as words or moved."""
-    wanted = cut(pairs.select(F.xxhash64("doc", "line").alias("id")).unionByName(pairs.select(F.xxhash64("doc0", "line0").alias("id"))).distinct())
-    some = lines(rows).withColumn("id", F.xxhash64("doc", "line")).join(_if_small(wanted), "id", "left_semi")
+def _both_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select("doc", "line").unionByName(pairs.select(F.col("doc0").alias("doc"), F.col("line0").alias("line")))
+
+
+def _words_of(wanted: DataFrame, rows: DataFrame) -> DataFrame:
+    """``doc, line, k`` of the lines wanted; no other line is read as words or moved."""
+    ids = cut(wanted.select(F.xxhash64("doc", "line").alias("id")).distinct())
+    some = lines(rows).withColumn("id", F.xxhash64("doc", "line")).join(_if_small(ids), "id", "left_semi")
     return some.select("doc", "line", word_hashes(F.col("value")).alias("k"))
 
 
@@ -148,7 +182,7 @@ def _beside(pairs: DataFrame, held: DataFrame, column: str) -> DataFrame:
 
 
 def _equal(rows: DataFrame) -> DataFrame:
-    """``doc, line, doc0, line0`` of every line whose text, but for case and outer spaces, an earlier line has, and the first such line.
+    """``doc, line`` of every line whose text, but for case and outer spaces, an earlier line has.
 
     Texts are compared by 128 bits of hash.  Counts and firsts are found before the shuffle, and the join has one row a text on
     its other side, so that a text that most rows share can be split.
@@ -157,72 +191,103 @@ def _equal(rows: DataFrame) -> DataFrame:
     each = cut(lines(rows).select("doc", "line", F.xxhash64(low).alias("h"), F.xxhash64(F.lit(1), low).alias("g")))
     first = each.groupBy("h", "g").agg(F.min(F.struct("doc", "line")).alias("m"), F.count("*").alias("size")).where("size > 1")
     first = cut(first.select("h", "g", F.col("m.doc").alias("doc0"), F.col("m.line").alias("line0")))
-    return each.join(_if_small(first), ["h", "g"]).where("doc != doc0 or line != line0").select("doc", "line", "doc0", "line0")
+    return each.join(_if_small(first), ["h", "g"]).where("doc != doc0 or line != line0").select("doc", "line")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, t: float) -> DataFrame:
-    """The pairs whose Jaccard reaches t."""
-    held = cut(_words_of(pairs, rows))  # both sides read it
+def _verified(pairs: DataFrame, held: DataFrame, t: float) -> DataFrame:
+    """``doc, line`` of the pairs whose Jaccard reaches t; held has the lines' words."""
     both = _beside(pairs, held, "k").withColumn("_s", F.size(F.array_intersect("k", "k0")))
-    return both.withColumn("jaccard", F.col("_s") / (F.size("k") + F.size("k0") - F.col("_s"))).where(F.col("jaccard") >= t).select("doc", "line", "doc0", "line0", "jaccard")
+    return both.where(F.col("_s") / (F.size("k") + F.size("k0") - F.col("_s")) >= t).select("doc", "line")
+
+
+def _fine(k: Column, part: int) -> Column:
+    """The parity of a set's words in 64 hash classes of 64 * FINE_PARTS."""
+    here = F.filter(k, lambda w: F.shiftrightunsigned(w, 6).bitwiseAND(FINE_PARTS - 1) == part)
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("bigint"), w.bitwiseAND(63).cast("int"))
+    return F.aggregate(here, F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseXOR(bit(w)))
 
 
 def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc, line, doc0, line0, jaccard`` of every line that matches an earlier one, with one such line.
+    """``doc, line`` of every line that matches an earlier one.
 
     Earlier is by ``doc_id``, then by place in the text; a line that is itself removed still counts as earlier.
     """
-    with settings(docs.sparkSession, SETTINGS):
-        return _later_matches(docs, similarity)
+    folder = f"{shared_folder(docs.sparkSession)}/lines-{uuid.uuid4().hex}"
+    try:
+        with settings(docs.sparkSession, SETTINGS):
+            return _later_matches(docs, similarity, folder)
+    finally:
+        remove(docs.sparkSession, folder)
+
+
+def _spokes(signed: DataFrame, similarity: float) -> DataFrame:
+    """``sig, doc, line, about, odd, wide, size, near``: the rows of signatures of several lines, and which of the signature's
+    first HUBS lines, before the row's own, may match it: ``near`` holds ``gap, doc0, line0``, gap the share of parity bits that differ.
+
+    Signatures of HUBS + 1 lines or fewer have nothing beyond that, so their rows without such a line are left out.
+    """
+    whole = Window.partitionBy("sig").orderBy("doc", "line").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    several = signed.withColumn("size", F.count("*").over(Window.partitionBy("sig"))).where("size > 1").withColumn("v", F.struct(*ABOUT))
+    hubs = several.select("*", *[F.nth_value("v", k).over(whole).alias(f"h{k}") for k in range(1, HUBS + 1)])
+
+    def candidate(h: Column) -> Column:
+        y = {c: h[c] for c in ABOUT}
+        gap = F.bit_count(F.col("odd").bitwiseXOR(y["odd"])) / (F.shiftrightunsigned("about", 16) + F.shiftrightunsigned(y["about"], 16))
+        return F.when(_is_later(_own(), y) & _may_match(similarity, _own(), y), F.struct(gap.alias("gap"), y["doc"].alias("doc0"), y["line"].alias("line0")))
 
+    near = F.array_compact(F.array(*[candidate(F.col(f"h{k}")) for k in range(1, HUBS + 1)]))
+    return hubs.select("sig", *ABOUT, "size", near.alias("near")).where((F.col("size") > HUBS + 1) | (F.size("near") > 0))
 
-def _later_matches(docs: DataFrame, similarity: float) -> DataFrame:
+
+def _later_matches(docs: DataFrame, similarity: float, folder: str) -> DataFrame:
     spark = docs.sparkSession
     rows = numbered(docs)
     levels = rarity_levels(rows)
     same = cut(_equal(rows))
-    fresh = lines(rows).join(_if_small(same.select("doc", "line")), ["doc", "line"], "left_anti")
+    fresh = lines(rows).join(_if_small(same), ["doc", "line"], "left_anti")
     keyed = fresh.select("doc", "line", word_keys(F.col("value"), levels).alias("k"))
     signed = signatures(keyed, similarity).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sig")
-    about = ("doc", "line", "about", "odd", "wide")
-    groups = signed.groupBy("sig").agg(F.min("doc").alias("doc0"), *[F.min_by(c, "doc").alias(f"{c}0") for c in about[1:]], F.count("*").alias("size")).where("size > 1")
-    may_match = _may_match(similarity)
-    found = signed.join(groups.hint("shuffle_hash"), "sig").where(((F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0"))) & (may_match | (F.col("size") > 2)))
-    folder = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
-    found.write.option("compression", "zstd").parquet(folder)
+    _spokes(signed, similarity).write.option("compression", "zstd").parquet(folder)
     spokes = spark.read.parquet(folder)
-    is_later = (F.col("doc") > F.col("doc0")) | ((F.col("doc") == F.col("doc0")) & (F.col("line") > F.col("line0")))
-    swap = lambda a, b: F.when(is_later, F.col(a)).otherwise(F.col(b))
-    in_order = [swap("doc", "doc0").alias("doc"), swap("line", "line0").alias("line"), swap("doc0", "doc").alias("doc0"), swap("line0", "line").alias("line0")]
-
-    close = cut(_verified(cut(spokes.where(may_match).select(*in_order).distinct()), rows, similarity))
-
-    # What is still open, in groups of three or more: first against one line of each group, drawn by hash, so that a line of a large
-    # group meets many of its lines at a cost in proportion to its signatures; then against all lines before it but the earliest.
-    settled = cut(close.select("doc", "line").distinct())
-    crowd = spokes.where("size > 2").select("sig", *about)
-    unsettled = cut(crowd.join(_if_small(settled), ["doc", "line"], "left_anti"))
-    drawn = crowd.groupBy("sig").agg(*[F.min_by(c, F.xxhash64("sig", "doc", "line")).alias(f"{c}0") for c in about])
-    met = unsettled.join(drawn, "sig").where(((F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0"))) & may_match)
-    close = cut(close.unionByName(_verified(cut(met.select(*in_order).distinct()), rows, similarity)))
-    settled = cut(close.select("doc", "line").distinct())
-    unsettled = cut(unsettled.join(_if_small(settled), ["doc", "line"], "left_anti"))
-    before = crowd.select("sig", *[F.col(c).alias(f"{c}0") for c in about])
-    pairs = unsettled.join(before, "sig").where(is_later & may_match).select("doc", "line", "doc0", "line0").distinct()
-    pairs = cut(pairs)
-    rest = cut(_verified(pairs, rows, similarity))
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    same = same.withColumn("jaccard", F.lit(1.0))
-    best = close.unionByName(rest).groupBy("doc", "line").agg(F.min(F.struct("doc0", "line0", "jaccard")).alias("m"))
-    return same.unionByName(best.select("doc", "line", "m.doc0", "m.line0", "m.jaccard"))
+
+    pairs = spokes.select("doc", "line", F.inline("near"))
+    nearest = pairs.groupBy("doc", "line").agg(F.min(F.struct("gap", "doc0", "line0")).alias("m"))
+    tried = cut(nearest.select("doc", "line", "m.doc0", "m.line0"))
+    settled = cut(_verified(tried, cut(_words_of(_both_of(tried), rows)), similarity))
+
+    # What is still open meets all lines before it.
+    still = _if_small(settled)
+    crowd = spokes.where(F.col("size") > HUBS + 1).drop("near")
+    open_lines = cut(crowd.join(still, ["doc", "line"], "left_anti"))
+    crowd = crowd.join(_if_small(open_lines.select("sig").distinct()), "sig", "left_semi")
+    beside = lambda df, *more: df.select("sig", *[F.col(c).alias(f"{c}0") for c in (*ABOUT, *more)])
+    able = _is_later(_own(), _own("0")) & _may_match(similarity, _own(), _own("0"))
+    few = F.col("size") < CROWDED
+    in_few = open_lines.where(few).join(beside(crowd.where(few)), "sig").where(able)
+
+    names = ["doc", "line", "doc0", "line0"]
+    single = cut(pairs.join(still, ["doc", "line"], "left_anti").select(*names).unionByName(in_few.select(*names)).distinct().join(tried, names, "left_anti"))
+
+    many = cut(crowd.where(~few))
+    least = cut(many.groupBy("doc", "line").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, LEAST_FEW).alias("least")))
+    held = cut(_words_of(_both_of(single).unionByName(least.select("doc", "line")), rows))
+    fine = [f"fine{k}" for k in range(FINE_PARTS)]
+    many = cut(many.join(least.join(held, ["doc", "line"]).select("doc", "line", "least", *[_fine(F.col("k"), k).alias(c) for k, c in enumerate(fine)]), ["doc", "line"]))
+    elsewhere = F.coalesce(F.array_min(F.array_intersect("least", "least0")) < F.col("sig"), F.lit(False))
+    differing = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}0"))) for c in fine)
+    n, m = (F.shiftrightunsigned(c, 16) for c in ("about", "about0"))
+    apart = (differing > (n + m) * ((1 - similarity) / (1 + similarity)) + 1e-9) & (n < FULL) & (m < FULL)
+    in_many = many.join(still, ["doc", "line"], "left_anti").join(beside(many, "least", *fine), "sig").where(able & ~elsewhere & ~apart)
+    rest = cut(single.unionByName(in_many.select(*names)).distinct())
+    found = cut(_verified(rest, held, similarity).distinct())
+    return same.unionByName(settled).unionByName(found)
 
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, line_no, match_doc_id, match_line_no, jaccard``; line numbers from 0."""
+    """``doc_id, line_no`` of every line that matches an earlier one; line numbers from 0."""
     found = later_matches(docs, similarity)
-    number = lambda c: F.col(c).bitwiseAND((1 << 32) - 1)
-    return found.select(F.nullif(F.col("doc"), F.lit(NULL_ID)).alias("doc_id"), number("line").alias("line_no"), F.nullif(F.col("doc0"), F.lit(NULL_ID)).alias("match_doc_id"), number("line0").alias("match_line_no"), "jaccard")
+    without_id = F.shiftright("line", NULL_BIT) == 1
+    return found.select(F.when(~without_id, F.col("doc")).alias("doc_id"), F.col("line").bitwiseAND((1 << 32) - 1).alias("line_no"))
 
 
 def drop_later_lines(docs: DataFrame, similarity: float = SIMILARITY, text_length: str | None = "n_chars") -> DataFrame:
@@ -233,12 +298,10 @@ def drop_later_lines(docs: DataFrame, similarity: float = SIMILARITY, text_lengt
     found = cut(later_matches(docs, similarity))
     gone = found.groupBy(F.col("doc").alias("_d"), F.shiftright("line", 32).alias("_n")).agg(F.collect_list(F.col("line").bitwiseAND((1 << 32) - 1).cast("int")).alias("_gone"))
     names = docs.columns
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("_doc"))
-    if row.groupBy("_doc").count().where("count > 1").limit(1).count():
-        row = row.withColumn("_nth", (F.row_number().over(Window.partitionBy("_doc").orderBy(F.coalesce("_row.text", F.lit("")))) - 1).cast("bigint"))
-    else:
-        row = row.withColumn("_nth", F.lit(0).cast("bigint"))
-    joined = row.join(_if_small(gone), (F.col("_doc") == F.col("_d")) & (F.col("_nth") == F.col("_n")), "left")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
+    placed = _placed(row, F.col("_row.doc_id").cast("bigint"), F.coalesce("_row.text", F.lit("")))
+    small = found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # bounds the arrays' numbers too
+    joined = placed.join(F.broadcast(gone) if small else gone, (F.col("doc") == F.col("_d")) & (F.col("nth") == F.col("_n")), "left")
     left = F.filter(F.split("_row.text", "\n"), lambda x, k: ~F.array_contains(F.col("_gone"), k))
     text = F.when(F.col("_gone").isNull(), F.col("_row.text")).otherwise(F.array_join(left, "\n"))
     columns = []
