@@ -48,6 +48,7 @@ CROWDED, LEAST_FEW = 16, 8
 FINE_PARTS = 4
 #: So many lines of each signature, the first in order, are set against all its lines.
 HUBS = 3
+LEAST_PARTITIONS = 64
 #: Rows without an id have this bit set in their lines' numbers; their ``doc`` is a hash of the text from FIRST_NULL on.
 NULL_BIT, FIRST_NULL = 62, 1 << 62
 #: Shuffle files go when a job ends, instead of at Spark's next collection: what later steps read has been written by then.  Java's
@@ -221,22 +222,21 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 
 def _spokes(signed: DataFrame, similarity: float) -> DataFrame:
-    """``sig, doc, line, about, odd, wide, size, near``: the rows of signatures of several lines, and which of the signature's
-    first HUBS lines, before the row's own, may match it: ``near`` holds ``gap, doc0, line0``, gap the share of parity bits that differ.
+    """Two sorts of rows, from the signatures of several lines.
 
-    Signatures of HUBS + 1 lines or fewer have nothing beyond that, so their rows without such a line are left out.
+    Rows with ``doc0, line0, gap`` pair a line with one of the signature's first HUBS lines that stands before it and may match
+    it; gap is the share of parity bits that differ.  Rows without name the lines of signatures of more lines (``sig, doc, line,
+    about, odd, wide, size``); those of HUBS + 1 lines or fewer have nothing beyond their pairs.
     """
-    whole = Window.partitionBy("sig").orderBy("doc", "line").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    order = Window.partitionBy("sig").orderBy("doc", "line").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     several = signed.withColumn("size", F.count("*").over(Window.partitionBy("sig"))).where("size > 1").withColumn("v", F.struct(*ABOUT))
-    hubs = several.select("*", *[F.nth_value("v", k).over(whole).alias(f"h{k}") for k in range(1, HUBS + 1)])
-
-    def candidate(h: Column) -> Column:
-        y = {c: h[c] for c in ABOUT}
-        gap = F.bit_count(F.col("odd").bitwiseXOR(y["odd"])) / (F.shiftrightunsigned("about", 16) + F.shiftrightunsigned(y["about"], 16))
-        return F.when(_is_later(_own(), y) & _may_match(similarity, _own(), y), F.struct(gap.alias("gap"), y["doc"].alias("doc0"), y["line"].alias("line0")))
-
-    near = F.array_compact(F.array(*[candidate(F.col(f"h{k}")) for k in range(1, HUBS + 1)]))
-    return hubs.select("sig", *ABOUT, "size", near.alias("near")).where((F.col("size") > HUBS + 1) | (F.size("near") > 0))
+    hubs = several.select("sig", "v", "size", *[F.nth_value("v", k).over(order).alias(f"h{k}") for k in range(1, HUBS + 1)])
+    beside = F.when(F.col("size") > HUBS + 1, F.array(F.lit(None), *[f"h{k}" for k in range(1, HUBS + 1)])).when(F.col("size") > 2, F.array(*[f"h{k}" for k in range(1, HUBS + 1)])).otherwise(F.array("h1"))
+    own = {c: F.col(f"v.{c}") for c in ABOUT}
+    hub = {c: F.col(f"h.{c}") for c in ABOUT}
+    gap = F.bit_count(own["odd"].bitwiseXOR(hub["odd"])) / (F.shiftrightunsigned(own["about"], 16) + F.shiftrightunsigned(hub["about"], 16))
+    rows = hubs.select("sig", "v", "size", F.explode(beside).alias("h")).where(F.col("h").isNull() | (_is_later(own, hub) & _may_match(similarity, own, hub)))
+    return rows.select("sig", "v.*", "size", hub["doc"].alias("doc0"), hub["line"].alias("line0"), gap.alias("gap"))
 
 
 def _later_matches(docs: DataFrame, similarity: float, folder: str) -> DataFrame:
@@ -246,18 +246,20 @@ def _later_matches(docs: DataFrame, similarity: float, folder: str) -> DataFrame
     same = cut(_equal(rows))
     fresh = lines(rows).join(_if_small(same), ["doc", "line"], "left_anti")
     keyed = fresh.select("doc", "line", word_keys(F.col("value"), levels).alias("k"))
-    signed = signatures(keyed, similarity).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sig")
+    # Signatures outnumber the documents by far, so they get more partitions than a small table has by setting.
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), LEAST_PARTITIONS)
+    signed = signatures(keyed, similarity).repartition(partitions, "sig")
     _spokes(signed, similarity).write.option("compression", "zstd").parquet(folder)
     spokes = spark.read.parquet(folder)
 
-    pairs = spokes.select("doc", "line", F.inline("near"))
+    pairs = spokes.where("doc0 IS NOT NULL").select("doc", "line", "doc0", "line0", "gap")
     nearest = pairs.groupBy("doc", "line").agg(F.min(F.struct("gap", "doc0", "line0")).alias("m"))
     tried = cut(nearest.select("doc", "line", "m.doc0", "m.line0"))
     settled = cut(_verified(tried, cut(_words_of(_both_of(tried), rows)), similarity))
 
     # What is still open meets all lines before it.
     still = _if_small(settled)
-    crowd = spokes.where(F.col("size") > HUBS + 1).drop("near")
+    crowd = spokes.where("doc0 IS NULL").drop("doc0", "line0", "gap")
     open_lines = cut(crowd.join(still, ["doc", "line"], "left_anti"))
     crowd = crowd.join(_if_small(open_lines.select("sig").distinct()), "sig", "left_semi")
     beside = lambda df, *more: df.select("sig", *[F.col(c).alias(f"{c}0") for c in (*ABOUT, *more)])
