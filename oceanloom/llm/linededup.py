@@ -20,6 +20,7 @@ Null texts have no lines.  Null ids come after the others of the same size, spre
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 from math import log2
 
@@ -58,6 +59,7 @@ SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "
 OTHER_SPACES = ("\t", "\x0b", "\f", "\r")
 
 
+Keep = Callable[[DataFrame], DataFrame]
 #: A line's place and what the filters need of it.
 ABOUT = ("doc", "line", "about", "odd", "wide")
 
@@ -89,24 +91,31 @@ def rarity_levels(rows: DataFrame) -> bytes:
     return bytes(min(MOST_LEVEL, 1 + int(LEVELS * log2(1 + counts.get(c, 0)))) for c in range(CLASSES))
 
 
+def _distinct_words(line: Column, number: Callable[[Column], Column]) -> Column:
+    """The numbers of the line's distinct words; spaces at an end or beside each other make no word."""
+    each = F.array_distinct(F.transform(F.split(line, " "), lambda w: number(F.xxhash64(w))))
+    loose = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    return F.when(loose, F.array_remove(each, number(F.xxhash64(F.lit(""))))).otherwise(each)
+
+
 def word_hashes(line: Column) -> Column:
-    """Hashes of the line's distinct words."""
-    return F.array_remove(F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+    return _distinct_words(line, lambda h: h)
 
 
 def word_keys(line: Column, levels: bytes) -> Column:
     """The line's distinct words as numbers whose order is the rarity order: the class's level, then 56 bits of hash."""
     level = lambda h: F.ascii(F.call_function("substring", F.lit(levels), _class_of(h).cast("int") + 1, F.lit(1)).cast("string"))
     key = lambda h: F.shiftleft(level(h).cast("bigint"), HASH_BITS).bitwiseOR(h.bitwiseAND((1 << HASH_BITS) - 1))
-    return F.sort_array(F.transform(word_hashes(line), key))
+    return F.sort_array(_distinct_words(line, key))
 
 
 def _placed(rows: DataFrame, doc_id: Column, text: Column) -> DataFrame:
     """The rows with ``doc`` and ``nth``, which name a row; rows without an id are spread by their text."""
     spread = F.shiftrightunsigned(F.xxhash64(text), 2).bitwiseOR(F.lit(FIRST_NULL))
     flag = F.when(doc_id.isNull(), F.lit(1 << (NULL_BIT - 32))).otherwise(F.lit(0)).cast("bigint")
+    repeated = rows.groupBy(doc_id.alias("id")).count().where("count > 1").limit(1).count()
     rows = rows.withColumn("doc", F.coalesce(doc_id, spread)).withColumn("nth", flag)
-    if rows.groupBy("doc", "nth").count().where("count > 1").limit(1).count():
+    if repeated:
         rows = rows.withColumn("nth", F.col("nth") + F.row_number().over(Window.partitionBy("doc", "nth").orderBy(text)) - 1)
     return rows
 
@@ -170,9 +179,9 @@ def _both_of(pairs: DataFrame) -> DataFrame:
 
 
 def _words_of(wanted: DataFrame, rows: DataFrame) -> DataFrame:
-    """``doc, line, k`` of the lines wanted; no other line is read as words or moved."""
-    ids = cut(wanted.select(F.xxhash64("doc", "line").alias("id")).distinct())
-    some = lines(rows).withColumn("id", F.xxhash64("doc", "line")).join(_if_small(ids), "id", "left_semi")
+    """``doc, line, k`` of the lines wanted, each once; no other line is read as words or moved."""
+    of_docs = rows.join(_if_small(wanted.select("doc").distinct()), "doc", "left_semi")
+    some = lines(of_docs).join(_if_small(wanted), ["doc", "line"], "left_semi")
     return some.select("doc", "line", word_hashes(F.col("value")).alias("k"))
 
 
@@ -182,16 +191,16 @@ def _beside(pairs: DataFrame, held: DataFrame, column: str) -> DataFrame:
     return pairs.join(held, ["doc", "line"]).join(earlier, ["doc0", "line0"])
 
 
-def _equal(rows: DataFrame) -> DataFrame:
+def _equal(rows: DataFrame, keep: Keep) -> DataFrame:
     """``doc, line`` of every line whose text, but for case and outer spaces, an earlier line has.
 
     Texts are compared by 128 bits of hash.  Counts and firsts are found before the shuffle, and the join has one row a text on
     its other side, so that a text that most rows share can be split.
     """
     low = F.trim("value")
-    each = cut(lines(rows).select("doc", "line", F.xxhash64(low).alias("h"), F.xxhash64(F.lit(1), low).alias("g")))
+    each = keep(lines(rows).select("doc", "line", F.xxhash64(low).alias("h"), F.xxhash64(F.lit(1), low).alias("g")))
     first = each.groupBy("h", "g").agg(F.min(F.struct("doc", "line")).alias("m"), F.count("*").alias("size")).where("size > 1")
-    first = cut(first.select("h", "g", F.col("m.doc").alias("doc0"), F.col("m.line").alias("line0")))
+    first = keep(first.select("h", "g", F.col("m.doc").alias("doc0"), F.col("m.line").alias("line0")))
     return each.join(_if_small(first), ["h", "g"]).where("doc != doc0 or line != line0").select("doc", "line")
 
 
@@ -213,12 +222,20 @@ def later_matches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     Earlier is by ``doc_id``, then by place in the text; a line that is itself removed still counts as earlier.
     """
-    folder = f"{shared_folder(docs.sparkSession)}/lines-{uuid.uuid4().hex}"
+    spark = docs.sparkSession
+    folder = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
+
+    def keep(df: DataFrame) -> DataFrame:
+        """The frame as a table in the shared folder, which takes less time and space than a checkpoint."""
+        path = f"{folder}/{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+        return spark.read.parquet(path)
+
     try:
-        with settings(docs.sparkSession, SETTINGS):
-            return _later_matches(docs, similarity, folder)
+        with settings(spark, SETTINGS):
+            return cut(_later_matches(docs, similarity, keep))
     finally:
-        remove(docs.sparkSession, folder)
+        remove(spark, folder)
 
 
 def _spokes(signed: DataFrame, similarity: float) -> DataFrame:
@@ -239,28 +256,27 @@ def _spokes(signed: DataFrame, similarity: float) -> DataFrame:
     return rows.select("sig", "v.*", "size", hub["doc"].alias("doc0"), hub["line"].alias("line0"), gap.alias("gap"))
 
 
-def _later_matches(docs: DataFrame, similarity: float, folder: str) -> DataFrame:
+def _later_matches(docs: DataFrame, similarity: float, keep: Keep) -> DataFrame:
     spark = docs.sparkSession
     rows = numbered(docs)
     levels = rarity_levels(rows)
-    same = cut(_equal(rows))
+    same = keep(_equal(rows, keep))
     fresh = lines(rows).join(_if_small(same), ["doc", "line"], "left_anti")
     keyed = fresh.select("doc", "line", word_keys(F.col("value"), levels).alias("k"))
     # Signatures outnumber the documents by far, so they get more partitions than a small table has by setting.
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), LEAST_PARTITIONS)
     signed = signatures(keyed, similarity).repartition(partitions, "sig")
-    _spokes(signed, similarity).write.option("compression", "zstd").parquet(folder)
-    spokes = spark.read.parquet(folder)
+    spokes = keep(_spokes(signed, similarity))
 
     pairs = spokes.where("doc0 IS NOT NULL").select("doc", "line", "doc0", "line0", "gap")
     nearest = pairs.groupBy("doc", "line").agg(F.min(F.struct("gap", "doc0", "line0")).alias("m"))
-    tried = cut(nearest.select("doc", "line", "m.doc0", "m.line0"))
-    settled = cut(_verified(tried, cut(_words_of(_both_of(tried), rows)), similarity))
+    tried = keep(nearest.select("doc", "line", "m.doc0", "m.line0"))
+    settled = keep(_verified(tried, keep(_words_of(keep(_both_of(tried).distinct()), rows)), similarity))
 
     # What is still open meets all lines before it.
     still = _if_small(settled)
     crowd = spokes.where("doc0 IS NULL").drop("doc0", "line0", "gap")
-    open_lines = cut(crowd.join(still, ["doc", "line"], "left_anti"))
+    open_lines = keep(crowd.join(still, ["doc", "line"], "left_anti"))
     crowd = crowd.join(_if_small(open_lines.select("sig").distinct()), "sig", "left_semi")
     beside = lambda df, *more: df.select("sig", *[F.col(c).alias(f"{c}0") for c in (*ABOUT, *more)])
     able = _is_later(_own(), _own("0")) & _may_match(similarity, _own(), _own("0"))
@@ -268,20 +284,20 @@ def _later_matches(docs: DataFrame, similarity: float, folder: str) -> DataFrame
     in_few = open_lines.where(few).join(beside(crowd.where(few)), "sig").where(able)
 
     names = ["doc", "line", "doc0", "line0"]
-    single = cut(pairs.join(still, ["doc", "line"], "left_anti").select(*names).unionByName(in_few.select(*names)).distinct().join(tried, names, "left_anti"))
+    single = keep(pairs.join(still, ["doc", "line"], "left_anti").select(*names).unionByName(in_few.select(*names)).distinct().join(tried, names, "left_anti"))
 
-    many = cut(crowd.where(~few))
-    least = cut(many.groupBy("doc", "line").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, LEAST_FEW).alias("least")))
-    held = cut(_words_of(_both_of(single).unionByName(least.select("doc", "line")), rows))
+    many = keep(crowd.where(~few))
+    least = keep(many.groupBy("doc", "line").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, LEAST_FEW).alias("least")))
+    held = keep(_words_of(keep(_both_of(single).unionByName(least.select("doc", "line")).distinct()), rows))
     fine = [f"fine{k}" for k in range(FINE_PARTS)]
-    many = cut(many.join(least.join(held, ["doc", "line"]).select("doc", "line", "least", *[_fine(F.col("k"), k).alias(c) for k, c in enumerate(fine)]), ["doc", "line"]))
+    many = keep(many.join(least.join(held, ["doc", "line"]).select("doc", "line", "least", *[_fine(F.col("k"), k).alias(c) for k, c in enumerate(fine)]), ["doc", "line"]))
     elsewhere = F.coalesce(F.array_min(F.array_intersect("least", "least0")) < F.col("sig"), F.lit(False))
     differing = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}0"))) for c in fine)
     n, m = (F.shiftrightunsigned(c, 16) for c in ("about", "about0"))
     apart = (differing > (n + m) * ((1 - similarity) / (1 + similarity)) + 1e-9) & (n < FULL) & (m < FULL)
     in_many = many.join(still, ["doc", "line"], "left_anti").join(beside(many, "least", *fine), "sig").where(able & ~elsewhere & ~apart)
-    rest = cut(single.unionByName(in_many.select(*names)).distinct())
-    found = cut(_verified(rest, held, similarity).distinct())
+    rest = keep(single.unionByName(in_many.select(*names)).distinct())
+    found = keep(_verified(rest, held, similarity).distinct())
     return same.unionByName(settled).unionByName(found)
 
 
@@ -297,7 +313,7 @@ def drop_later_lines(docs: DataFrame, similarity: float = SIMILARITY, text_lengt
 
     A row may end up with an empty text; null texts stay null.  The column named by ``text_length``, if there, follows the text.
     """
-    found = cut(later_matches(docs, similarity))
+    found = later_matches(docs, similarity)
     gone = found.groupBy(F.col("doc").alias("_d"), F.shiftright("line", 32).alias("_n")).agg(F.collect_list(F.col("line").bitwiseAND((1 << 32) - 1).cast("int")).alias("_gone"))
     names = docs.columns
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
