@@ -10,6 +10,7 @@ DataFrame functions only.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +19,15 @@ from oceanloom.llm.common import id_and_text
 
 # The pattern rules; group 2 of the first is the secret itself.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-ACCESS = r"AKIA[A-Z0-9]+"
-HEX = r"[0-9a-f]+"
-LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
+# The lengths asked of the other two stand in their patterns: their matches are runs to the end, so dropping short ones is the same.
+ACCESS = r"AKIA[A-Z0-9]{16,}"
+HEX = r"[0-9a-f]{24,}"
+LEAST_ASSIGN = 6
 KINDS = ("assign", "access", "hex", "markov")
 
-#: A run of these characters, this long, is scored by the models.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+#: A run of these characters, this long, is scored by the models; MARK stands for what an assignment covers.
+MARK = "\x01"
+CANDIDATE = r"[A-Za-z0-9+/_=\x01-]{16,}"
 ORDINARY = r"[A-Za-z0-9+/_=-]{8,}"
 #: Which of them are labelled ordinary: words, joined or camel-cased, in one case, with a short number at most.
 #: Quantifiers are possessive, and only strings of up to LONGEST_ORDINARY characters are tried.
@@ -34,37 +37,60 @@ LONGEST_ORDINARY = 64
 SAMPLE_DOCS, SAMPLE_STRINGS, GENERATED = 2_000, 32, 2_000
 #: Log-likelihood ratio that a secret reaches in sum and for each character pair.
 LEAST_SUM, LEAST_MEAN = 10.0, 0.4
+#: Matches whose positions are added up together.
+BLOCK = 256
 FIRST, SPAN = 43, 80  # '+' to 'z'
 BACK_OFF = 10.0
 
 
-def located(text: Column, pattern: str, group: int = 0, gate: str | None = None) -> Column:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with the value found once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _matches(text: Column, pattern: str, group: int) -> Column:
+    """Array of ``p, w, i``: each piece between matches, the match after it, and its group; the last has no match."""
+    whole, inner = (F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in (0, group))
+    return F.arrays_zip(F.split(text, pattern, -1).alias("p"), whole.alias("w"), inner.alias("i"))
+
+
+def located(text: Column, pattern: str, group: int = 0) -> Column:
     """Array of ``s, e, g, m`` for each match: start, end (exclusive, in code points), length of the group, the match.
 
-    Texts that the gate (by default the pattern) doesn't match are left at once.  Between matches stand the pieces of ``split``; their lengths and the matches' add up to the positions.
+    The lengths of pieces and matches add up to positions.  They are added within blocks, and the blocks' sums over all
+    blocks, since an array that grows by one element at a time would cost the square of the number of matches.
     """
-    pieces = F.split(text, pattern, -1)
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    inner = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     empty = "array<struct<s:int,e:int,g:int,m:string>>"
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.length(x["p"])
-        e = s + F.coalesce(F.length(x["w"]), F.lit(0))
-        here = F.struct(s.alias("s"), e.alias("e"), F.length(x["i"]).alias("g"), x["w"].alias("m"))
-        return F.struct(e.alias("at"), F.when(x["w"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(here))).alias("out"))
+    def placed(block: Column, start: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            s = acc["at"] + x["p"]
+            here = F.struct(s.alias("s"), (s + x["w"]).alias("e"), x["g"].alias("g"), x["m"].alias("m"))
+            return F.struct((s + F.coalesce(x["w"], F.lit(0))).alias("at"), F.when(x["w"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(here))).alias("out"))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(empty).alias("out"))
-    walk = F.aggregate(F.arrays_zip(pieces.alias("p"), whole.alias("w"), inner.alias("i")), start, step, lambda acc: acc["out"])
-    return F.when(text.rlike(gate or pattern), walk).otherwise(F.array().cast(empty))
+        return F.aggregate(block, F.struct(start.alias("at"), F.array().cast(empty).alias("out")), step, lambda acc: acc["out"])
+
+    def starts(blocks: Column) -> Column:
+        total = lambda block: F.aggregate(block, F.lit(0), lambda acc, x: acc + x["p"] + F.coalesce(x["w"], F.lit(0)))
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(blocks, first, lambda acc, b: F.struct((acc["at"] + total(b)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    lengths = F.transform(_matches(text, pattern, group), lambda x: F.struct(F.length(x["p"]).alias("p"), F.length(x["w"]).alias("w"), F.length(x["i"]).alias("g"), x["w"].alias("m")))
+    cut = lambda parts: F.transform(F.sequence(F.lit(1), F.size(parts), F.lit(BLOCK)), lambda k: F.slice(parts, k, F.lit(BLOCK)))
+    walk = _let(lengths, lambda parts: _let(cut(parts), lambda blocks: F.flatten(F.zip_with(blocks, starts(blocks), placed))))
+    return F.when(text.rlike(pattern), walk).otherwise(F.array().cast(empty))
 
 
 def base_spans(text: Column) -> tuple[Column, Column, Column]:
     """Matches of the three rules, leftmost and non-overlapping within a rule; short ones drop after matching."""
-    assign = F.filter(located(text, ASSIGN, 2), lambda x: x["g"] >= LEAST_ASSIGN)
-    access = F.filter(located(text, ACCESS, gate=f"AKIA[A-Z0-9]{{{LEAST_ACCESS - 4},}}"), lambda x: x["g"] >= LEAST_ACCESS)
-    hexes = F.filter(located(text, HEX, gate=f"[0-9a-f]{{{LEAST_HEX},}}"), lambda x: x["g"] >= LEAST_HEX)
-    return assign, access, hexes
+    return F.filter(located(text, ASSIGN, 2), lambda x: x["g"] >= LEAST_ASSIGN), located(text, ACCESS), located(text, HEX)
+
+
+def marked(text: Column) -> Column:
+    """The text with MARK for every character of an assignment that counts, and line breaks for MARKs of its own."""
+    own = F.when(text.contains(MARK), F.translate(text, MARK, "\n")).otherwise(text)
+    one = lambda x: F.concat(x["p"], F.when(F.length(x["i"]) >= LEAST_ASSIGN, F.repeat(F.lit(MARK), F.length(x["w"]))).otherwise(F.coalesce(x["w"], F.lit(""))))
+    return F.when(own.rlike(ASSIGN), F.array_join(F.transform(_matches(own, ASSIGN, 2), one), "")).otherwise(own)
 
 
 def _pairs(strings: DataFrame) -> DataFrame:
@@ -127,12 +153,13 @@ def scan(docs: DataFrame) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, n_markov, base_sha256, spans`` of every whole text.
 
     Spans are ``kind:start:end`` by start, then in the order of KINDS, joined by commas; ``base_sha256`` is the digest of those of
-    the three rules.  The models add runs that no rule's span touches.
+    the three rules.  The models add runs that no rule's span touches.  A null text counts as empty: no spans, and the digest of
+    the empty string; repeated rows each have their result.
     """
     own = id_and_text(docs)
     table = train(own)
     assign, access, hexes = base_spans(F.col("text"))
-    found = own.select("doc_id", assign.alias("a"), access.alias("k"), hexes.alias("h"), located(F.col("text"), CANDIDATE).alias("c"))
+    found = own.select("doc_id", assign.alias("a"), access.alias("k"), hexes.alias("h"), located(marked(F.col("text")), CANDIDATE).alias("c"))
     tagged = lambda c, kind: F.transform(c, lambda x: F.struct(x["s"].alias("s"), F.lit(kind).alias("k"), x["e"].alias("e")))
     based = found.select("doc_id", *[F.size(c).cast("bigint").alias(n) for c, n in (("a", "n_assign"), ("k", "n_access"), ("h", "n_hex"))], F.array_sort(F.concat(tagged(F.col("a"), 0), tagged(F.col("k"), 1), tagged(F.col("h"), 2))).alias("base"), "c")
 
@@ -140,8 +167,9 @@ def scan(docs: DataFrame) -> DataFrame:
         ratio = log_likelihood_ratio(x["m"], table)
         return x["m"].rlike("[A-Za-z]") & (ratio >= F.greatest(F.lit(LEAST_SUM), F.lit(LEAST_MEAN) * F.length(x["m"])))
 
-    free = F.filter(F.col("c"), lambda x: ~F.exists(F.col("base"), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    scored = based.withColumn("m", F.when(F.size("c") > 0, tagged(F.filter(free, secret), 3)).otherwise(F.array().cast("array<struct<s:int,k:int,e:int>>")))
+    # The other two rules' spans lie whole within one run.
+    free = lambda x: ~x["m"].contains(MARK) & ~x["m"].rlike(ACCESS) & ~x["m"].rlike(HEX)
+    scored = based.withColumn("m", F.when(F.size("c") > 0, tagged(F.filter("c", lambda x: free(x) & secret(x)), 3)).otherwise(F.array().cast("array<struct<s:int,k:int,e:int>>")))
     names = F.array(*map(F.lit, KINDS))
     text = lambda c: F.array_join(F.transform(c, lambda x: F.concat(F.get(names, x["k"]), F.lit(":"), x["s"].cast("string"), F.lit(":"), x["e"].cast("string"))), ",")
     return scored.select(
