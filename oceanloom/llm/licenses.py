@@ -1,10 +1,11 @@
 """Operator 10, license scans: a positional rare-token index of licence texts.
 
 Each template is indexed by its rarest words, by their frequency over all
-documents: by so many that the others together can't make a match.  All indexed words of a file look up postings (template,
-position); postings whose relative positions agree propose a place of the
-template; the place is compared word by word, weighted by rarity, and the
-template's mandatory phrases must stand in it.
+documents: by so many that the others and any one of them together can't make a match.  All indexed words of a file look up
+postings (template, position); the postings are intersected by relative position: where two words of a template
+agree on where it starts, but for a small drift, the place is compared word by word, weighted by rarity, and the
+template's mandatory phrases must stand in it.  Every place that reaches the coverage is found so.  A template of which one word
+alone makes up that coverage asks for that word only.
 """
 
 from __future__ import annotations
@@ -117,14 +118,17 @@ class Index:
         self.longest = max(map(len, self.texts))
         self.base = [(known.ids(words(p)), label) for p, label in BASE_PHRASES]
         self.postings: dict[int, list[tuple[int, int]]] = {}
+        self.needed: list[int] = []  # of each template, how many of its words must agree on a place
         for t, ids in enumerate(self.texts):
-            rest = whole = idf[ids].sum()
+            rest, heaviest, least = idf[ids].sum(), 0.0, (COVERAGE - SLACK) * idf[ids].sum()
             for k, w in enumerate(sorted(set(ids.tolist()), key=lambda w: (-idf[w], w))):
-                if k >= INDEXED_PER_TEMPLATE and rest < (COVERAGE - SLACK) * whole:
-                    break  # a place without any word indexed so far can't be covered enough
-                rest -= idf[w] * (ids == w).sum()
+                if k >= INDEXED_PER_TEMPLATE and rest + heaviest < least:
+                    break  # a place with at most one of the words indexed so far can't be covered enough
+                own = idf[w] * (ids == w).sum()
+                rest, heaviest = rest - own, max(heaviest, own)
                 for q in np.flatnonzero(ids == w).tolist():
                     self.postings.setdefault(w, []).append((t, q))
+            self.needed.append(2 if rest + heaviest < least else 1)
         self.indexed = np.zeros(len(known.hashes) + 1, bool)  # the last entry answers for id -1
         self.indexed[list(self.postings)] = True
 
@@ -135,15 +139,20 @@ class Index:
         best = 0.0
         if not len(at):
             return found, best
+        drift = np.arange(-DRIFT, DRIFT + 1)  # a word may stand as far off its place
         offsets: dict[int, list[np.ndarray]] = {}
         for w in np.unique(ids[at]).tolist():
-            where = at[ids[at] == w]
+            where, own = at[ids[at] == w], {}
             for t, q in self.postings[w]:
-                offsets.setdefault(t, []).extend(where - q + d for d in range(-DRIFT, DRIFT + 1))  # the word may stand as far off its place
+                own.setdefault(t, []).append((where[:, None] - q + drift).ravel())
+            for t, some in own.items():
+                offsets.setdefault(t, []).append(np.unique(np.concatenate(some)))  # a word says each place once
         pad = self.longest + 2 * DRIFT
         padded = np.pad(ids, pad, constant_values=-1)
         for t, some in sorted(offsets.items()):
-            own, starts = self.texts[t], np.unique(np.concatenate(some))
+            own = self.texts[t]
+            starts, votes = np.unique(np.concatenate(some), return_counts=True)
+            starts = starts[votes >= self.needed[t]]
             for k in range(0, len(starts), PLACES):
                 part = starts[k : k + PLACES]
                 place = part[:, None] + np.arange(pad, pad + len(own))
@@ -163,7 +172,8 @@ class Index:
 def scan(docs: DataFrame, templates: list[tuple[str, str, list[str]]] | None = None) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` of every whole text.
 
-    The score is the rarity-weighted share of a template's words found in place, for the template found best; a base phrase alone gives 0.5 at least.
+    The score is the rarity-weighted share of a template's words found in place, for the template found best; a base phrase alone
+    gives 0.5 at least.  A null or empty text has no words, labels or places, and score 0; repeated rows each have their result.
     """
     small_batches(docs.sparkSession)
     templates = templates or TEMPLATES
