@@ -24,6 +24,8 @@ from oceanloom.llm.common import id_and_text, small_batches
 #: Chunk lengths in code points.  The strict test passes one position in 128, the loose one in 8.
 SMALLEST, TARGET, LARGEST = 8, 32, 128
 STRICT_BITS, LOOSE_BITS = 7, 3
+#: Code points of the gear hash.
+WINDOW = 16
 
 
 def gear(cp: np.ndarray) -> np.ndarray:
@@ -36,14 +38,14 @@ def gear(cp: np.ndarray) -> np.ndarray:
     return h
 
 
-def cut_points(cp: np.ndarray) -> np.ndarray:
-    """Ends of the chunks, ascending; the last is the text's length."""
+def _ends(cp: np.ndarray, first: int, last: bool) -> np.ndarray:
+    """Ends of the chunks from ``first`` on; where more code points follow, only those that they can't change."""
     n, h = len(cp), gear(cp)
     loose = np.flatnonzero(h >> np.uint32(32 - LOOSE_BITS) == 0)
     strict = (loose[h[loose] >> np.uint32(32 - STRICT_BITS) == 0] + 1).tolist()
     loose = (loose + 1).tolist()
-    out, at, s, k = [], 0, 0, 0
-    while n - at > SMALLEST:
+    out, at, s, k = [], first, 0, 0
+    while n - at > SMALLEST if last else n - at >= LARGEST:
         s = bisect_left(strict, at + SMALLEST, s)
         if s < len(strict) and strict[s] < at + TARGET:
             end = strict[s]
@@ -53,11 +55,30 @@ def cut_points(cp: np.ndarray) -> np.ndarray:
             end = min(end, at + LARGEST)
         at = min(end, n)
         out.append(at)
-    if at < n:
+    if last and at < n:
         out.append(n)
     return np.array(out, np.int64)
 
 
+def blocks(cp: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Place, code points and chunk limits (the first start, then the ends) of blocks of a text.
+
+    A block begins where the last whole chunk of the one before ended, and reads the hash's window before that, so the chunks
+    are those of the text in one piece.
+    """
+    at, n = 0, len(cp)
+    while at < n:
+        lo, hi = max(at - WINDOW + 1, 0), min(at + textnum.BLOCK, n)
+        ends = _ends(cp[lo:hi], at - lo, hi == n)
+        yield lo, cp[lo:hi], np.concatenate(([at - lo], ends))
+        at = lo + int(ends[-1])
+
+
+def cut_points(cp: np.ndarray) -> np.ndarray:
+    """Ends of the chunks, ascending; the last is the text's length."""
+    return np.concatenate([np.zeros(0, np.int64), *(lo + limits[1:] for lo, _, limits in blocks(cp))])
+
+
 def chunks(text: str) -> list[str]:
     """The text in its chunks; joined they are the text."""
     ends = cut_points(textnum.codepoints(text)).tolist()
@@ -66,12 +87,9 @@ def chunks(text: str) -> list[str]:
 
 def fingerprint(text: str) -> np.ndarray:
     """Ascending distinct values ``digest << 8 | length``: 32 bits of digest, 8 of length."""
-    cp = textnum.codepoints(text)
     found = []
-    for at in range(0, len(cp), textnum.BLOCK):
-        piece = cp[at : at + textnum.BLOCK]
-        ends = cut_points(piece)
-        starts = np.concatenate(([0], ends[:-1]))
+    for _, piece, limits in blocks(textnum.codepoints(text)):
+        starts, ends = limits[:-1], limits[1:]
         digests = textnum.segment_hashes(textnum.prefix_sums(piece), starts, ends)
         found.append((digests >> np.uint64(32) << np.uint64(8)) | (ends - starts).astype(np.uint64))
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
@@ -112,26 +130,29 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def _with_successors(docs: DataFrame, ranges: int) -> DataFrame:
     """``doc_id, text, _range, _guest`` sorted so that each row's successor (descending id; after the last the first) follows it.
 
-    Rows are dealt by ranges of ids.  The first row of each range also goes, as a guest, to the end of the range before it,
-    so no task needs another task's rows.  Only range limits are collected: one number for each range.
+    Rows are dealt by ranges of ids; rows without an id, which come last, by ranges of a hash of their texts.  The first row of
+    each range also goes, as a guest, to the end of the range before it, so no task needs another task's rows.  Only range limits
+    are collected: one number for each range.
     """
     rows = id_and_text(docs)
     splits = sorted(set(rows.stat.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 1 / (4 * ranges)))) if ranges > 1 else []
     limits = F.array(*[F.lit(int(s)) for s in splits]).cast("array<bigint>")
-    at = F.size(F.filter(limits, lambda s: s <= F.col("doc_id"))) if splits else F.lit(0)
-    dealt = rows.withColumn("_range", F.greatest(at, F.lit(0)).cast("int"))
-    heads = {r["_range"]: r["top"] for r in dealt.groupBy("_range").agg(F.max("doc_id").alias("top")).collect()}
+    key = F.coalesce(F.col("doc_id"), F.xxhash64("text"))
+    of_id = F.size(F.filter(limits, lambda s: s <= F.col("doc_id"))) if splits else F.lit(0)
+    of_hash = F.least(F.floor((F.col("_key") / 2.0**64 + 0.5) * ranges), F.lit(ranges - 1))
+    dealt = rows.withColumn("_key", key).withColumn("_range", F.when(F.col("doc_id").isNull(), of_hash).otherwise(ranges + of_id).cast("int"))
+    heads = {r["_range"]: r["top"] for r in dealt.groupBy("_range").agg(F.max("_key").alias("top")).collect()}
     if not heads:
-        return dealt.withColumn("_guest", F.lit(False))
+        return dealt.drop("_key").withColumn("_guest", F.lit(False))
     order = sorted(heads, reverse=True)
     host = {r: order[k - 1] for k, r in enumerate(order)}  # the range before; that of the first is the last
     top = F.element_at(F.array(*[F.lit(heads.get(r)).cast("bigint") for r in range(max(order) + 1)]), F.col("_range") + 1)
     hosts = F.element_at(F.array(*[F.lit(host.get(r)).cast("int") for r in range(max(order) + 1)]), F.col("_range") + 1)
-    places = F.when(F.col("doc_id").eqNullSafe(top), F.array(F.struct(F.col("_range").alias("r"), F.lit(False).alias("g")), F.struct(hosts.alias("r"), F.lit(True).alias("g"))))
-    own = F.array(F.struct(F.col("_range").alias("r"), F.lit(False).alias("g")))
-    placed = dealt.select("doc_id", "text", F.explode(F.coalesce(places, own)).alias("p")).select("doc_id", "text", F.col("p.r").alias("_range"), F.col("p.g").alias("_guest"))
+    own = F.struct(F.col("_range").alias("r"), F.lit(False).alias("g"))
+    places = F.when(F.col("_key") == top, F.array(own, F.struct(hosts.alias("r"), F.lit(True).alias("g")))).otherwise(F.array(own))
+    placed = dealt.select("doc_id", "text", "_key", F.explode(places).alias("p")).select("doc_id", "text", "_key", F.col("p.r").alias("_range"), F.col("p.g").alias("_guest"))
     partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    return placed.repartition(partitions, "_range").sortWithinPartitions("_range", "_guest", F.desc_nulls_last("doc_id"), "text")
+    return placed.repartition(partitions, "_range").sortWithinPartitions("_range", "_guest", F.desc("_key"), "text").drop("_key")
 
 
 def compare_edited(docs: DataFrame, ranges: int | None = None) -> DataFrame:
@@ -139,7 +160,8 @@ def compare_edited(docs: DataFrame, ranges: int | None = None) -> DataFrame:
 
     The edited text is the text with its last ``n_chars // 3`` code points replaced by the first as many (or all) of the next
     document, in descending ``doc_id``; the first follows the last.  Rows of one id stand in the order of their texts; null ids
-    come last.  A lone document is its own successor.
+    come last, in the order of a hash of their texts.  A lone document is its own successor.  A null text counts as empty: no chunks,
+    and the empty fingerprint.
     """
     spark = docs.sparkSession
     small_batches(spark)
