@@ -10,6 +10,7 @@ fullest, and the one bin left over is cut into powers of two, which need no padd
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -137,7 +138,7 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str, length: int = LENGTH, doc
     """Pieces of all documents: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     Each document is its ids and then id 0, so an empty or null text is one id.  Groups are dealt by a hash of the id, the text
-    and the row's place, so repeated rows spread; a group has about ``docs_per_group`` documents, each with less than one sequence
+    and which repetition of these in its task a row is, so repeated rows spread and no group depends on the order of rows; a group has about ``docs_per_group`` documents, each with less than one sequence
     of ids, which bounds a task's memory.  Long documents are cut where they are read.
     """
     spark = docs.sparkSession
@@ -145,14 +146,16 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str, length: int = LENGTH, doc
     groups = max(1, docs.count() // docs_per_group)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, row = encoder(vocabulary, ranks), 0
+        encode, times = encoder(vocabulary, ranks), Counter()  # of each row's hash, how often this task has had it
         for b in batches:
             out = []
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 ids = np.array([*encode(text), END_OF_TEXT], np.uint32).astype("<u4")
                 n, whole = len(ids), len(ids) // length * length
-                group = zlib.crc32(f"{doc}:{n}:{zlib.crc32(ids.tobytes())}:{row}".encode()) % groups
-                row += 1
+                name = f"{doc}:{n}:{zlib.crc32(ids.tobytes())}"
+                row = times[key := hash(name)]
+                times[key] += 1
+                group = zlib.crc32(f"{name}:{row}".encode()) % groups
                 out += [(group, row, doc, k, length, zlib.crc32(ids[k : k + length].tobytes()), n, None) for k in range(0, whole, length)]
                 if n > whole:
                     out.append((group, row, doc, whole, n - whole, None, n, ids[whole:].astype("<u2").tobytes() if ids.max() < 65536 else b"\0" + ids[whole:].tobytes()))
