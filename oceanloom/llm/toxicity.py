@@ -28,7 +28,6 @@ from oceanloom.llm.common import id_and_text, small_batches
 
 #: At most so many labelled rows of each class are learned from, those with the smallest hash of their id.
 TRAINING_ROWS = 5_000
-MAX_ENTRIES = 4_096
 STEM_LENGTHS = (3, 4, 5, 6, 7)
 FOLDS, HELD_OUT = 5, 0
 
@@ -194,7 +193,7 @@ def choose_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int, t
         if surprise >= needed:
             out.append((t, feature, math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))))
     out.sort(key=lambda x: (-x[0], x[1]))
-    return {f: w for _, f, w in out[:MAX_ENTRIES]}
+    return {f: w for _, f, w in out}
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 200, ridge: float = 0.05) -> list[float]:
@@ -254,8 +253,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Scor
         per_feature = sample.mapInArrow(count, "feature STRING, t BIGINT, c BIGINT").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).where("t >= 3")
         likely = per_feature.where("t > 0.85 * (t + c)")
         tested = per_feature.count()
-        # The most frequent first; what the bound leaves out is rarer than all that is kept.
-        counts = [(r["feature"], r["t"], r["c"]) for r in likely.orderBy(F.desc("t"), "feature").limit(4 * MAX_ENTRIES).collect()]
+        # Words and stems that stand in three toxic texts of the sample at least, and hardly in clean ones: the sample bounds them.
+        counts = [(r["feature"], r["t"], r["c"]) for r in likely.collect()]
         scorer = Scorer(choose_lexicon(counts, toxic, clean, tested))
 
         def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +275,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Scor
 
 
 def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """``doc_id, score``: every whole text; nothing else of a row is read."""
+    """``doc_id, score``: every whole text; nothing else of a row is read.
+
+    A null or empty text scores as one without a matched clause; repeated rows each have their score.
+    """
     small_batches(docs.sparkSession)
     lexicon, coefficients = scorer.lexicon, scorer.coefficients
 
