@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oceanloom.llm import textnum
@@ -23,6 +23,8 @@ TRAINING_ROWS = 4_000
 BITS = 12
 WIDTH = 1 << BITS
 ROUNDS = 300
+#: Ordered ranges of grades that the model tells apart; up to so many grades are a range each.
+MOST_GRADES = 16
 
 
 def features(text: str) -> np.ndarray:
@@ -50,7 +52,7 @@ def features(text: str) -> np.ndarray:
 
 @dataclass
 class OrdinalModel:
-    grades: list[int]
+    grades: list[float]
     weights: np.ndarray
     thresholds: np.ndarray
 
@@ -93,18 +95,38 @@ def fit(x: np.ndarray, grade: np.ndarray, rounds: int = ROUNDS, ridge: float = 3
     return OrdinalModel(grades, w, p[x.shape[1]] + np.concatenate(([0.0], np.cumsum(steps))))
 
 
+def graded_ranges(rated: DataFrame) -> tuple[list[float], list[float]]:
+    """Lower limits and mean grades of at most MOST_GRADES ordered ranges that hold every ``grade`` of the table."""
+    values = sorted(r["grade"] for r in rated.select("grade").distinct().limit(MOST_GRADES + 1).collect())
+    if len(values) > MOST_GRADES:
+        values = sorted(set(rated.stat.approxQuantile("grade", [k / MOST_GRADES for k in range(MOST_GRADES)], 1e-3)))
+    means = {r["g"]: r["mean"] for r in rated.groupBy(_range_of(values).alias("g")).agg(F.avg("grade").alias("mean")).collect()}
+    kept = sorted(means)
+    return [values[k] for k in kept], [means[k] for k in kept]
+
+
+def _range_of(limits: list[float]) -> Column:
+    """The number of the range of ``grade``; below the first limit is the first range."""
+    return F.greatest(F.size(F.filter(F.array(*[F.lit(float(v)) for v in limits]).cast("array<double>"), lambda v: v <= F.col("grade"))) - 1, F.lit(0))
+
+
 def train(docs: DataFrame, ratings: DataFrame, grade: str = "quality", rows: int = TRAINING_ROWS) -> OrdinalModel:
-    """Fit on at most ``rows`` rated texts of each of at most 16 grades, those with the smallest hash of their id."""
+    """Fit on at most ``rows`` rated texts, as many of each grade, those with the smallest hash of their id.
+
+    More than MOST_GRADES grades are merged into as many ordered ranges, each answered with its mean grade, so that no rated row is
+    left out of the choice.  Rows without an id or a grade aren't used.
+    """
     small_batches(docs.sparkSession)
-    rated = ratings.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(grade).cast("int").alias("grade")).where("doc_id IS NOT NULL AND grade IS NOT NULL")
-    grades = sorted(r["grade"] for r in rated.groupBy("grade").count().orderBy(F.desc("count")).limit(16).collect())
+    rated = ratings.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(grade).cast("double").alias("grade")).where("doc_id IS NOT NULL AND grade IS NOT NULL")
+    limits, grades = graded_ranges(rated)
+    rated = rated.select("doc_id", _range_of(limits).alias("grade"))
     per_grade = max(rows // max(len(grades), 1), 1)
     chosen = None
-    for g in grades:
+    for g in range(len(grades)):
         some = rated.where(F.col("grade") == g).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_grade)
         chosen = some if chosen is None else chosen.unionByName(some)
     if chosen is None:
-        return OrdinalModel([0], np.zeros(WIDTH, np.float32), np.zeros(0))
+        return OrdinalModel([0.0], np.zeros(WIDTH, np.float32), np.zeros(0))
     picked = id_and_text(docs).join(F.broadcast(chosen), "doc_id")  # at most ``rows`` rows
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,11 +135,15 @@ def train(docs: DataFrame, ratings: DataFrame, grade: str = "quality", rows: int
 
     got = picked.mapInArrow(describe, "x BINARY, grade INT").collect()
     x = np.array([np.frombuffer(r["x"], np.float16) for r in got], np.float32).reshape(len(got), WIDTH)
-    return fit(x, np.array([r["grade"] for r in got], np.int64))
+    model = fit(x, np.array([r["grade"] for r in got], np.int64))
+    return OrdinalModel([grades[k] for k in model.grades], model.weights, model.thresholds)
+
 
+def grade(docs: DataFrame, model: OrdinalModel, reach: float | None = None, at: float = 0.5) -> DataFrame:
+    """``doc_id, expected_grade, tail_probability, keep``: the chance of grade ``reach`` or more (the highest by default), kept from ``at`` on.
 
-def grade(docs: DataFrame, model: OrdinalModel, reach: int | None = None, at: float = 0.5) -> DataFrame:
-    """``doc_id, expected_grade, tail_probability, keep``: the chance of grade ``reach`` or more (the highest by default), kept from ``at`` on."""
+    A null or empty text has no features and gets the thresholds' own chances; repeated rows each have their grade.
+    """
     small_batches(docs.sparkSession)
     top = max(model.grades) if reach is None else reach
     w, cuts, grades = model.weights, model.thresholds, model.grades
