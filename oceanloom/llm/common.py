@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oceanloom.sources.scratch import remove, shared_folder
+
 ROWS_PER_BATCH = 256
 
+__all__ = ["cut", "id_and_text", "remove", "settings", "shared_folder", "small_batches", "table"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,27 +29,6 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the session names in spark.checkpoint.dir, which executors share.
-
-    Where none is named, a folder in the warehouse; with a local master, as in tests, a temporary one.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if not named:
-            alone = re.fullmatch(r"local(\[[^-]*\])?", context.master)
-            named = "file://" + tempfile.mkdtemp(prefix="checkpoint-") if alone else spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
-        context.setCheckpointDir(named)
-    return context.getCheckpointDir()
-
-
-def remove(spark: SparkSession, folder: str) -> None:
-    """Deletes a folder that was written under the shared one."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def cut(df: DataFrame) -> DataFrame:
     """The frame, written to the shared folder and read from there."""
     shared_folder(df.sparkSession)

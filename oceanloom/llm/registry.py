@@ -75,8 +75,21 @@ n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id)
 SELECT doc_id, item_id, n_shingles, count(*) AS n_found, round(count(*) / n_shingles, 6) AS containment
 FROM bs JOIN ds USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= 0.8 * n_shingles"""
 
+#: Lines as word sets, candidates by a word of both prefixes in the order of rarity, all of them verified.
+LINES_SQL = """
+WITH l AS (SELECT doc_id, unnest(range(len(v))) AS line_no, unnest(v) AS v FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS v FROM documents)),
+s AS (SELECT doc_id, line_no, doc_id * 1000000 + line_no AS pos, list_sort(list_distinct(list_filter(string_split(regexp_replace(lower(v), '[\\t\\x0b\\f\\r]', ' ', 'g'), ' '), lambda w: w <> ''))) AS k FROM l),
+u AS (SELECT k, len(k) AS n, min(pos) AS pos FROM s WHERE len(k) > 0 GROUP BY k),
+w AS (SELECT pos, n, unnest(k) AS w FROM u),
+c AS (SELECT w, count(*) AS c FROM w GROUP BY w),
+p AS (SELECT pos, n, w FROM w JOIN c USING (w) QUALIFY row_number() OVER (PARTITION BY pos ORDER BY c, w) <= floor(n * 0.2 + 1e-9) + 1),
+x AS (SELECT DISTINCT a.pos AS a, b.pos AS b FROM p a JOIN p b USING (w) WHERE a.pos < b.pos AND a.n >= 0.8 * b.n - 1e-9 AND b.n >= 0.8 * a.n - 1e-9),
+y AS (SELECT x.a, x.b, len(list_intersect(ua.k, ub.k)) AS s, ua.n + ub.n AS n FROM x JOIN u ua ON ua.pos = x.a JOIN u ub ON ub.pos = x.b),
+f AS (SELECT b AS pos, min(a) AS first FROM y WHERE s / (n - s) >= 0.8 GROUP BY b)
+SELECT s.doc_id, s.line_no FROM s JOIN u USING (k) LEFT JOIN f ON f.pos = u.pos WHERE s.pos > least(u.pos, coalesce(f.first, u.pos))"""
+
 QUERIES = {
     f.__name__: f
     for f in (op1_fingerprints, op2_toxicity, op3_secrets, op4_linededup, op5_decontaminate, op6_chat, op7_packing, op8_quality, op9_neardup, op10_licenses)
 } | {"pipeline": corpus_pipeline.run}
-ORACLE_SQL: dict[str, str] = ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}) | {"op5_decontaminate": LEAKS_SQL, "op6_chat": CHAT_SQL}
+ORACLE_SQL: dict[str, str] = ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}) | {"op4_linededup": LINES_SQL, "op5_decontaminate": LEAKS_SQL, "op6_chat": CHAT_SQL}

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from compare import assert_same
@@ -62,6 +63,44 @@ def test_markov_models_tell_random_from_words(spark):
     assert got[100] == f"markov:4:{4 + len(key)}" and not any(v for k, v in got.items() if k != 100)
 
 
+def markov_spans(text, table):
+    """Runs of 16 characters or more that no base span touches and whose ratio is high."""
+    covered = [tuple(map(int, x.split(":")[1:])) for x in base_spans(text)]
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text):
+        if any(s < m.end() and m.start() < e for s, e in covered) or not re.search("[A-Za-z]", m[0]):
+            continue
+        codes = [ord(c) - secrets.FIRST for c in m[0]]
+        ratio = sum(table[k] if 0 <= (k := a * secrets.SPAN + b) < len(table) else 0.0 for a, b in zip(codes, codes[1:], strict=False))
+        if ratio >= max(secrets.LEAST_SUM, secrets.LEAST_MEAN * len(m[0])):
+            out.append(f"markov:{m.start()}:{m.end()}")
+    return out
+
+
+def test_markov_spans_equal_a_loop(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    extra = ["x9fKq27LmZp8Rt4Wtoken=abcdef", "token=abc.Zx81kQmP07LrTvYw96Bd Zx81kQmP07LrTvYw96Bd", "a\x01Zx81kQmP07LrTvYw96Bd passwd: short Zx81kQmP07LrTvYw96Bd", "0123456789abcdef01234567api_key=abcdef " * 3]
+    docs = docs.unionByName(spark.createDataFrame([(-1 - k, t) for k, t in enumerate(extra)], "doc_id BIGINT, text STRING"))
+    table = secrets.train(secrets.id_and_text(docs))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    found = 0
+    for r in secrets.scan(docs).collect():
+        want = markov_spans(texts[r.doc_id], table)
+        assert [x for x in r.spans.split(",") if x.startswith("markov")] == want and r.n_markov == len(want)
+        found += len(want)
+    assert found > 0
+
+
+def test_a_long_text_with_many_hits_takes_seconds(spark):
+    rng = random.Random(2)
+    parts = [rng.choice([f"token={rng.getrandbits(60):015x} ", f"{rng.getrandbits(128):032x}, ", "deadbeef ", "plain words here. ", "AKIA" + "B" * 16 + "\n"]) for _ in range(60_000)]
+    text = "".join(parts)
+    assert len(text) > 1_000_000
+    began = time.time()
+    check_secrets(secrets.scan(spark.createDataFrame([(1, text), (2, "short")], "doc_id BIGINT, text STRING")).collect(), [(1, text), (2, "short")])
+    assert time.time() - began < 60
+
+
 def test_secrets_of_awkward_rows(spark):
     assert secrets.scan(awkward(spark)).count() == awkward(spark).count()
     assert secrets.scan(empty(spark)).count() == 0
@@ -120,6 +159,24 @@ def test_line_dedup_is_exact_near_the_threshold(spark, seed):
     assert {(r.doc_id, r.line_no) for r in linededup.removed_lines(df).collect()} == removed_by_loop(docs)
 
 
+def test_line_dedup_of_a_large_group_just_below_the_threshold(spark):
+    """600 lines that share 34 of 40 words, and so lie at 34 of 46 words with each other; some have a match above it."""
+    rng = random.Random(12)
+    base = [f"common{k}" for k in range(40)]
+    docs = []
+    for d in range(600):
+        words = list(base)
+        for k in rng.sample(range(40), 3):
+            words[k] = f"own{d}x{k}"
+        docs.append((d, " ".join(words)))
+        if d % 50 == 49:
+            words[rng.randrange(40)] = f"more{d}"
+            docs.append((1000 + d, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    want = removed_by_loop(sorted(docs))
+    assert want and {(r.doc_id, r.line_no) for r in linededup.removed_lines(df).collect()} == want
+
+
 @pytest.mark.parametrize("t", [0.6, 0.9])
 def test_line_dedup_at_other_thresholds(spark, t):
     docs = edited_lines(7)

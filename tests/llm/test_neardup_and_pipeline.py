@@ -3,10 +3,10 @@
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 from llm_cases import awkward, empty, syllables
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from oceanloom.llm import decontaminate, linededup, neardup, textnum
@@ -42,11 +42,7 @@ def families(seed=2):
 
 
 def classes_by_all_pairs(docs, similarity=0.8):
-    counts = np.zeros(1 << neardup.CLASS_BITS, np.int64)
-    for _, t in docs:
-        counts += np.bincount((textnum.text_shingles(t)[0] >> np.uint64(64 - neardup.CLASS_BITS)).astype(int), minlength=len(counts))
-    idf = neardup.inverse_frequencies(counts)
-    sets = [(i, t, neardup.weighted_set(t, idf)) for i, t in docs]
+    sets = [(i, t, neardup.weighted_set(t)) for i, t in docs]
     links = [(i, j) for (i, t, a), (j, u, b) in itertools.combinations(sets, 2) if t == u or neardup.weighted_jaccard(a, b) >= similarity]
     return partition(links, [i for i, _ in docs])
 
@@ -57,18 +53,31 @@ def test_classes_equal_all_pairs(spark):
     assert {r.doc_id: r.class_id for r in neardup.classes(df).collect()} == classes_by_all_pairs(docs)
 
 
-def test_similarity_does_not_depend_on_hash_classes():
+def test_similarity_is_that_of_counted_shingles():
     rng = random.Random(8)
     words = syllables(rng, 120).split()
-    texts = " ".join(words), " ".join(words[:100] + syllables(rng, 20).split())
-    (a, n), (b, m) = (textnum.text_shingles(t) for t in texts)
-    counts = np.zeros(1 << neardup.CLASS_BITS, np.int64)
-    counts[(a >> np.uint64(64 - neardup.CLASS_BITS)).astype(int)] = 1_000_000
-    least = sum(min(x, dict(zip(b.tolist(), m.tolist(), strict=True)).get(h, 0)) for h, x in zip(a.tolist(), n.tolist(), strict=True))
-    plain = least / (n.sum() + m.sum() - least)
-    for c in (counts, np.ones_like(counts)):
-        idf = neardup.inverse_frequencies(c)
-        assert abs(neardup.weighted_jaccard(*(neardup.weighted_set(t, idf) for t in texts)) - plain) < 1e-6
+    texts = " ".join(words + words[:30]), " ".join(words[:100] + syllables(rng, 20).split())
+    bags = [Counter(zip(*(t.lower().split()[k:] for k in range(5)), strict=False)) for t in texts]
+    want = sum((bags[0] & bags[1]).values()) / sum((bags[0] | bags[1]).values())
+    assert abs(neardup.weighted_jaccard(*map(neardup.weighted_set, texts)) - want) < 1e-6
+
+
+def test_samples_equal_the_formula():
+    """The least ln c - r (floor(ln w / r + beta) - beta + 1), one shingle after the other."""
+    rng = np.random.default_rng(6)
+    h = np.sort(textnum.mix(np.arange(5000, dtype=np.uint64)))
+    w = np.where(rng.random(5000) < 0.8, 1, rng.integers(2, 9, 5000)).astype(np.float32)
+    got = neardup.samples(h, w, 12)
+    r, beta, log_c_less_r, _, odd, start = neardup._draws(12)
+    for k in range(12):
+        best = None
+        for x, weight in zip(h, w, strict=True):
+            at = int(((x * odd[k, 0]) >> np.uint64(64 - neardup.POOL_BITS)) + start[k, 0])
+            level = np.floor(np.log(weight) / r[at] + beta[at])
+            value = log_c_less_r[at] - (level - beta[at]) * r[at]
+            if best is None or value < best[0]:
+                best = (value, x, int(level))
+        assert got[k] == textnum.mix(np.array([best[1] ^ np.uint64(best[2] * textnum.BASE % (1 << 64))]))[0]
 
 
 def test_query_equals_all_pairs(spark):
@@ -109,8 +118,12 @@ def test_awkward_rows(spark):
     rows = neardup.classes(df).collect()
     assert len(rows) == df.count()
     by_text = {}
-    for r, t in zip(sorted(rows, key=lambda r: (r.node, str(r.doc_id))), [None] * len(rows), strict=True):
-        assert by_text.setdefault(r.node, r.class_id) == r.class_id and t is None
+    for r in rows:
+        assert by_text.setdefault(r.node, (r.class_node, r.class_id)) == (r.class_node, r.class_id)
+    texts = {r.doc_id: r.text or "" for r in df.where("doc_id < 6 OR doc_id > 6").collect()}
+    same = {r.doc_id: r.class_id for r in rows if r.doc_id in texts}
+    assert all(same[a] == same[b] for a in texts for b in texts if texts[a] == texts[b])
+    assert same[11] == same[12] and same[3] == 3  # a long text and the same with one word more; one word alone
     out = neardup.drop_near_duplicates(df)
     assert out.columns == df.columns and out.count() == len({r.class_node for r in rows})
     assert neardup.drop_near_duplicates(empty(spark)).count() == 0
@@ -150,10 +163,12 @@ def test_pipeline_runs_whole(spark):
 def test_stages_on_awkward_rows(spark, sf_dir):
     for start in (awkward(spark), empty(spark)):
         docs = start.select("doc_id", "text", "lang", "source", "n_chars")
+        sizes = [docs.count()]
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, sf_dir)
             docs = spark.createDataFrame(out.collect(), out.schema) if name != "packing" else out
-        assert docs.count() >= 0
+            sizes.append(docs.count())
+        assert sizes[0] == sizes[1] == sizes[2] > sizes[3] >= sizes[4] > 0 if sizes[0] else not any(sizes)
 
 
 def test_only_this_subpackage_names_itself():
@@ -161,4 +176,3 @@ def test_only_this_subpackage_names_itself():
 
     root = Path(corpus_pipeline.__file__).parent / "oceanloom"
     assert not [p for p in root.rglob("*.py") if "llm" not in p.parts and re.search(r"oceanloom[. ]llm|import llm", p.read_text())]
-    assert F

@@ -1,6 +1,7 @@
 """Fingerprints, toxicity, quality, packing and licences against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -8,8 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from llm_cases import SCHEMA, awkward, awkward_texts, empty, syllables
-from pyspark.sql import functions as F
+from llm_cases import awkward, awkward_texts, empty, syllables
 
 from oceanloom.llm import fingerprints, licenses, packing, quality, textnum, toxicity
 from oceanloom.llm.registry import QUERIES
@@ -56,6 +56,35 @@ def test_chunks_join_and_survive_a_shift():
     assert fingerprints.likeness(fingerprints.fingerprint(""), fingerprints.fingerprint("")) == 1.0
 
 
+@pytest.mark.parametrize("block", [130, 256, 1000])
+def test_chunks_do_not_depend_on_blocks(monkeypatch, block):
+    text = awkward_texts()[11][:20_000] + "aaaaaaaa" * 300 + awkward_texts()[6]
+    ends, print_ = fingerprints.cut_points(textnum.codepoints(text)), fingerprints.fingerprint(text)
+    monkeypatch.setattr(textnum, "BLOCK", block)
+    assert (fingerprints.cut_points(textnum.codepoints(text)) == ends).all() and (fingerprints.fingerprint(text) == print_).all()
+    assert fingerprints.likeness(print_, fingerprints.fingerprint("shifted by this " + text)) > 0.98
+
+
+def test_a_text_longer_than_a_block_is_like_its_shifted_self():
+    long = awkward_texts()[11]
+    text = (long + "\n") * (textnum.BLOCK // len(long) + 1) + "an end of its own"
+    assert len(text) > textnum.BLOCK and "".join(fingerprints.chunks(text)) == text
+    a, b = (fingerprints.fingerprint(t) for t in (text, "put before " + text))
+    assert fingerprints.likeness(a, b) > 0.99
+
+
+def test_likeness_equals_sets_of_chunks():
+    """By the chunks' texts: the length of distinct chunks that both hold, over that of the smaller text's."""
+    rng = random.Random(7)
+    for _ in range(30):
+        a = syllables(rng, rng.randint(0, 300))
+        b = a[rng.randint(0, len(a)) :] + syllables(rng, rng.randint(0, 100))
+        x, y = (set(fingerprints.chunks(t)) for t in (a, b))
+        size = [sum(map(len, s)) for s in (x, y)]
+        want = sum(map(len, x & y)) / min(size) if min(size) else float(max(size) == 0)
+        assert abs(fingerprints.likeness(fingerprints.fingerprint(a), fingerprints.fingerprint(b)) - want) < 1e-9
+
+
 @pytest.mark.parametrize("ranges", [1, 7])
 def test_fingerprints_of_awkward_rows(spark, ranges):
     df = awkward(spark)
@@ -121,6 +150,56 @@ def test_an_aimed_threat_counts_without_a_learned_word(spark):
     assert not {r.text for r in toxicity.reject_toxic(df, labels.where("false")).collect()} & set(threats)
 
 
+def features_by_rules(text, lexicon):
+    """The grammar's sums clause by clause, each transducer's rule said in words: no automaton, no search for entries."""
+    def entry(word):
+        return max([lexicon.get(word, 0.0), *(lexicon.get(f"{word[:n]}*", 0.0) for n in toxicity.STEM_LENGTHS if len(word) > n)])
+
+    total = [0.0] * 8
+    for clause in re.split(r"[.!?;\n]+", text.lower()):
+        words = toxicity._WORD.findall(clause)
+        kinds = ["threat" if w in toxicity.THREAT_WORDS else "insult" if entry(w) > 0 else "target" if w in toxicity.TARGET_WORDS else "negation" if w in toxicity.NEGATION_WORDS
+                 else "report" if w in toxicity.REPORT_WORDS or w in "\"«»„“”" else "other" for w in words]
+        score, matched, aimed, negated, reported = 0.0, False, False, False, False
+        for k, (word, kind) in enumerate(zip(words, kinds, strict=True)):
+            if kind not in ("insult", "threat"):
+                continue
+            before = kinds[:k]
+            at, own, target_after = "target" in before, entry(word), False
+            if kind == "threat" and not at:
+                ahead = kinds[k + 1 : k + 2 + toxicity.THREAT_REACH]
+                until = [a for a in ahead if a in ("threat", "target")][:1]
+                target_after = until == ["target"]
+            if kind == "threat" and (at or target_after):
+                own = max(own, toxicity.OF_A_THREAT)
+            if own <= 0:
+                continue
+            near = next((d for d, a in enumerate(reversed(before)) if a == "negation"), None)
+            hits = sum(a in ("target", "report", "other", "threat", "insult") for a in before[len(before) - (near or 0) :]) if near is not None else 99
+            is_negated = near is not None and hits < toxicity.NEGATION_REACH
+            is_reported = not is_negated and "report" in before
+            weight = own + (toxicity.NEGATED if is_negated else 0.0) + (toxicity.REPORTED if is_reported else 0.0)
+            weight += toxicity.AT_A_THREAT if kind == "threat" and (at or target_after) else 0.0
+            weight += toxicity.AIMED if at or target_after else 0.0
+            score, matched = score + weight, True
+            aimed, negated, reported = aimed or at or target_after, negated or is_negated, reported or is_reported
+        if matched:
+            sort = toxicity.REP if reported else toxicity.NEG if negated else toxicity.AIM if aimed else toxicity.PLAIN
+            total[sort] += max(score, 0.0)
+            total[4 + sort] += 1
+    return np.log1p(total)
+
+
+def test_toxicity_features_equal_the_rules_on_all_rows(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    scorer = toxicity.train(docs, labels)
+    texts = [t for _, t in documents(spark, sf_dir)]
+    some = sorted(scorer.lexicon)[:3]
+    texts += [f"{a} {b} {c}." for a in ("you", "not", "he said", "the") for b in (*(e.rstrip("*") for e in some), "kill", "word") for c in ("you", "kill them", "it all now", "")]
+    different = [t for t in texts if not np.allclose(scorer.features(t), features_by_rules(t, scorer.lexicon))]
+    assert not different, different[:3]
+
+
 def test_toxicity_of_awkward_rows(spark):
     df = awkward(spark)
     labels = spark.createDataFrame([(k, k % 2, (k + 1) % 2) for k in range(12)] + [(None, 1, 1), (3, None, None), (99, 1, 1)], "doc_id BIGINT, quality INT, toxic INT")
@@ -150,6 +229,49 @@ def test_ordinal_regression_orders_thresholds_and_recovers_grades():
     assert np.allclose(p.sum(1), 1) and np.corrcoef(p @ np.arange(4), y)[0, 1] > 0.75
 
 
+def test_grades_equal_the_formula_on_all_rows(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    rated = labels.selectExpr("doc_id", "quality * 2 + cast(doc_id % 2 as int) as stars")
+    model = quality.train(docs, rated, "stars")
+    assert model.grades == [0.0, 1.0, 2.0, 3.0] and (np.diff(model.thresholds) > 0).all()
+    texts = dict(documents(spark, sf_dir))
+    for r in quality.grade(docs, model, reach=2).collect():
+        z = float(quality.features(texts[r.doc_id]) @ model.weights)
+        upto = [0.0, *(1 / (1 + math.exp(z - t)) for t in model.thresholds), 1.0]
+        chance = [b - a for a, b in zip(upto, upto[1:], strict=False)]
+        assert abs(r.expected_grade - sum(g * c for g, c in zip(model.grades, chance, strict=True))) < 1e-4
+        assert abs(r.tail_probability - sum(chance[2:])) < 1e-4 and r.keep == (r.tail_probability >= 0.5)
+    stars = {r.doc_id: r.stars for r in rated.collect()}
+    got = [(stars[r.doc_id], r.expected_grade) for r in quality.grade(docs, model).collect() if r.doc_id in stars]
+    assert np.mean([e for s, e in got if s >= 2]) > np.mean([e for s, e in got if s < 2]) + 1.0
+
+
+def test_fit_has_the_best_likelihood_nearby():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 4)).astype(np.float32)
+    y = np.digitize(x @ np.array([1.5, -1, 0, 0.5]) + rng.logistic(size=400), [-1, 1])
+    m = quality.fit(x, y)
+
+    def cost(w, cuts):
+        p = quality.OrdinalModel([0, 1, 2], w, cuts).probabilities(x)[np.arange(400), y]
+        return -np.log(np.maximum(p, 1e-12)).mean() + 1.5e-4 * float((w * w).sum())
+
+    best = cost(m.weights, m.thresholds)
+    assert all(best <= cost(m.weights + rng.normal(0, 0.05, 4), m.thresholds + np.sort(rng.normal(0, 0.05, 2))) + 1e-4 for _ in range(50))
+
+
+def test_many_grades_become_ordered_ranges(spark):
+    rows = [(k, syllables(random.Random(k), 5) + " good" * (k % 50)) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    rated = spark.createDataFrame([(k, k % 50) for k in range(400)], "doc_id BIGINT, quality INT")
+    limits, means = quality.graded_ranges(rated.selectExpr("doc_id", "cast(quality as double) as grade"))
+    assert 2 < len(limits) <= quality.MOST_GRADES and limits == sorted(limits) and means == sorted(means)
+    model = quality.train(docs, rated)
+    assert model.grades[-1] > 45 and model.grades[0] < 5
+    rows = quality.grade(docs, model).collect()
+    assert np.corrcoef([r.expected_grade for r in rows], [r.doc_id % 50 for r in rows])[0, 1] > 0.8
+
+
 def test_quality_of_awkward_rows(spark):
     df = awkward(spark)
     labels = spark.createDataFrame([(k, k % 3) for k in range(12)] + [(None, 1), (3, None)], "doc_id BIGINT, quality INT")
@@ -158,12 +280,11 @@ def test_quality_of_awkward_rows(spark):
     assert quality.grade(empty(spark), quality.train(df, labels.where("false"))).count() == 0
 
 
-def check_packing(rows, docs):
+def check_pieces(rows, docs):
     encode = packing.encoder(VOCABULARY, RANKS)
-    by_doc, by_sequence = {}, {}
+    by_doc = {}
     for r in rows:
         by_doc.setdefault(r.doc_id, []).append(r)
-        by_sequence.setdefault(r.sequence_id, []).append(r)
     for doc, text in docs:
         ids = np.array([*encode(text), 0], "<u4")
         at = 0
@@ -171,7 +292,12 @@ def check_packing(rows, docs):
             assert r.start == at and r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
             at += r.length
         assert at == len(ids)
-    padding = 0
+
+
+def check_sequences(rows):
+    by_sequence, padding = {}, 0
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append(r)
     for pieces in by_sequence.values():
         at = 0
         for r in sorted(pieces, key=lambda r: r.offset):
@@ -183,14 +309,17 @@ def check_packing(rows, docs):
 
 
 def test_packing_query_on_all_rows(spark, sf_dir):
-    assert check_packing(QUERIES["op7_packing"](spark, sf_dir).collect(), documents(spark, sf_dir)) == 0
+    rows = QUERIES["op7_packing"](spark, sf_dir).collect()
+    check_pieces(rows, documents(spark, sf_dir))
+    assert check_sequences(rows) == 0
 
 
 def test_packing_of_awkward_rows(spark):
     df = awkward(spark)
     rows = packing.pack(df, VOCABULARY, RANKS, docs_per_group=5).collect()
     unique = [(r.doc_id, r.text or "") for r in df.where("doc_id IS NOT NULL AND doc_id != 6").collect()]
-    check_packing([r for r in rows if r.doc_id not in (None, 6)], unique) if len({r.sequence_id for r in rows}) == 0 else None
+    check_pieces(rows, unique)
+    check_sequences(rows)
     total = sum(len(packing.encoder(VOCABULARY, RANKS)(r.text or "")) + 1 for r in df.collect())
     assert sum(r.length for r in rows) == total
     assert packing.pack(empty(spark), VOCABULARY, RANKS).count() == 0
@@ -288,4 +417,5 @@ def _covered(index, t, text, offset):
 def test_licences_of_awkward_rows(spark):
     assert licenses.scan(awkward(spark)).count() == awkward(spark).count()
     assert licenses.scan(empty(spark)).count() == 0
-    assert SCHEMA and F
+    got = {(r.doc_id, r.n_words, r.labels, r.score) for r in licenses.scan(awkward(spark)).where("doc_id < 4").collect()}
+    assert got == {(0, 0, "", 0.0), (1, 0, "", 0.0), (2, 0, "", 0.0), (3, 1, "", 0.0)}
