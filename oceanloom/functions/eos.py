@@ -6,7 +6,9 @@ whole-stage code generation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # The published JMD95 coefficients, in the order of their polynomials.
@@ -78,6 +80,12 @@ def negative_salinity(df: DataFrame, salt: str = "salt") -> DataFrame:
     return df.agg(F.count_if(F.col(salt) < 0).alias("negative_salinity"))
 
 
+def observed(df: DataFrame, salt: str = "salt") -> tuple[DataFrame, Observation]:
+    """The same rows, and an observation that holds ``negative_salinity`` once an action has run over them."""
+    seen = Observation(f"salinity-{uuid.uuid4().hex}")
+    return df.observe(seen, F.count_if(F.col(salt) < 0).alias("negative_salinity")), seen
+
+
 def register(spark) -> None:
     """Create temporary SQL functions ``seawater_density`` and ``seawater_bulk_modulus``."""
     for name, pressure in (("seawater_density", "p_dbar"), ("seawater_bulk_modulus", "p_bar")):

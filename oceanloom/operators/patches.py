@@ -36,17 +36,19 @@ def extent(samples: DataFrame, grid: DataFrame, axis: str, km: float) -> DataFra
         return F.when(side & (gap == 0), F.sum(F.when(side, F.col("d"))).over(w))
 
     rows = rows.withColumn("cum_high", running(is_high, up)).withColumn("cum_low", running(is_low, down))
-    count = lambda c: F.count_if(c)
-    counted = rows.groupBy("sample_id").agg(
+    whole = Window.partitionBy("sample_id")  # as the running sums: one shuffle for all
+    count = lambda c: F.count_if(c).over(whole)
+    counted = rows.select(
+        "sample_id", "c", "k", "d",
         count(F.col("cum_low") < km).alias("low0"), count(is_low).alias("len_low"), count(F.col("cum_high") < km).alias("high0"), count(is_high).alias("len_high"),
     )
     low_ends = F.col("low0") == F.col("len_low")
     counted = counted.select(
-        "sample_id", F.when(low_ends, F.col("high0")).otherwise(F.col("low0")).alias("low"),
+        "sample_id", "c", "k", "d", F.when(low_ends, F.col("high0")).otherwise(F.col("low0")).alias("low"),
         F.when(~low_ends & (F.col("high0") == F.col("len_high")), F.col("low0")).otherwise(F.col("high0")).alias("high"),
     )
     inside = F.col("k").between(F.col("c") - F.col("low"), F.col("c") + F.col("high") - 1)
-    spans = rows.select("sample_id", "c", "k", "d").join(counted, "sample_id").groupBy("sample_id").agg(
+    spans = counted.groupBy("sample_id").agg(
         F.first("low").alias("low"), F.first("high").alias("high"), F.first("c").alias("_c"),
         F.sum(F.when(inside, F.col("d"))).alias("_sum"), F.count_if(inside & F.col("d").isNull()).alias("_gaps"),
     )
@@ -75,29 +77,34 @@ def patch_bounds(samples: DataFrame, grid: DataFrame, km: float) -> DataFrame:
     return b.withColumn("status", status).drop("ni", "nj")
 
 
-def patch_pixels(cells: DataFrame, patches: DataFrame, channels: list[str]) -> DataFrame:
+def patch_pixels(cells: DataFrame, patches: DataFrame, channels: list[str], with_size: bool = False) -> DataFrame:
     """``sample_id, channel, y, x, v``: every cell of every accepted patch, channels in the order given; missing stays NULL.
 
-    Patches expand to their own cells, then meet the grid by key: no range join.
+    Patches expand to their own cells, then meet the grid by key: no range join.  With ``with_size`` each row also has its patch's ``h, w``.
     """
     ok = patches.where("status = 'ok'") if "status" in patches.columns else patches
-    rows = ok.select("sample_id", "face", "i_start", "i_end", "j_start", F.explode(F.sequence("j_start", "j_end")).alias("j"))
-    want = rows.select("sample_id", "face", "i_start", "j_start", "j", F.explode(F.sequence("i_start", "i_end")).alias("i"))
+    size = [(F.col("j_end") - F.col("j_start") + 1).alias("h"), (F.col("i_end") - F.col("i_start") + 1).alias("w")] if with_size else []
+    rows = ok.select("sample_id", "face", "i_start", "i_end", "j_start", *size, F.explode(F.sequence("j_start", "j_end")).alias("j"))
+    size = ["h", "w"] if with_size else []
+    want = rows.select("sample_id", "face", "i_start", "j_start", *size, "j", F.explode(F.sequence("i_start", "i_end")).alias("i"))
     held = cells.select("face", "j", "i", F.array(*[F.col(c).cast("float") for c in channels]).alias("_v"))
     got = want.join(held, ["face", "j", "i"], "left")
     values = F.coalesce("_v", F.array(*[F.lit(None).cast("float")] * len(channels)))
-    return got.select("sample_id", (F.col("j") - F.col("j_start")).alias("y"), (F.col("i") - F.col("i_start")).alias("x"), F.posexplode(values).alias("channel", "v")).select("sample_id", "channel", "y", "x", "v")
+    each = got.select("sample_id", *size, (F.col("j") - F.col("j_start")).alias("y"), (F.col("i") - F.col("i_start")).alias("x"), F.posexplode(values).alias("channel", "v"))
+    return each.select("sample_id", "channel", "y", "x", "v", *size)
 
 
 def downsample(pixels: DataFrame, target: int = 64, strict: bool = False) -> DataFrame:
     """Adaptive mean to ``target x target``: output row k covers input rows ``floor(kH/T)`` to ``ceil((k+1)H/T) - 1``.
 
     A window with a missing value is missing.  Images smaller than the target are left out, or raise ``ValueError`` with ``strict``.
+    Sizes are taken from ``h, w`` where the pixels have them, or else found from the pixels.
     """
-    size = pixels.groupBy("sample_id").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
-    if strict and size.where((F.col("h") < target) | (F.col("w") < target)).limit(1).count():
+    if not {"h", "w"} <= set(pixels.columns):
+        pixels = pixels.join(pixels.groupBy("sample_id").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w")), "sample_id")
+    if strict and pixels.where((F.col("h") < target) | (F.col("w") < target)).limit(1).count():
         raise ValueError(f"an image is smaller than {target} x {target}")
-    big = pixels.join(size.where((F.col("h") >= target) & (F.col("w") >= target)), "sample_id")
+    big = pixels.where((F.col("h") >= target) & (F.col("w") >= target))
 
     def targets(at: str, n: str) -> Column:
         first = F.expr(f"CAST({at} * {target} div {n} AS INT)")

@@ -83,12 +83,13 @@ def sample_on_pdf(df: DataFrame, value: str, n: int, pool: int = 1000, bins: int
 def first_match(df: DataFrame, samples: DataFrame, value: str, order: str, tolerance: float) -> DataFrame:
     """For each row of ``samples(sample_id, s)`` the first row, by ``order``, with ``abs(value - s) < tolerance``; NULL where none.
 
-    Values go to buckets as wide as the tolerance, and each sample looks in three of them: an equi-join instead of a nested loop.
+    Values go to buckets as wide as the tolerance, and each sample looks in those beside its own: an equi-join instead of a nested
+    loop.  Buckets are doubles, which don't overflow; a quotient may round to the next one, so two on either side are looked in.
     """
     if tolerance <= 0:
         raise ValueError("tolerance must be above 0")
-    bucket = lambda x: F.floor(x / F.lit(tolerance)).cast("bigint")
-    asked = samples.select("sample_id", "s", F.explode(F.array(*[bucket(F.col("s")) + d for d in (-1, 0, 1)])).alias("_b"))
+    bucket = lambda x: F.rint(x / F.lit(float(tolerance)))
+    asked = samples.select("sample_id", "s", F.explode(F.array_distinct(F.array(*[bucket(F.col("s")) + float(d) for d in (-2, -1, 0, 1, 2)]))).alias("_b"))
     held = df.where(F.col(value).isNotNull()).select(F.col(order).alias("_order"), F.col(value).alias("_v"), bucket(F.col(value)).alias("_b"))
     best = asked.join(held, "_b").where(F.abs(F.col("_v") - F.col("s")) < tolerance).groupBy("sample_id").agg(F.min("_order").alias("match"))
     return samples.select("sample_id", "s").join(best, "sample_id", "left")

@@ -14,11 +14,81 @@ BINS, Q_LOW, Q_HIGH = 200, 0.001, 0.999
 LOG_RANGE = (0.01, 0.99)
 
 
+#: Accuracy of the sketch that brackets a rank, bins of one narrowing pass, and values that are fetched at the end.
+SKETCH, NARROWING, FETCHED = 10_000, 4_096, 20_000
+
+
 def quantiles(df: DataFrame, value: str, low: float, high: float, approximate: bool = False) -> DataFrame:
-    """``vmin, vmax``: exact, linearly interpolated; approximate only if asked for."""
-    at = F.array(F.lit(low), F.lit(high))
-    q = F.percentile_approx(value, at, F.lit(10000)) if approximate else F.percentile(value, at)
-    return df.agg(q.alias("q")).select(F.col("q")[0].cast("double").alias("vmin"), F.col("q")[1].cast("double").alias("vmax"))
+    """``vmin, vmax``: exact, linearly interpolated; approximate only if asked for.
+
+    Exact ones are found when this is called, in two passes or a few more: see ``values_at``.
+    """
+    if approximate:
+        q = df.agg(F.percentile_approx(value, F.array(F.lit(low), F.lit(high)), F.lit(SKETCH)).alias("q"))
+        return q.select(F.col("q")[0].cast("double").alias("vmin"), F.col("q")[1].cast("double").alias("vmax"))
+    return df.sparkSession.createDataFrame([tuple(values_at(df, value, [low, high]))], "vmin DOUBLE, vmax DOUBLE")
+
+
+def values_at(df: DataFrame, value: str, shares: list[float]) -> list[float | None]:
+    """Exact quantiles without a table of all values in one task.
+
+    A sketch brackets each quantile; a second pass counts what lies below each bracket and groups what lies within.  Where that is
+    more than FETCHED values, histograms between the bracket's ends narrow it until it is less, or one value.
+    """
+    v = df.select(F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    wide = 2.0 / SKETCH
+    edges = [e for s in shares for e in (max(s - wide, 0.0), min(s + wide, 1.0))]
+    first = v.agg(F.percentile_approx("_v", F.array(*map(F.lit, edges)), F.lit(SKETCH)).alias("q"), F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).first()
+    if not first["n"]:
+        return [None] * len(shares)
+    found: dict[int, float] = {}
+    for k, share in enumerate(shares):
+        at = share * (first["n"] - 1)
+        for rank in sorted({int(at), min(int(at) + 1, first["n"] - 1)}):
+            if rank not in found:
+                found[rank] = _value_at_rank(v, rank, first["q"][2 * k], first["q"][2 * k + 1], first["lo"], first["hi"], found)
+    out = []
+    for share in shares:
+        at = share * (first["n"] - 1)
+        below = int(at)
+        above = min(below + 1, first["n"] - 1)
+        out.append(found[below] + (at - below) * (found[above] - found[below]))
+    return out
+
+
+def _value_at_rank(v: DataFrame, rank: int, lo: float, hi: float, least: float, most: float, found: dict[int, float]) -> float:
+    """The value of that rank, from 0.  ``found`` also gets the other ranks that the same pass shows."""
+    while True:
+        inside = F.col("_v").between(lo, hi)
+        rows = v.where(F.col("_v") <= hi).groupBy(F.when(inside, F.col("_v")).alias("x")).agg(F.count("*").alias("n")).limit(FETCHED + 2).collect()
+        if len(rows) <= FETCHED + 1:
+            upto = sum(r["n"] for r in rows if r["x"] is None)
+            if rank < upto:  # the sketch's bracket lay too high
+                lo, hi = least, lo
+                continue
+            for r in sorted((r for r in rows if r["x"] is not None), key=lambda r: r["x"]):
+                if upto <= rank + 1 < upto + r["n"]:
+                    found[rank + 1] = r["x"]
+                if upto <= rank < upto + r["n"]:
+                    answer = r["x"]
+                upto += r["n"]
+            if rank >= upto:  # or too low
+                lo, hi = hi, most
+                continue
+            return answer
+        bin_of = F.least(F.floor((F.col("_v") - lo) / (hi - lo) * NARROWING), F.lit(NARROWING - 1))
+        bins = v.where(F.col("_v") <= hi).groupBy(F.when(inside, bin_of).alias("b")).agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect()
+        upto = sum(r["n"] for r in bins if r["b"] is None)
+        if rank < upto:
+            lo, hi = least, lo
+            continue
+        for r in sorted((r for r in bins if r["b"] is not None), key=lambda r: r["b"]):
+            if rank < upto + r["n"]:
+                lo, hi = r["lo"], r["hi"]
+                break
+            upto += r["n"]
+        else:
+            lo, hi = hi, most
 
 
 def log_magnitude(value: Column | str) -> Column:

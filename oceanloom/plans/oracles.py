@@ -93,12 +93,19 @@ ORACLES: dict[str, str] = {
     "list_theta_files": "WITH " + _LIST + " SELECT pos, path, iter FROM th",
     "latest_iteration": "WITH " + _LIST + " SELECT pos, path, iter FROM th ORDER BY iter DESC, pos LIMIT 1",
     "last_listed_file": "WITH " + _LIST + " SELECT pos, path, iter FROM th ORDER BY pos DESC LIMIT 1",
-    "merge_landmask": _grid("SELECT face, j, i, CASE WHEN face IN (0,5,6,7) THEN round(theta, 6) END theta, CASE WHEN face IN (0,5,6,7) THEN round(salt, 6) END salt, CASE WHEN hfacc > 0 THEN 1e0 END maskc, coalesce(hfacc > 0, false) is_ocean FROM g"),
+    "flux_variables": _grid("SELECT CAST(10000 AS BIGINT) iter, face, j, i, round(theta*2, 6) KPPhbl, round(salt/2, 6) oceTAUX FROM g"),
+    "read_stores": _grid("SELECT CAST(10000 AS BIGINT) iter, face, j, i, round(CASE WHEN face <= 7 THEN theta ELSE theta + 100 END, 6) theta FROM g WHERE face IN (0, 5, 7, 8, 12)"),
+    "references": "SELECT CAST(n_nationkey AS INT) nation, true listed, n_name \"name\", CAST(n_regionkey AS INT) region FROM nation",
+    "object_paths": "SELECT n_nationkey, 'bucket/f' || (n_nationkey % 13) || '/it_0000010000.json' path FROM nation",
+    "merge_inner": _grid("SELECT face, j, i, round(theta, 6) theta, round(salt, 6) salt, CASE WHEN hfacc > 0 THEN 1e0 END maskc, coalesce(hfacc > 0, false) is_ocean FROM g WHERE (i + j) % 7 <> 0"),
+    "merge_landmask": _grid("SELECT face, j, i, CASE WHEN (i + j) % 7 <> 0 THEN round(theta, 6) END theta, CASE WHEN (i + j) % 7 <> 0 THEN round(salt, 6) END salt, CASE WHEN hfacc > 0 THEN 1e0 END maskc, coalesce(hfacc > 0, false) is_ocean FROM g"),
     "density_surface": _grid(f"SELECT face, j, i, round({_rho('salt', 'theta')}, 6) rho FROM g"),
     "density_pressure": _grid(f"SELECT face, j, i, round({_rho('salt', 'theta')}/(1e0 - (j*50e0*0.1e0)/{_bulk('salt', 'theta', '(j*50e0*0.1e0)')}), 6) rho FROM g"),
     "bulk_modulus": _grid(f"SELECT face, j, i, round({_bulk('salt', 'theta', '(j*5e0)')}, 6) k FROM g"),
     "buoyancy": _grid(f"SELECT face, j, i, round(0.0098e0*{_rho('salt', 'theta')}/1025e0*1e3, 6) b FROM g"),
     "negative_salinity": _grid("SELECT count(*) FILTER (salt - 34e0 < 0) negative_salinity FROM g"),
+    "observed_negative_salinity": _grid("SELECT count(*) FILTER (salt - 34e0 < 0) negative_salinity FROM g"),
+    "gradient_attributes": "SELECT * FROM (VALUES ('zonal', 'zonal gradient of potential temperature', 'K/m'), ('merid', 'meridional gradient of potential temperature', 'K/m')) t(name, long_name, units)",
     "diff_x": _grid("SELECT face, j, i, round(theta - lag(theta) OVER (PARTITION BY face, j ORDER BY i), 6) d FROM g"),
     "diff_y": _grid("SELECT face, j, i, round(coalesce(theta - lag(theta) OVER (PARTITION BY face, i ORDER BY j), 0e0), 6) d FROM g"),
     "interp_fill": _grid("SELECT face, j, i, round(0.5e0*(theta + coalesce(lead(theta) OVER (PARTITION BY face, j ORDER BY i), 0e0)), 6) m FROM g"),
@@ -106,6 +113,7 @@ ORACLES: dict[str, str] = {
     "grad_squared": _grid("SELECT face, count(zonal*zonal+merid*merid) n, round(max((zonal*zonal+merid*merid)*1e9), 6) g2_max, round(avg((zonal*zonal+merid*merid)*1e9), 6) g2_mean FROM gr GROUP BY face",
                           f"f AS (SELECT *, 0.0098e0*{_rho('salt', 'theta')}/1025e0*1e4 v FROM g)", _GX),
     "compute_pdf": "WITH " + _PDF(200) + " SELECT bin, round(lo, 6) lo, round(hi, 6) hi, n, round(n/sum(n) OVER (), 6) pdf, round(sum(n) OVER (ORDER BY bin)/sum(n) OVER (), 6) cdf FROM h",
+    "approximate_quantiles": "SELECT true low_ok, true high_ok",
     "log_range": "SELECT round(quantile_cont(log10(abs(l_discount)), 0.01), 6) vmin, round(quantile_cont(log10(abs(l_discount)), 0.99), 6) vmax FROM lineitem WHERE abs(l_discount) > 0",
     "density_hist": "WITH " + _hist("SELECT abs(value) v FROM events WHERE abs(value) > 0", 200, "min(v)", "max(v)") + " " + _DENSITY,
     "log_density_hist": "WITH " + _hist("SELECT log10(abs(value)) v FROM events WHERE abs(value) > 0", 200, "min(v)", "max(v)") + " " + _DENSITY,
@@ -123,6 +131,8 @@ ORACLES: dict[str, str] = {
         "mk AS (SELECT face, j, i, NOT coalesce(hfacc > 0, false) m FROM g)", "sp AS (SELECT face, avg(dxc)/1000 dx, avg(dyc)/1000 dy FROM g GROUP BY face)",
         "ip AS (SELECT a.face, a.j+b.j pj, a.i+b.i pi FROM mk a JOIN mk b ON a.face=b.face AND ((a.j=b.j AND b.i=a.i+1) OR (a.i=b.i AND b.j=a.j+1)) WHERE a.m <> b.m)"),
     "weighted_sample": _grid("SELECT sample_id, face, j, i FROM smp", _SAMPLE),
+    "weighted_sample_by_column": _grid(f"""SELECT row_number() OVER (ORDER BY key DESC, face, j, i) sample_rank, face, j, i FROM
+ (SELECT face, j, i, CASE WHEN face < 6 THEN 0.25e0 ELSE 0.75e0 END*(theta - (SELECT min(theta) FROM g)) - ln(-ln({_u('face', 'j', 'i', '7')})) AS key FROM g WHERE theta IS NOT NULL ORDER BY key DESC, face, j, i LIMIT 50)"""),
     "sample_weights": _grid("SELECT face, j, i, round(w, 6) w, round(w/sum(w) OVER ()*1e6, 6) p FROM (SELECT face, j, i, exp(0.5e0*(theta - min(theta) OVER ())) w FROM g)"),
     "uniform_sample": _grid(f"SELECT face, j, i FROM g ORDER BY {_u('face', 'j', 'i', '7')}, face, j, i LIMIT 50"),
     "linear_bin_counts": "WITH " + _LINEAR + " SELECT bin, n FROM bc",
@@ -130,7 +140,7 @@ ORACLES: dict[str, str] = {
     "inverse_transform_sample": "WITH " + _PDF(50) + f""", cd AS (SELECT *, sum(n) OVER (ORDER BY bin)/sum(n) OVER () cdf FROM h), bb AS (SELECT bin, lo, hi, coalesce(lag(cdf) OVER (ORDER BY bin), -1) bl, CASE WHEN bin=49 THEN 2e0 ELSE cdf END up FROM cd),
  uu AS (SELECT d draw, {_u('d', '1', '7')} u1, {_u('d', '2', '7')} u2 FROM range(500) t(d)) SELECT draw, bin, round(lo + u2*(hi-lo), 6) v FROM uu JOIN bb ON u1 > bl AND u1 <= up""",
     "sample_on_pdf": "WITH " + _PDF(10) + ", " + _LINEAR + ", " + _DRAWN.format(seed="7") + f" SELECT bin, draw, round(v, 6) v FROM dr ORDER BY {_u('bin', 'draw', '8')}, bin, draw LIMIT 100",
-    "first_match_tolerance": """WITH s AS (SELECT p_partkey sample_id, p_retailprice + CASE WHEN p_partkey % 40 = 0 THEN 0e0 ELSE 1e7 END s FROM part WHERE p_partkey % 20 = 0)
+    "first_match_tolerance": """WITH s AS (SELECT p_partkey sample_id, p_retailprice + CASE WHEN p_partkey % 2 = 0 THEN 0e0 ELSE 1e7 END s FROM part)
  SELECT sample_id, s, min(p_partkey) "match" FROM s LEFT JOIN part ON abs(p_retailprice - s) < 0.01 GROUP BY ALL""",
     "extent_i": _grid("SELECT sample_id, low, high, round(real_km, 6) real_km FROM e_i", _SAMPLE, _EI),
     "extent_j": _grid("SELECT sample_id, low, high, round(real_km, 6) real_km FROM e_j", _SAMPLE, _EJ),
@@ -141,6 +151,12 @@ ORACLES: dict[str, str] = {
     "image_downsample": _grid("""SELECT sample_id, channel, CAST(ky AS INT) y, CAST(kx AS INT) x, round(CAST(CAST(CASE WHEN count(v) = count(*) THEN avg(CAST(v AS DOUBLE)) END AS FLOAT) AS DOUBLE), 4) v
  FROM px JOIN (SELECT sample_id, max(y)+1 h, max(x)+1 w FROM px GROUP BY 1) USING (sample_id), range(4) a(ky), range(4) b(kx)
  WHERE h >= 4 AND w >= 4 AND y >= ky*h//4 AND y < ((ky+1)*h+3)//4 AND x >= kx*w//4 AND x < ((kx+1)*w+3)//4 GROUP BY ALL""", _SAMPLE, _EI, _EJ, _BOUNDS, _PIX),
+    "image_tensor": _grid("""SELECT sample_id, CAST(max(channel)+1 AS INT) c, CAST(max(ky)+1 AS INT) h, CAST(max(kx)+1 AS INT) w, string_agg(coalesce(CAST(CAST(round(CAST(v AS DOUBLE)*1e3) AS BIGINT) AS VARCHAR), '-'), ',' ORDER BY channel, ky, kx) AS data FROM
+ (SELECT sample_id, channel, ky, kx, CAST(CASE WHEN count(v) = count(*) THEN avg(CAST(v AS DOUBLE)) END AS FLOAT) v
+ FROM px JOIN (SELECT sample_id, max(y)+1 h, max(x)+1 w FROM px GROUP BY 1) USING (sample_id), range(4) a(ky), range(4) b(kx)
+ WHERE h >= 4 AND w >= 4 AND y >= ky*h//4 AND y < ((ky+1)*h+3)//4 AND x >= kx*w//4 AND x < ((kx+1)*w+3)//4 GROUP BY sample_id, channel, ky, kx) GROUP BY sample_id""", _SAMPLE, _EI, _EJ, _BOUNDS, _PIX),
+    "metadata_union": "SELECT event_type, count(*) n, count(CASE WHEN event_id % 2 = 1 THEN value END) with_value FROM events GROUP BY 1",
+    "metadata_records": "SELECT CAST(n_nationkey AS BIGINT) nation, n_name \"name\", CASE WHEN n_nationkey % 3 <> 0 THEN CASE WHEN n_nationkey < 14 THEN n_nationkey ELSE n_nationkey + 0.5e0 END END size FROM nation",
     "metadata_append": "SELECT event_type, count(*) n, count(CASE WHEN event_id % 2 = 1 THEN value END) with_value FROM events GROUP BY 1",
     "hash_uniform": _grid(f"SELECT face, j, i, round({_u('face', 'j', 'i', '7')}, 6) u FROM g"),
 }

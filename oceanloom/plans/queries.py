@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oceanloom.functions import eos
 from oceanloom.functions.hashing import uniform
 from oceanloom.operators import halo, model, mosaic, patches, sampling, stats, stencil
-from oceanloom.sources import metadata, readers, tables
+from oceanloom.sources import metadata, readers, scratch, tables
 
 PATCH_KM, IMAGE, HALO_KM, BIAS, SAMPLES, SEED = 7.0, 4, 2.2, 0.5, 50, 7
 PREFIX = "snap_f"
@@ -37,8 +41,23 @@ def _bounds(spark: SparkSession, d: str) -> DataFrame:
     return patches.patch_bounds(_samples(spark, d), tables.geometry(spark, d), PATCH_KM)
 
 
-def _pixels(spark: SparkSession, d: str) -> DataFrame:
-    return patches.patch_pixels(tables.cells(spark, d), _bounds(spark, d), ["theta", "salt"])
+def _pixels(spark: SparkSession, d: str, with_size: bool = False) -> DataFrame:
+    return patches.patch_pixels(tables.cells(spark, d), _bounds(spark, d), ["theta", "salt"], with_size)
+
+
+@contextmanager
+def _written(spark: SparkSession) -> Iterator[str]:
+    """A folder for what a query writes and reads back; it is removed when the rows have been taken by ``_kept``."""
+    folder = f"{scratch.shared_folder(spark)}/query-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        scratch.remove(spark, folder)
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """The rows as they are now, in the shared folder, so that their source may go."""
+    return df.checkpoint()
 
 
 def scan_snapshot(spark, d):
@@ -61,12 +80,55 @@ def last_listed_file(spark, d):
     return readers.last_listed(tables.listing(spark, d), PREFIX)
 
 
+def _partial_state(spark: SparkSession, d: str) -> DataFrame:
+    """State of all faces but for every seventh diagonal of cells."""
+    return readers.select_snapshot(tables.snapshot(spark, d), 10000).where((F.col("i") + F.col("j")) % 7 != 0).drop("iter")
+
+
 def merge_landmask(spark, d):
-    state = readers.select_snapshot(tables.snapshot(spark, d), 10000, [0, 5, 6, 7]).drop("iter")
-    merged, _ = model.prepare(state, tables.geometry(spark, d))
+    merged, _ = model.prepare(_partial_state(spark, d), tables.geometry(spark, d))
+    return _round(merged.select("face", "j", "i", "theta", "salt", "maskc", "is_ocean"), "theta", "salt")
+
+
+def merge_inner(spark, d):
+    merged, _ = model.prepare(_partial_state(spark, d), tables.geometry(spark, d), "inner")
     return _round(merged.select("face", "j", "i", "theta", "salt", "maskc", "is_ocean"), "theta", "salt")
 
 
+def flux_variables(spark, d):
+    o = tables.cells(spark, d)
+    flux = o.select(F.lit(10000).cast("bigint").alias("iter"), F.lit(0).alias("time_idx"), "face", "j", "i", (F.col("theta") * 2).alias("KPPhbl"), (F.col("salt") / 2).alias("oceTAUX"), "theta")
+    return _round(readers.select_snapshot(flux, 10000, variables="flux"), "KPPhbl", "oceTAUX")
+
+
+def read_stores(spark, d):
+    """Two stores with a depth dimension, written by iteration and face, read as one; the first wins where both hold a cell."""
+    cells = tables.snapshot(spark, d).select("iter", "face", "j", "i", "theta").withColumn("k", F.explode(F.array(*map(F.lit, (0, 1, 2)))))
+    deeper = cells.withColumn("theta", F.col("theta") - F.col("k"))
+    with _written(spark) as folder:
+        readers.write_partitioned(deeper.where("face <= 7"), f"{folder}/a")
+        readers.write_partitioned(deeper.where("face >= 5").withColumn("theta", F.col("theta") + 100), f"{folder}/b")
+        return _kept(_round(readers.read_snapshots(spark, [f"{folder}/a", f"{folder}/b"], 10000, [0, 5, 7, 8, 12]), "theta"))
+
+
+def references(spark, d):
+    """A JSON reference file for each nation, listed, read and parsed."""
+    n = tables.table(spark, d, "nation")
+    doc = F.to_json(F.struct(F.lit(1).alias("version"), F.struct(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")).alias("refs")))
+    with _written(spark) as folder:
+        n.select(F.col("n_nationkey").alias("nation"), doc.alias("value")).repartition("nation").write.partitionBy("nation").text(folder)
+        listed = readers.list_objects(spark, folder, "*.txt")
+        read = readers.read_references(spark, folder).select("path", F.try_variant_get("content", "$.refs.name", "string").alias("name"), F.try_variant_get("content", "$.refs.region", "int").alias("region"))
+        tail = lambda c: F.element_at(F.split(c, "/"), -2)
+        key = F.regexp_extract(tail(F.col("path")), r"nation=(\d+)", 1).cast("int")
+        return _kept(listed.select(key.alias("nation"), (F.col("pos") >= 0).alias("listed")).join(read.select(key.alias("nation"), "name", "region"), "nation"))
+
+
+def object_paths(spark, d):
+    k = tables.table(spark, d, "nation").select((F.col("n_nationkey") % 13).cast("int").alias("face"), "n_nationkey")
+    return k.select("n_nationkey", readers.snapshot_path("bucket/f%d/it_%010d.json", 10000, "face").alias("path"))
+
+
 def density_surface(spark, d):
     return _round(tables.cells(spark, d).select("face", "j", "i", eos.density("salt", "theta").alias("rho")), "rho")
 
@@ -83,6 +145,20 @@ def buoyancy(spark, d):
     return _round(tables.cells(spark, d).select("face", "j", "i", (eos.buoyancy() * 1e3).alias("b")), "b")
 
 
+def observed_negative_salinity(spark, d):
+    """The same count, taken on the side while another action runs over the rows."""
+    rows, seen = eos.observed(tables.cells(spark, d).withColumn("salt", F.col("salt") - 34.0))
+    rows.select(eos.density("salt", "theta")).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(seen.get["negative_salinity"],)], "negative_salinity BIGINT")
+
+
+def gradient_attributes(spark, d):
+    """The names and units that go with a gradient's columns."""
+    g = stencil.tracer_gradient(tables.cells(spark, d), "theta", long_name="potential temperature", units="K/m")
+    rows = [(f.name, f.metadata.get("long_name"), f.metadata.get("units")) for f in g.schema if f.name in ("zonal", "merid")]
+    return spark.createDataFrame(rows, "name STRING, long_name STRING, units STRING")
+
+
 def negative_salinity(spark, d):
     return eos.negative_salinity(tables.cells(spark, d).withColumn("salt", F.col("salt") - 34.0))
 
@@ -118,6 +194,15 @@ def compute_pdf(spark, d):
     return _round(stats.probability_table(_price(spark, d), "v", 200), "lo", "hi", "pdf", "cdf")
 
 
+def approximate_quantiles(spark, d):
+    """Whether the sketch's limits lie within a thousandth of the ranks asked for."""
+    v = _price(spark, d)
+    q = stats.quantiles(v, "v", 0.1, 0.9, approximate=True)
+    share = lambda c: F.avg((F.col("v") <= F.col(c)).cast("double"))
+    near = v.crossJoin(F.broadcast(q)).agg((F.abs(share("vmin") - 0.1) < 0.001).alias("low_ok"), (F.abs(share("vmax") - 0.9) < 0.001).alias("high_ok"))  # one row of limits
+    return near
+
+
 def log_range(spark, d):
     return _round(stats.log_range(tables.table(spark, d, "lineitem"), "l_discount"), "vmin", "vmax")
 
@@ -171,6 +256,12 @@ def weighted_sample(spark, d):
     return _samples(spark, d)
 
 
+def weighted_sample_by_column(spark, d):
+    """The strength of the bias depends on the cell."""
+    cells = tables.cells(spark, d).select("face", "j", "i", F.col("theta").alias("v"))
+    return sampling.weighted_sample(cells, SAMPLES, F.when(F.col("face") < 6, 0.25).otherwise(0.75), seed=SEED).withColumn("sample_rank", F.col("sample_rank").cast("bigint"))
+
+
 def sample_weights(spark, d):
     w = sampling.weights(tables.cells(spark, d).select("face", "j", "i", F.col("theta").alias("v")), BIAS)
     return _round(w.select("face", "j", "i", "w", (F.col("p") * 1e6).alias("p")), "w", "p")
@@ -198,7 +289,7 @@ def sample_on_pdf(spark, d):
 
 def first_match_tolerance(spark, d):
     part = tables.table(spark, d, "part")
-    asked = part.where("p_partkey % 20 = 0").select(F.col("p_partkey").alias("sample_id"), (F.col("p_retailprice") + F.when(F.col("p_partkey") % 40 == 0, 0.0).otherwise(1e7)).alias("s"))
+    asked = part.select(F.col("p_partkey").alias("sample_id"), (F.col("p_retailprice") + F.when(F.col("p_partkey") % 2 == 0, 0.0).otherwise(1e7)).alias("s"))
     return sampling.first_match(part, asked, "p_retailprice", "p_partkey", 0.01)
 
 
@@ -223,12 +314,14 @@ def image_pixels(spark, d):
 
 
 def image_downsample(spark, d):
-    pooled = patches.downsample(_pixels(spark, d), IMAGE)
+    pooled = patches.downsample(_pixels(spark, d, with_size=True), IMAGE)
     return pooled.withColumn("v", F.round(F.col("v").cast("double"), 4))
 
 
 def image_tensor(spark, d):
-    return patches.tensors(patches.downsample(_pixels(spark, d), IMAGE))
+    """Arrays as text, in units of 1e-3, so that the order of their cells is compared too."""
+    t = patches.tensors(patches.downsample(_pixels(spark, d, with_size=True), IMAGE))
+    return t.withColumn("data", F.array_join(F.transform("data", lambda v: F.round(v.cast("double") * 1e3).cast("bigint").cast("string")), ",", "-"))
 
 
 def image_tensor_pixels(spark, d):
@@ -236,11 +329,31 @@ def image_tensor_pixels(spark, d):
 
 
 def metadata_append(spark, d):
+    """Two batches, of which the first lacks a column, appended to the sink and read back."""
+    e = tables.table(spark, d, "events").select("event_id", F.col("event_type"), F.col("value"))
+    with _written(spark) as folder:
+        metadata.append(e.where("event_id % 2 = 0").drop("value"), folder)
+        metadata.append(e.where("event_id % 2 = 1"), folder)
+        return _kept(metadata.read(spark, folder).groupBy("event_type").agg(F.count("*").alias("n"), F.count("value").alias("with_value")))
+
+
+def metadata_union(spark, d):
     e = tables.table(spark, d, "events").select("event_id", F.col("event_type"), F.col("value"))
     first, second = e.where("event_id % 2 = 0").drop("value"), e.where("event_id % 2 = 1")
     return metadata.union(first, second).groupBy("event_type").agg(F.count("*").alias("n"), F.count("value").alias("with_value"))
 
 
+def metadata_records(spark, d):
+    """Records one by one through the buffering writer: missing keys, values that are never there, whole and broken numbers."""
+    rows = tables.table(spark, d, "nation").orderBy("n_nationkey").collect()  # 25 rows
+    with _written(spark) as folder:
+        with metadata.MetadataWriter(spark, folder, flush_every=7) as w:
+            for r in rows:
+                k = r["n_nationkey"]
+                w.add({"nation": k, "name": r["n_name"], "never": None} | ({"size": k if k < 14 else k + 0.5} if k % 3 else {}))
+        return _kept(metadata.read(spark, folder).select(F.col("nation").cast("bigint").alias("nation"), "name", "size"))
+
+
 def hash_uniform(spark, d):
     return _round(tables.cells(spark, d).select("face", "j", "i", uniform("face", "j", "i", SEED).alias("u")), "u")
 
@@ -248,10 +361,10 @@ def hash_uniform(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_snapshot, scan_grid, list_theta_files, latest_iteration, last_listed_file, merge_landmask, density_surface, density_pressure, bulk_modulus,
-        buoyancy, negative_salinity, diff_x, diff_y, interp_fill, gradient_native, grad_squared, compute_pdf, log_range, density_hist, log_density_hist,
+        scan_snapshot, flux_variables, read_stores, references, object_paths, scan_grid, list_theta_files, latest_iteration, last_listed_file, merge_landmask, merge_inner, density_surface, density_pressure, bulk_modulus,
+        buoyancy, negative_salinity, observed_negative_salinity, gradient_attributes, diff_x, diff_y, interp_fill, gradient_native, grad_squared, compute_pdf, approximate_quantiles, log_range, density_hist, log_density_hist,
         face_minmax, face_mean_spacing, size_estimate, mosaic_layout, log_field_mosaic, face_slice, face_two_vars, halo_mask_euclid, halo_mask_fmm,
-        weighted_sample, sample_weights, uniform_sample, linear_bin_counts, linear_sample, inverse_transform_sample, sample_on_pdf, first_match_tolerance,
-        extent_i, extent_j, patch_bounds, patch_rejects, image_pixels, image_downsample, image_tensor, image_tensor_pixels, metadata_append, hash_uniform,
+        weighted_sample, weighted_sample_by_column, sample_weights, uniform_sample, linear_bin_counts, linear_sample, inverse_transform_sample, sample_on_pdf, first_match_tolerance,
+        extent_i, extent_j, patch_bounds, patch_rejects, image_pixels, image_downsample, image_tensor, image_tensor_pixels, metadata_append, metadata_union, metadata_records, hash_uniform,
     )
 }

@@ -39,14 +39,23 @@ def read_snapshot(spark: SparkSession, path: str, iteration: int, faces: Iterabl
 
 
 def read_snapshots(spark: SparkSession, paths: list[str], iteration: int, faces: Iterable[int] | None = None) -> DataFrame:
-    """Several stores as one.  Where two hold the same cell the first store wins, without comparing values."""
+    """Several stores as one.  Where two hold the same cell the first store wins, without comparing values.
+
+    Each store gives its own surface first, so a cell is one row of each store that holds it, whatever dimensions that store has.
+    """
     order = Window.partitionBy("iter", "face", "j", "i").orderBy("_store")
-    parts = [spark.read.parquet(p).withColumn("_store", F.lit(k)) for k, p in enumerate(paths)]
+    parts = [read_snapshot(spark, p, iteration, faces).withColumn("_store", F.lit(k)) for k, p in enumerate(paths)]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part, allowMissingColumns=True)
-    first = whole.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank", "_store")
-    return select_snapshot(first, iteration, faces)
+    return whole.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank", "_store")
+
+
+def public_store_options(endpoint: str | None = None, region: str | None = None) -> dict[str, str]:
+    """Settings (with the ``spark.hadoop.`` prefix) under which ``s3a://`` paths of a public store are read without credentials."""
+    options = {"spark.hadoop.fs.s3a.aws.credentials.provider": "org.apache.hadoop.fs.s3a.AnonymousAWSCredentialsProvider"}
+    options |= {"spark.hadoop.fs.s3a.endpoint": endpoint, "spark.hadoop.fs.s3a.path.style.access": "true"} if endpoint else {}
+    return options | ({"spark.hadoop.fs.s3a.endpoint.region": region} if region else {})
 
 
 def read_grid(spark: SparkSession, path: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from oceanloom import schema
 from oceanloom.functions import eos
 from oceanloom.operators import halo, model, patches, sampling, stats, stencil
+from oceanloom.schema import PATCH_SCHEMA
 from oceanloom.sources import metadata, readers
 from oceanloom.streaming import metadata_stream
 
@@ -218,3 +219,63 @@ def test_metadata_stream(spark, tmp_path):
     q = metadata_stream.write_stream(spark.readStream.schema(df.schema).parquet(src), str(tmp_path / "out"), str(tmp_path / "ck"))
     q.awaitTermination(60)
     assert metadata.read(spark, str(tmp_path / "out")).count() == 100
+
+
+def test_stores_with_depth_levels_read_as_one(spark, tmp_path):
+    rows = [(10, 0, f, 0, i, k, float(100 * f + 10 * i + k)) for f in (1, 2) for i in range(3) for k in (2, 0, 1)]
+    deep = spark.createDataFrame(rows, "iter BIGINT, time_idx INT, face INT, j INT, i INT, k INT, theta DOUBLE")
+    readers.write_partitioned(deep.where("face = 1"), f"{tmp_path}/a")
+    readers.write_partitioned(deep.withColumn("theta", F.col("theta") + 0.5).withColumn("salt", F.lit(35.0)), f"{tmp_path}/b")
+    got = {(r.face, r.i): (r.theta, r.salt) for r in readers.read_snapshots(spark, [f"{tmp_path}/a", f"{tmp_path}/b"], 10).collect()}
+    assert got == {(f, i): (100.0 * f + 10 * i + (0.5 if f == 2 else 0), 35.0 if f == 2 else None) for f in (1, 2) for i in range(3)}
+    alone = readers.read_snapshot(spark, f"{tmp_path}/a", 10)
+    assert alone.count() == 3 and alone.columns == ["iter", "face", "j", "i", "theta"]
+
+
+def test_public_stores_need_no_credentials():
+    options = readers.public_store_options("https://store.example", "nowhere-1")
+    assert options["spark.hadoop.fs.s3a.aws.credentials.provider"].endswith("AnonymousAWSCredentialsProvider")
+    assert options["spark.hadoop.fs.s3a.endpoint"] == "https://store.example" and options["spark.hadoop.fs.s3a.endpoint.region"] == "nowhere-1"
+    assert len(readers.public_store_options()) == 1
+
+
+def test_metadata_records_of_drifting_types(spark, tmp_path):
+    path = f"{tmp_path}/records"
+    with metadata.MetadataWriter(spark, path, flush_every=2) as w:
+        for r in ({"a": 1, "gone": None}, {"a": 2, "gone": None}, {"a": 2.5, "b": "x", "c": True}, {"b": 7}, {"gone": None}):
+            w.add(r)
+    rows = metadata.read(spark, path).collect()
+    assert sorted(((r.a, r.b, r.c) for r in rows), key=str) == sorted([(1.0, None, None), (2.0, None, None), (2.5, "x", True), (None, "7", None), (None, None, None)], key=str)
+    typed = f"{tmp_path}/typed"
+    with metadata.MetadataWriter(spark, typed, schema=PATCH_SCHEMA) as w:
+        w.add({"sample_id": 1, "face": 2, "status": "ok"})
+        w.add({"sample_id": 2, "face": 3, "real_km_w": 1.5, "status": "i_low"})
+    assert metadata.read(spark, typed).schema.fieldNames() == PATCH_SCHEMA.fieldNames()
+    assert [(r.sample_id, r.real_km_w) for r in metadata.read(spark, typed).orderBy("sample_id").collect()] == [(1, None), (2, 1.5)]
+    with pytest.raises(ValueError, match="schema lacks"):
+        w = metadata.MetadataWriter(spark, typed, schema=PATCH_SCHEMA)
+        w.add({"unknown": 1})
+        w.flush()
+
+
+@pytest.mark.parametrize("tolerance", [1e-10, 0.3, 7.0])
+def test_first_match_equals_a_loop_at_any_scale(spark, tolerance):
+    rng = random.Random(4)
+    base = [0.0, -0.0, 1e10, -1e10, 1e10 + 2e-6, 5.0, 1e300, 123.456]
+    values = [(k, rng.choice(base) + rng.choice([0.0, tolerance * 0.5, -tolerance * 0.99, tolerance * 1.01, rng.uniform(-20, 20)])) for k in range(300)] + [(300, None)]
+    asked = [(k, b + rng.choice([0.0, tolerance / 3])) for k, b in enumerate(base)]
+    df = spark.createDataFrame(values, "o INT, v DOUBLE")
+    got = {r.sample_id: r.match for r in sampling.first_match(df, spark.createDataFrame(asked, "sample_id INT, s DOUBLE"), "v", "o", tolerance).collect()}
+    assert got == {k: min((o for o, v in values if v is not None and abs(v - s) < tolerance), default=None) for k, s in asked}
+
+
+@pytest.mark.parametrize("fetched", [20_000, 3])
+def test_quantiles_equal_sorting(spark, monkeypatch, fetched):
+    monkeypatch.setattr(stats, "FETCHED", fetched)
+    monkeypatch.setattr(stats, "NARROWING", 16)
+    rng = np.random.default_rng(8)
+    for values in (rng.normal(size=700), np.round(rng.normal(size=500), 1), np.full(40, 2.5), np.concatenate([np.zeros(300), rng.exponential(size=20) ** 9]), [1.0], [3.0, 1.0]):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v DOUBLE")
+        shares = [0.0, 0.001, 0.25, 0.5, 0.9, 0.999, 1.0]
+        assert np.allclose(stats.values_at(df, "v", shares), np.quantile(values, shares), rtol=1e-12, atol=1e-12)
+    assert stats.quantiles(df.where("false"), "v", 0.1, 0.9).collect() == [(None, None)]
