@@ -24,7 +24,8 @@ def extent(samples: DataFrame, grid: DataFrame, axis: str, km: float) -> DataFra
     The realised km leave the centre cell out on the low side; they are NULL where a spacing is missing.
     """
     other = AXES[axis]
-    d = centre_spacing_km(grid, axis)
+    held = grid.join(samples.select("face", other).distinct(), ["face", other], "left_semi")  # only the lines that a sample lies on are sorted
+    d = centre_spacing_km(held, axis)
     at = samples.select("sample_id", "face", other, F.col(axis).alias("c"))
     rows = at.join(d, ["face", other])
     up = Window.partitionBy("sample_id").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)

@@ -38,7 +38,8 @@ def _samples(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _bounds(spark: SparkSession, d: str) -> DataFrame:
-    return patches.patch_bounds(_samples(spark, d), tables.geometry(spark, d), PATCH_KM)
+    """The samples are drawn once: the bounds read them three times."""
+    return patches.patch_bounds(_kept(_samples(spark, d)), tables.geometry(spark, d), PATCH_KM)
 
 
 def _pixels(spark: SparkSession, d: str, with_size: bool = False) -> DataFrame:
@@ -57,6 +58,7 @@ def _written(spark: SparkSession) -> Iterator[str]:
 
 def _kept(df: DataFrame) -> DataFrame:
     """The rows as they are now, in the shared folder, so that their source may go."""
+    scratch.shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
