@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from oceanloom.functions.hashing import gumbel, uniform
 from oceanloom.operators.stats import histogram, probability_table, quantiles
 
+SLICES = 1024
+
 
 def weighted_sample(df: DataFrame, n: int, bias: float | Column, value: str = "v", keep: Column | None = None, seed: int = 0, strict: bool = True) -> DataFrame:
     """``sample_rank, face, j, i``: n cells without replacement, chance proportional to ``exp(bias * (v - min v))``.
@@ -62,12 +64,18 @@ def linear_sample(edges: DataFrame, n: int, bins: int, least: int, growth: float
 
 
 def inverse_transform_sample(table: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """``draw, bin, v``: the first bin whose cdf reaches u1 (the last, if rounding leaves none), then uniform inside it."""
+    """``draw, bin, v``: the first bin whose cdf reaches u1 (the last, if rounding leaves none), then uniform inside it.
+
+    Bins and draws meet by the slice of u1 that they lie in, so a draw looks at the few bins of its slice.
+    """
     spark = table.sparkSession
     order = Window.partitionBy(F.lit(0)).orderBy("bin")
     bins = table.select("bin", "lo", "hi", F.coalesce(F.lag("cdf").over(order), F.lit(-1.0)).alias("below"), F.when(F.lead("bin").over(order).isNull(), F.lit(2.0)).otherwise(F.col("cdf")).alias("upto"))
     draws = spark.range(n).select(F.col("id").alias("draw"), uniform(F.col("id"), 1, seed).alias("u1"), uniform(F.col("id"), 2, seed).alias("u2"))
-    hit = draws.join(F.broadcast(bins), (F.col("u1") > F.col("below")) & (F.col("u1") <= F.col("upto")))
+    slice_of = lambda x: F.floor(F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0)) * SLICES)
+    sliced = bins.where("below < upto").withColumn("slice", F.explode(F.sequence(slice_of(F.col("below")), slice_of(F.col("upto")))))
+    # At most SLICES and twice the number of bins rows.
+    hit = draws.withColumn("slice", slice_of(F.col("u1"))).join(F.broadcast(sliced), "slice").where((F.col("u1") > F.col("below")) & (F.col("u1") <= F.col("upto")))
     return hit.select("draw", "bin", (F.col("lo") + F.col("u2") * (F.col("hi") - F.col("lo"))).alias("v"))
 
 
