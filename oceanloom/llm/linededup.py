@@ -86,14 +86,14 @@ def _class_of(h: Column) -> Column:
 
 def rarity_levels(rows: DataFrame) -> bytes:
     """The level of each word class, higher for more common ones, over all words of all ``numbered`` texts; a byte a class."""
-    word = rows.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w != ''")
+    word = rows.select(F.explode(F.split(F.lower(F.replace("text", F.lit("\n"), F.lit(" "))), " ")).alias("w")).where("w != ''")
     counts = {r["c"]: r["count"] for r in word.groupBy(_class_of(F.xxhash64("w")).alias("c")).count().collect()}
     return bytes(min(MOST_LEVEL, 1 + int(LEVELS * log2(1 + counts.get(c, 0)))) for c in range(CLASSES))
 
 
 def _distinct_words(line: Column, number: Callable[[Column], Column]) -> Column:
     """The numbers of the line's distinct words; spaces at an end or beside each other make no word."""
-    each = F.array_distinct(F.transform(F.split(line, " "), lambda w: number(F.xxhash64(w))))
+    each = F.array_distinct(F.transform(F.split(F.lower(line), " "), lambda w: number(F.xxhash64(w))))
     loose = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
     return F.when(loose, F.array_remove(each, number(F.xxhash64(F.lit(""))))).otherwise(each)
 
@@ -121,12 +121,12 @@ def _placed(rows: DataFrame, doc_id: Column, text: Column) -> DataFrame:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``doc, nth, text``: rows of one id are told apart by their place in the order of texts.  Texts are in lower
-    case and have plain spaces for other white space in a line.
+    """``doc, nth, text``: rows of one id are told apart by their place in the order of texts.  Texts have plain spaces for other
+    white space in a line.
     """
     own = _placed(docs.select(F.col("doc_id").cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text")), F.col("id"), F.col("text"))
     spaced = F.when(_holds_any(F.col("text"), *OTHER_SPACES), F.translate("text", "".join(OTHER_SPACES), " " * len(OTHER_SPACES))).otherwise(F.col("text"))
-    return own.select("doc", "nth", F.lower(spaced).alias("text"))
+    return own.select("doc", "nth", spaced.alias("text"))
 
 
 def lines(rows: DataFrame) -> DataFrame:
@@ -197,7 +197,7 @@ def _equal(rows: DataFrame, keep: Keep) -> DataFrame:
     Texts are compared by 128 bits of hash.  Counts and firsts are found before the shuffle, and the join has one row a text on
     its other side, so that a text that most rows share can be split.
     """
-    low = F.trim("value")
+    low = F.trim(F.lower("value"))
     each = keep(lines(rows).select("doc", "line", F.xxhash64(low).alias("h"), F.xxhash64(F.lit(1), low).alias("g")))
     first = each.groupBy("h", "g").agg(F.min(F.struct("doc", "line")).alias("m"), F.count("*").alias("size")).where("size > 1")
     first = keep(first.select("h", "g", F.col("m.doc").alias("doc0"), F.col("m.line").alias("line0")))

@@ -11,56 +11,66 @@ from oceanloom.llm.common import table
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text, its edited text and the next document's, by chunk fingerprints.  Null texts are empty; rows without an id come last; repeated rows follow each other."""
     return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's score by a grammar learned outside the held-out fold.  Null and empty texts score as one without a matched clause; rows without an id aren't held out."""
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of the three rules and of the Markov models in every text.  Null and empty texts have none; repeated rows each have their result."""
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
 def op4_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line that an earlier line matches.  Null texts and lines without words have none; rows without an id give lines without one."""
     return linededup.removed_lines(table(spark, sf_dir, "documents"))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item it holds.  Items without words and null or empty texts give no row; repeated rows give one."""
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_shingles", "n_found", F.round("containment", 6).alias("containment"))
 
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations, rendered.  Rows without an id are conversations of one turn; null roles and texts are empty."""
     return chat.render(table(spark, sf_dir, "conversations"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document in sequences.  A null or empty text is its closing id alone; repeated rows are packed each."""
     import public_tokenizers
 
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's expected grade and chance of the highest.  Null and empty texts have no features and get the thresholds' own chances."""
     docs = table(spark, sf_dir, "documents")
     return quality.grade(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's class.  Equal texts, null and empty ones together, are one class; a class of rows without ids has no id."""
     found = neardup.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("is_representative"))
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and licence templates in every text.  Null and empty texts have no words and score 0; repeated rows each have their result."""
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 #: Equal sets of (role, text) lists and their prefixes, by lists instead of hashes.
 CHAT_SQL = """
 WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations),
-c AS (SELECT conv_id, list(struct_pack(r := r, x := x) ORDER BY turn NULLS FIRST, r, x) AS l FROM t GROUP BY conv_id),
+c AS (SELECT conv_id, list(struct_pack(r := r, x := x) ORDER BY turn NULLS FIRST, r, x) AS l FROM t GROUP BY conv_id, CASE WHEN conv_id IS NULL THEN concat_ws(chr(0), coalesce(CAST(turn AS VARCHAR), ''), r, x) END),
 m AS (SELECT min(conv_id) AS conv_id, count(*) AS n_copies, l FROM c GROUP BY l)
 SELECT conv_id, CAST(len(l) AS BIGINT) AS n_turns, n_copies, array_to_string(list_transform(l, lambda s: '<|' || s.r || '|>' || chr(10) || s.x || chr(10)), '') AS text
 FROM m WHERE NOT EXISTS (SELECT 1 FROM m b WHERE len(b.l) > len(m.l) AND b.l[1] = m.l[1] AND b.l[1:len(m.l)] = m.l)"""

@@ -233,6 +233,9 @@ def test_chat_snapshots_collapse(spark):
         None: (1, 1, "<|user|>\nno id\n"), 7: (2, 1, "<|user|>\nnull turn\n<|user|>\n\n"),
     }
     assert chat.render(df.where("false")).count() == 0
+    lone = [(None, k % 3, "user", f"text {k % 5}") for k in range(40)] + [(1, 0, "user", "text 2"), (1, 1, "user", "more"), (2, 0, "user", "text 3")]
+    got = sorted(((r.conv_id, r.n_turns, r.n_copies, r.text) for r in chat.render(spark.createDataFrame(lone, "conv_id BIGINT, turn BIGINT, role STRING, text STRING")).collect()), key=str)
+    assert got == sorted([(1, 2, 1, "<|user|>\ntext 2\n<|user|>\nmore\n"), (2, 1, 4, "<|user|>\ntext 3\n"), *[(None, 1, 3, f"<|user|>\ntext {k}\n") for k in (0, 1, 4)]], key=str)
 
 
 @pytest.mark.parametrize("name", ["op3_secrets", "op4_linededup", "op5_decontaminate", "op6_chat"])
