@@ -15,41 +15,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from oceanloom.llm.common import id_and_text, small_batches
+from oceanloom.llm.tokens import byte_encoder
 
 LENGTH = 1024
 DOCS_PER_GROUP = 4096
+#: Full sequences that are handed on together.
+FULL_PER_LOT = 1024
 END_OF_TEXT = 0
 _PIECES = "doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BIGINT, sequence_id BIGINT, offset BIGINT"
 
 
-def encoder(vocabulary: str, ranks: str):
-    """A function from text to ids, equal to the tokenizer file's own.
-
-    The rank file holds the same vocabulary for a faster library; texts that may hold the string of a special token go through
-    the tokenizer file itself.
-    """
-    import base64
-
-    import public_tokenizers
-    import tiktoken
-    from tokenizers import Tokenizer
-
-    exact = Tokenizer.from_file(vocabulary)
-    with open(ranks, "rb") as f:
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-
-    def encode(text: str) -> list[int]:
-        if "<|" in text:
-            return exact.encode(text, add_special_tokens=False).ids
-        return fast.encode_ordinary(text)
-
-    return encode
-
-
 class TournamentTree:
     """Room in each bin, with the largest room below each inner node."""
 
@@ -137,16 +116,18 @@ def close_bins(bins: list[list[int]], sizes: list[int], length: int) -> list[lis
 def pack(docs: DataFrame, vocabulary: str, ranks: str, length: int = LENGTH, docs_per_group: int = DOCS_PER_GROUP) -> DataFrame:
     """Pieces of all documents: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
-    Each document is its ids and then id 0, so an empty or null text is one id.  Groups are dealt by a hash of the id, the text
-    and which repetition of these in its task a row is, so repeated rows spread and no group depends on the order of rows; a group has about ``docs_per_group`` documents, each with less than one sequence
-    of ids, which bounds a task's memory.  Long documents are cut where they are read.
+    Each document is its ids and then id 0, so an empty or null text is one id.  Long documents are cut where they are read, and
+    full sequences get their numbers there; they meet in small lots of their own.  Groups of the rest are dealt by a hash of the
+    id, the text and which repetition of these in its task a row is, so repeated rows spread and no group depends on the order
+    of rows; a group has about ``docs_per_group`` documents, each with less than one sequence of ids, which bounds a task's memory.
     """
     spark = docs.sparkSession
     small_batches(spark)
     groups = max(1, docs.count() // docs_per_group)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, times = encoder(vocabulary, ranks), Counter()  # of each row's hash, how often this task has had it
+        encode, times = byte_encoder(vocabulary, ranks, special=True), Counter()  # of each row's hash, how often this task has had it
+        task, full = TaskContext.get().partitionId(), 0  # numbers of full sequences lie beyond those of all groups
         for b in batches:
             out = []
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
@@ -156,25 +137,27 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str, length: int = LENGTH, doc
                 row = times[key := hash(name)]
                 times[key] += 1
                 group = zlib.crc32(f"{name}:{row}".encode()) % groups
-                out += [(group, row, doc, k, length, zlib.crc32(ids[k : k + length].tobytes()), n, None) for k in range(0, whole, length)]
+                for k in range(0, whole, length):
+                    lot = -1 - zlib.crc32(f"{task}:{full // FULL_PER_LOT}".encode())
+                    out.append((lot, (groups + task) << 40 | full, doc, k, length, zlib.crc32(ids[k : k + length].tobytes()), n, None))
+                    full += 1
                 if n > whole:
                     out.append((group, row, doc, whole, n - whole, None, n, ids[whole:].astype("<u2").tobytes() if ids.max() < 65536 else b"\0" + ids[whole:].tobytes()))
             if out:
-                names = ("g", "row", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")
+                columns = ["g", "row", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], columns)
+
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def ids_of(raw: bytes) -> np.ndarray:
         return np.frombuffer(raw, "<u2").astype("<u4") if len(raw) % 2 == 0 else np.frombuffer(raw[1:], "<u4")
 
     def place(group: pa.Table) -> pa.Table:
-        rows = sorted(group.to_pylist(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["row"], r["start"]))
-        first_id, out = rows[0]["g"] << 40, []
-        tails = [r for r in rows if r["ids"] is not None]
-        for r in rows:
-            if r["ids"] is None:
-                out.append((r["doc_id"], r["start"], length, r["ids_crc32"], r["doc_tokens"], first_id, 0))
-                first_id += 1
+        if group.column("g")[0].as_py() < 0:
+            return pa.table([*(group.column(c) for c in names[:5]), group.column("row"), pa.array(np.zeros(len(group), np.int64))], names=names)
+        tails = sorted(group.to_pylist(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["row"]))
+        first_id, out = tails[0]["g"] << 40, []
         sizes = [r["length"] for r in tails]
         for pieces in close_bins(first_fit_decreasing(sizes, length), sizes, length):
             at = 0
@@ -183,7 +166,6 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str, length: int = LENGTH, doc
                 out.append((r["doc_id"], r["start"] + first, n, zlib.crc32(ids_of(r["ids"])[first : first + n].tobytes()), r["doc_tokens"], first_id, at))
                 at += n
             first_id += 1
-        names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
         return pa.table({name: pa.array(x, pa.int64()) for name, x in zip(names, zip(*out, strict=True), strict=True)})
 
     pieces = id_and_text(docs).mapInArrow(cut, "g BIGINT, row BIGINT, doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BIGINT, ids BINARY")

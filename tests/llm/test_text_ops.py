@@ -13,6 +13,7 @@ from llm_cases import awkward, awkward_texts, empty, syllables
 
 from oceanloom.llm import fingerprints, licenses, packing, quality, textnum, toxicity
 from oceanloom.llm.registry import QUERIES
+from oceanloom.llm.tokens import byte_encoder
 
 VOCABULARY, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -280,8 +281,15 @@ def test_quality_of_awkward_rows(spark):
     assert quality.grade(empty(spark), quality.train(df, labels.where("false"))).count() == 0
 
 
+def exact_ids():
+    from tokenizers import Tokenizer
+
+    exact = Tokenizer.from_file(VOCABULARY)
+    return lambda text: exact.encode(text, add_special_tokens=False).ids
+
+
 def check_pieces(rows, docs):
-    encode = packing.encoder(VOCABULARY, RANKS)
+    encode = exact_ids()
     by_doc = {}
     for r in rows:
         by_doc.setdefault(r.doc_id, []).append(r)
@@ -320,17 +328,28 @@ def test_packing_of_awkward_rows(spark):
     unique = [(r.doc_id, r.text or "") for r in df.where("doc_id IS NOT NULL AND doc_id != 6").collect()]
     check_pieces(rows, unique)
     check_sequences(rows)
-    total = sum(len(packing.encoder(VOCABULARY, RANKS)(r.text or "")) + 1 for r in df.collect())
+    encode = exact_ids()
+    total = sum(len(encode(r.text or "")) + 1 for r in df.collect())
     assert sum(r.length for r in rows) == total
     assert packing.pack(empty(spark), VOCABULARY, RANKS).count() == 0
 
 
 def test_fast_ids_equal_the_tokenizers():
-    from tokenizers import Tokenizer
-
-    exact, fast = Tokenizer.from_file(VOCABULARY), packing.encoder(VOCABULARY, RANKS)
-    for text in [t for t in awkward_texts() if t] + ["a <|endoftext|> b", "<|", "  double  spaces\t\ttabs\r\n", "don't we'll I'VE", "１２３ ½ ² ﬁ", "  x"]:
-        assert fast(text) == exact.encode(text, add_special_tokens=False).ids
+    exact, fast = exact_ids(), byte_encoder(VOCABULARY, RANKS, special=True)
+    rng = random.Random(8)
+    odd = ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(0x80, 0x3000), rng.randrange(0x1F300, 0x1FA00), 10, 32, 32])) for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    for text in [t for t in awkward_texts() if t] + odd + ["a <|endoftext|> b", "<|", "  double  spaces\t\ttabs\r\n", "don't we'll I'VE", "１２３ ½ ² ﬁ", "\u2003\u2003x", " " * 5000 + "x", "x" + "\n" * 4095 + "y"]:
+        assert fast(text) == exact(text)
+
+
+def test_packing_of_texts_of_one_character(spark):
+    """Runs of millions of a character, white space too, don't end the job."""
+    n = 5_000_000
+    texts = [" " * n, "\n" * n, "a" * n, "7" * 100_000, "." * 100_000, "x " + "\t " * 200_000 + "y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").repartition(6)
+    rows = packing.pack(df, VOCABULARY, RANKS).collect()
+    check_pieces(rows, list(enumerate(texts)))
+    assert check_sequences(rows) == 0
 
 
 def test_first_fit_decreasing_equals_a_plain_loop():
