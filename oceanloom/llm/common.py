@@ -12,7 +12,7 @@ from oceanloom.sources.scratch import remove, shared_folder
 
 ROWS_PER_BATCH = 256
 
-__all__ = ["cut", "id_and_text", "remove", "settings", "shared_folder", "small_batches", "table"]
+__all__ = ["cut", "id_and_text", "join_to_rows", "remove", "settings", "shared_folder", "small_batches", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: A key that more than one of so many rows have is joined from a broadcast table; fewer keys than this can be.
+KEY_SHARE = 1 << 12
+
+
+def join_to_rows(rows: DataFrame, per_key: DataFrame, key: str, count: str, columns: list[str]) -> DataFrame:
+    """The rows, left-joined to a frame of one row for each key, which says in ``count`` how many rows have it.
+
+    Keys of very many rows come from a broadcast table, which their share of all rows bounds; the rest is shuffled, with no
+    key that large.  ``per_key`` is read three times.
+    """
+    total = per_key.agg(F.coalesce(F.sum(count), F.lit(0)).alias("n")).first()["n"]
+    is_hot = F.col(count) * KEY_SHARE > total
+    hot = per_key.where(is_hot).select(key, F.lit(True).alias("_hot"), *(F.col(c).alias(f"_hot_{c}") for c in columns))
+    cold = per_key.where(~is_hot).select(F.col(key).alias("_key"), *(F.col(c).alias(f"_cold_{c}") for c in columns))
+    met = rows.join(F.broadcast(hot), key, "left")
+    # Rows that have met a hot key need no other, and are dealt out by what they hold.
+    elsewhere = F.encode(F.concat(F.lit("row:"), F.xxhash64(*rows.columns).cast("string")), "utf-8")
+    own = F.when(F.col("_hot"), elsewhere).otherwise(F.col(key))
+    joined = met.withColumn("_own", own).join(cold, F.col("_own") == F.col("_key"), "left")
+    return joined.select(*rows.columns, *(F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}")).alias(c) for c in columns))
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Within this, the session has these settings."""
