@@ -59,15 +59,18 @@ def tracer_gradient(df: DataFrame, value: str, boundary: str = "null", fill: flo
 
     All row-wise windows come before all column-wise ones: two exchanges in all.
     """
-    label = long_name or value
     x = df.withColumn("_gx", F.try_divide(left_difference(value, "i", boundary), F.col("dxc"))).withColumn("_cx", centre_mean("_gx", "i", fill))
     y = x.withColumn("_gy", F.try_divide(left_difference(value, "j", boundary), F.col("dyc"))).withColumn("_cy", centre_mean("_gy", "j", fill))
+    return y.select(*[c for c in df.columns if c not in ("zonal", "merid")], *rotated(long_name or value, units))
+
+
+def rotated(label: str, units: str | None) -> list[Column]:
+    """``zonal`` and ``merid`` from ``_cx`` and ``_cy`` by the cell's own rotation."""
     cx, cy, cs, sn = (F.col(c) for c in ("_cx", "_cy", "cs", "sn"))
-    named = [
+    return [
         (cx * cs - cy * sn).alias("zonal", metadata={"long_name": f"zonal gradient of {label}", "units": units or ""}),
         (cx * sn + cy * cs).alias("merid", metadata={"long_name": f"meridional gradient of {label}", "units": units or ""}),
     ]
-    return y.select(*[c for c in df.columns if c not in ("zonal", "merid")], *named)
 
 
 def grad_squared(zonal: Column | str = "zonal", merid: Column | str = "merid") -> Column:
