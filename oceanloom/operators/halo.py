@@ -1,23 +1,18 @@
 """The retained-cell mask: cells at least ``halo_km`` from the nearest masked interface of their own face.
 
 ``euclid`` is relational: the distance to the midpoints between cells of
-different mask value.  ``fast_marching`` solves the distance equation per face
-in a grouped map; a face must fit one task.
+different mask value.  ``marched`` solves the distance equation on blocks of
+cells that exchange their borders until none changes; see ``distance``.
 """
 
 from __future__ import annotations
 
-import heapq
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from oceanloom.operators.distance import BLOCK, distances
 from oceanloom.operators.stats import face_spacing_km
 
-_RETAINED = "face INT, j INT, i INT, retained BOOLEAN"
-
 
 def interface_points(mask: DataFrame) -> DataFrame:
     """``face, pj, pi`` in half cells: midpoints between neighbours of which one is masked."""
@@ -50,75 +45,7 @@ def euclid(mask: DataFrame, grid: DataFrame, halo_km: float) -> DataFrame:
     return marked.select("face", "j", "i", (F.col("_in").isNull() & ~F.col("masked")).alias("retained"))
 
 
-def _marched(masked: np.ndarray, dy: float, dx: float) -> np.ndarray:
-    """Distance from the interface on the unmasked side, by second-order upwind fast marching; 0 on the masked side."""
-    h, w = masked.shape
-    dist, known = np.full((h, w), np.inf), masked.copy()
-    dist[masked] = 0.0
-    heap: list[tuple[float, int, int]] = []
-
-    def inside(j: int, i: int) -> bool:
-        return 0 <= j < h and 0 <= i < w
-
-    start = np.zeros((h, w), bool)
-    for j, i in zip(*np.nonzero(~masked), strict=True):
-        inv = 0.0
-        for step, d in (((1, 0), dy), ((0, 1), dx)):
-            if any(inside(j + s * step[0], i + s * step[1]) and masked[j + s * step[0], i + s * step[1]] for s in (-1, 1)):
-                inv += 1.0 / (0.5 * d) ** 2
-        if inv:
-            dist[j, i], start[j, i] = inv**-0.5, True
-    known |= start
-
-    def solve(j: int, i: int) -> float:
-        a = b = c = 0.0
-        best = np.inf
-        for step, d in (((1, 0), dy), ((0, 1), dx)):
-            found = np.inf
-            for s in (-1, 1):
-                y, x = j + s * step[0], i + s * step[1]
-                if inside(y, x) and known[y, x] and not masked[y, x] and dist[y, x] < found:
-                    found, side = dist[y, x], s
-            if found == np.inf:
-                continue
-            y, x = j + 2 * side * step[0], i + 2 * side * step[1]
-            second = inside(y, x) and known[y, x] and not masked[y, x] and dist[y, x] <= found
-            u, q = ((4.0 * found - dist[y, x]) / 3.0, 9.0 / (4.0 * d * d)) if second else (found, 1.0 / (d * d))
-            a, b, c = a + q, b - 2.0 * q * u, c + q * u * u
-            best = min(best, found + d)
-        root = b * b - 4.0 * a * (c - 1.0)
-        return (-b + root**0.5) / (2.0 * a) if root >= 0 else best
-
-    def push(j: int, i: int) -> None:
-        for y, x in ((j - 1, i), (j + 1, i), (j, i - 1), (j, i + 1)):
-            if inside(y, x) and not known[y, x] and (t := solve(y, x)) < dist[y, x]:
-                dist[y, x] = t
-                heapq.heappush(heap, (t, y, x))
-
-    for j, i in zip(*np.nonzero(start), strict=True):
-        push(j, i)
-    while heap:
-        t, j, i = heapq.heappop(heap)
-        if not known[j, i] and t <= dist[j, i]:
-            known[j, i] = True
-            push(j, i)
-    return dist
-
-
-def fast_marching(mask: DataFrame, grid: DataFrame, halo_km: float) -> DataFrame:
-    """The same mask by marched distance; cells missing from a face count as masked."""
-    joined = mask.join(F.broadcast(face_spacing_km(grid)), "face", "left")
-
-    def one_face(pdf: pd.DataFrame) -> pd.DataFrame:
-        j, i = pdf["j"].to_numpy(), pdf["i"].to_numpy()
-        masked = np.ones((j.max() + 1, i.max() + 1), bool)
-        masked[j, i] = pdf["masked"].to_numpy(dtype=bool)
-        if masked.all():
-            kept = np.zeros(len(pdf), bool)
-        elif not masked.any():
-            kept = np.ones(len(pdf), bool)
-        else:
-            kept = ((_marched(masked, float(pdf["dy_km"].iloc[0]), float(pdf["dx_km"].iloc[0])) >= halo_km) & ~masked)[j, i]
-        return pd.DataFrame({"face": pdf["face"], "j": j, "i": i, "retained": kept})
-
-    return joined.groupBy("face").applyInPandas(one_face, _RETAINED)
+def marched(mask: DataFrame, grid: DataFrame, halo_km: float, block: int = BLOCK) -> DataFrame:
+    """The same mask by the distance that a front from the interface travels around masked cells; cells missing from a face count as masked."""
+    found = distances(mask, face_spacing_km(grid), halo_km, block)
+    return found.select("face", "j", "i", (~F.col("masked") & F.col("km").isNull()).alias("retained"))
