@@ -7,34 +7,74 @@ rows and the seed only.
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oceanloom.functions.hashing import gumbel, uniform
-from oceanloom.operators.stats import histogram, probability_table, quantiles
+from oceanloom.operators.stats import histogram, probability_table, quantiles, value_at_rank
+from oceanloom.sources.scratch import remove, shared_folder
 
 SLICES = 1024
+#: Samples that one task may put in order.
+SORTED_TOGETHER = 100_000
 
 
-def weighted_sample(df: DataFrame, n: int, bias: float | Column, value: str = "v", keep: Column | None = None, seed: int = 0, strict: bool = True) -> DataFrame:
+def weighted_sample(df: DataFrame, n: int, bias: float | Column, value: str = "v", keep: Column | None = None, seed: int = 0, strict: bool = True, together: int = SORTED_TOGETHER) -> DataFrame:
     """``sample_rank, face, j, i``: n cells without replacement, chance proportional to ``exp(bias * (v - min v))``.
 
-    Gumbel top-k in log space: no normalising sum, no overflow.  With ``strict`` too few cells raise ``ValueError``.
+    Gumbel top-k in log space: no normalising sum, no overflow.  More than ``together`` are chosen by the n-th largest key.  With ``strict`` too few cells raise ``ValueError``.
     A scalar bias needs no minimum (it shifts all keys alike); a Column does.
     """
     valid = df.where(F.col(value).isNotNull() & (F.coalesce(keep, F.lit(False)) if keep is not None else F.lit(True)))
     if strict and (have := valid.limit(n).count()) < n:
         raise ValueError(f"{n} samples asked for, {have} cells valid")
+    keyed = _gumbel_keys(valid, bias, value, seed)
+    if n > together:
+        return _largest(keyed, n, together)
+    top = keyed.orderBy(F.desc("_key"), "face", "j", "i").limit(n)
+    rank = F.row_number().over(Window.orderBy(F.desc("_key"), "face", "j", "i"))  # over n rows
+    return top.select(rank.alias("sample_rank"), "face", "j", "i")
+
+
+def _gumbel_keys(valid: DataFrame, bias: float | Column, value: str, seed: int) -> DataFrame:
     u = uniform("face", "j", "i", seed)
     if isinstance(bias, Column):
         valid = valid.join(F.broadcast(valid.agg(F.min(value).alias("_least"))), F.lit(True))
         log_weight = bias * (F.col(value) - F.col("_least"))
     else:
         log_weight = F.lit(float(bias)) * F.col(value)
-    top = valid.select("face", "j", "i", (log_weight + gumbel(u)).alias("_key")).orderBy(F.desc("_key"), "face", "j", "i").limit(n)
-    rank = F.row_number().over(Window.orderBy(F.desc("_key"), "face", "j", "i"))  # over n rows
-    return top.select(rank.alias("sample_rank"), "face", "j", "i")
+    return valid.select("face", "j", "i", (log_weight + gumbel(u)).alias("_key"))
+
+
+def _largest(keyed: DataFrame, n: int, together: int) -> DataFrame:
+    """``sample_rank, face, j, i`` of the n largest keys, without a task that holds them all.
+
+    The n-th largest key is found by counting, and a filter keeps what lies above it; among keys equal to it the first cells
+    fill up.  Ranks are places within ranges of keys, and the sizes of the ranges before.
+    """
+    spark = keyed.sparkSession
+    folder = f"{shared_folder(spark)}/sample-{uuid.uuid4().hex}"
+    try:
+        keyed.write.parquet(f"{folder}/keys")
+        keys = spark.read.schema(keyed.schema).parquet(f"{folder}/keys")
+        have = keys.count()
+        kept = keys
+        if have > n:
+            edge = value_at_rank(keys.select(F.col("_key").alias("_v")), have - n)
+            above = keys.where(F.col("_key") > edge)
+            equal = keys.where(F.col("_key") == edge).orderBy("face", "j", "i").limit(n - above.count())
+            kept = above.unionByName(equal)
+        parts = max(2, math.ceil(min(n, have) / together))
+        kept.repartitionByRange(parts, F.desc("_key"), "face", "j", "i").withColumn("_part", F.spark_partition_id()).write.parquet(f"{folder}/parts")
+        placed = spark.read.schema("face INT, j INT, i INT, _key DOUBLE, _part INT").parquet(f"{folder}/parts")
+        sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))  # a row for each part
+        before = sizes.select("_part", (F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_part")) - F.col("_n")).alias("_before"))
+        own = F.row_number().over(Window.partitionBy("_part").orderBy(F.desc("_key"), "face", "j", "i"))
+        return placed.withColumn("_own", own).join(F.broadcast(before), "_part").select((F.col("_own") + F.col("_before")).cast("int").alias("sample_rank"), "face", "j", "i").checkpoint()
+    finally:
+        remove(spark, folder)
 
 
 def weights(df: DataFrame, bias: float, value: str = "v") -> DataFrame:

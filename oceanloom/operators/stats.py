@@ -6,10 +6,14 @@ row per face); no window runs over all cells.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oceanloom.sources.scratch import remove, shared_folder
+
 BINS, Q_LOW, Q_HIGH = 200, 0.001, 0.999
 LOG_RANGE = (0.01, 0.99)
 
@@ -35,7 +39,15 @@ def values_at(df: DataFrame, value: str, shares: list[float]) -> list[float | No
     A sketch brackets each quantile; a second pass counts what lies below each bracket and groups what lies within.  Where that is
     more than FETCHED values, histograms between the bracket's ends narrow it until it is less, or one value.
     """
-    v = df.select(F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    folder = f"{shared_folder(df.sparkSession)}/values-{uuid.uuid4().hex}"
+    try:
+        df.select(F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL").write.parquet(folder)  # each pass reads this one column
+        return _values_at(df.sparkSession.read.schema("_v DOUBLE").parquet(folder), shares)
+    finally:
+        remove(df.sparkSession, folder)
+
+
+def _values_at(v: DataFrame, shares: list[float]) -> list[float | None]:
     wide = 2.0 / SKETCH
     edges = [e for s in shares for e in (max(s - wide, 0.0), min(s + wide, 1.0))]
     first = v.agg(F.percentile_approx("_v", F.array(*map(F.lit, edges)), F.lit(SKETCH)).alias("q"), F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).first()
@@ -56,6 +68,14 @@ def values_at(df: DataFrame, value: str, shares: list[float]) -> list[float | No
     return out
 
 
+def value_at_rank(v: DataFrame, rank: int) -> float:
+    """The value of ``_v`` with that many others before it; ``v`` is read several times."""
+    n, lo, hi = v.agg(F.count("*"), F.min("_v"), F.max("_v")).first()
+    wide = 2.0 / SKETCH
+    low, high = v.agg(F.percentile_approx("_v", F.array(F.lit(max(rank / n - wide, 0.0)), F.lit(min(rank / n + wide, 1.0))), F.lit(SKETCH)).alias("q")).first()["q"]
+    return _value_at_rank(v, rank, low, high, lo, hi, {})
+
+
 def _value_at_rank(v: DataFrame, rank: int, lo: float, hi: float, least: float, most: float, found: dict[int, float]) -> float:
     """The value of that rank, from 0.  ``found`` also gets the other ranks that the same pass shows."""
     while True:
