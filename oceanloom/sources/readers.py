@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from oceanloom.schema import GEOMETRY_VARIABLES, STATE_VARIABLES, SURFACE_FLUX_VARIABLES, nan_to_null
 
+#: Blocks that several stores hold are broadcast up to this many.
+MOST_BROADCAST = 200_000
 SURFACE_DIMS = ("time_idx", "k", "k_l")
 VARIABLE_SETS = {"state": STATE_VARIABLES, "flux": SURFACE_FLUX_VARIABLES}
 
@@ -38,17 +40,40 @@ def read_snapshot(spark: SparkSession, path: str, iteration: int, faces: Iterabl
     return select_snapshot(spark.read.parquet(path), iteration, faces, variables)
 
 
-def read_snapshots(spark: SparkSession, paths: list[str], iteration: int, faces: Iterable[int] | None = None) -> DataFrame:
+def store_extents(stores: list[DataFrame], block: int = 720) -> DataFrame:
+    """``face, jb, ib, first, n_stores``: the blocks of cells that the stores hold, the first store that does, and how many do.
+
+    Reads the key columns alone; a row for each block and store leaves a task.
+    """
+    each = None
+    for k, store in enumerate(stores):
+        own = store.select("face", *[F.floor(F.col(c) / block).cast("int").alias(b) for b, c in (("jb", "j"), ("ib", "i"))]).distinct().withColumn("_store", F.lit(k))
+        each = own if each is None else each.unionByName(own)
+    return each.groupBy("face", "jb", "ib").agg(F.min("_store").alias("first"), F.count("*").alias("n_stores"))
+
+
+def read_snapshots(spark: SparkSession, paths: list[str], iteration: int, faces: Iterable[int] | None = None, block: int = 720, extents: DataFrame | None = None) -> DataFrame:
     """Several stores as one.  Where two hold the same cell the first store wins, without comparing values.
 
     Each store gives its own surface first, so a cell is one row of each store that holds it, whatever dimensions that store has.
+    Stores are compared by the blocks of cells that they hold: only blocks that several hold are put in order, the others
+    pass as they are read.  ``extents``, from ``store_extents`` over the same stores, spares finding them.
     """
+    stores = [read_snapshot(spark, p, iteration, faces) for p in paths]
+    shared = (store_extents(stores, block) if extents is None else extents).where("n_stores > 1").select("face", "jb", "ib")
+    found = shared.limit(MOST_BROADCAST + 1).collect() if len(stores) > 1 else []  # blocks, not cells
+    whole = None
+    for k, store in enumerate(stores):
+        part = store.withColumn("_store", F.lit(k))
+        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+    if not found:
+        return whole.drop("_store")
+    blocks = F.broadcast(spark.createDataFrame(found, shared.schema)) if len(found) <= MOST_BROADCAST else shared
+    placed = whole.withColumns({b: F.floor(F.col(c) / block).cast("int") for b, c in (("jb", "j"), ("ib", "i"))})
     order = Window.partitionBy("iter", "face", "j", "i").orderBy("_store")
-    parts = [read_snapshot(spark, p, iteration, faces).withColumn("_store", F.lit(k)) for k, p in enumerate(paths)]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part, allowMissingColumns=True)
-    return whole.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank", "_store")
+    several = placed.join(blocks, ["face", "jb", "ib"], "left_semi").withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+    alone = placed.join(blocks, ["face", "jb", "ib"], "left_anti")
+    return alone.unionByName(several).drop("_store", "jb", "ib")
 
 
 def public_store_options(endpoint: str | None = None, region: str | None = None) -> dict[str, str]:
