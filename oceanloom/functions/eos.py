@@ -80,6 +80,11 @@ def negative_salinity(df: DataFrame, salt: str = "salt") -> DataFrame:
     return df.agg(F.count_if(F.col(salt) < 0).alias("negative_salinity"))
 
 
+def any_negative_salinity(df: DataFrame, salt: str = "salt") -> DataFrame:
+    """``face, any_negative``: whether a face holds a negative salinity; missing ones are not negative."""
+    return df.groupBy("face").agg(F.coalesce(F.bool_or(F.col(salt) < 0), F.lit(False)).alias("any_negative"))
+
+
 def observed(df: DataFrame, salt: str = "salt") -> tuple[DataFrame, Observation]:
     """The same rows, and an observation that holds ``negative_salinity`` once an action has run over them."""
     seen = Observation(f"salinity-{uuid.uuid4().hex}")

@@ -13,12 +13,27 @@ def with_land_mask(df: DataFrame) -> DataFrame:
     return df.withColumn("maskc", F.when(F.col("hfacc") > 0, F.lit(1.0))).withColumn("is_ocean", F.coalesce(F.col("hfacc") > 0, F.lit(False)))
 
 
-def merge(state: DataFrame, grid: DataFrame, how: str = "full_outer") -> DataFrame:
-    """State and geometry side by side.  Cells of either side survive; a column of both takes the state's value first."""
+def merge(state: DataFrame, grid: DataFrame, how: str = "full_outer", compat: str = "override") -> DataFrame:
+    """State and geometry side by side.  Cells of either side survive; a column of both takes the state's value first.
+
+    With ``compat="no_conflicts"`` a cell that both sides give different values for ends the job with an error that names it.
+    """
+    if compat not in ("override", "no_conflicts"):
+        raise ValueError("compat must be override or no_conflicts")
     shared = [c for c in state.columns if c in grid.columns and c not in CELL_KEY]
     right = grid.withColumnsRenamed({c: f"_grid_{c}" for c in shared})
     both = state.join(right, list(CELL_KEY), how)
-    return both.withColumns({c: F.coalesce(c, f"_grid_{c}") for c in shared}).drop(*[f"_grid_{c}" for c in shared]) if shared else both
+    if not shared:
+        return both
+
+    def one(c: str) -> F.Column:
+        value, other = F.col(c), F.col(f"_grid_{c}")
+        if compat == "override":
+            return F.coalesce(value, other)
+        where = F.concat_ws(" ", F.lit(f"conflicting values of {c} at face, j, i"), *[F.col(k).cast("string") for k in CELL_KEY])
+        return F.when(value != other, F.raise_error(where).cast(state.schema[c].dataType)).otherwise(F.coalesce(value, other))
+
+    return both.withColumns({c: one(c) for c in shared}).drop(*[f"_grid_{c}" for c in shared])
 
 
 def conflicts(state: DataFrame, grid: DataFrame) -> DataFrame:

@@ -11,11 +11,21 @@ from pyspark.sql import functions as F
 
 from oceanloom.functions import eos
 from oceanloom.functions.hashing import uniform
-from oceanloom.operators import halo, model, mosaic, patches, sampling, stats, stencil
-from oceanloom.sources import metadata, readers, scratch, tables
+from oceanloom.operators import halo, model, mosaic, patches, sampling, seams, stats, stencil, summaries
+from oceanloom.plans.dataset import Recipe, image_dataset
+from oceanloom.sources import blocks, chunks, metadata, readers, scratch, tables
+from oceanloom.streaming import commit_log
 
 PATCH_KM, IMAGE, HALO_KM, BIAS, SAMPLES, SEED = 7.0, 4, 2.2, 0.5, 50, 7
 PREFIX = "snap_f"
+#: Cells along a side of a block, small enough for the test grid to have many.
+TILE = 24
+SUMMARY = 64
+#: Seams of the test grid in every kind of turn: along an axis, from one axis to the other, against each other, a face with itself.
+SEAMS = [
+    (0, "i_high", 1, "i_low", False), (1, "j_high", 2, "j_low", False), (2, "i_high", 3, "j_low", True), (3, "j_high", 4, "i_high", False),
+    (7, "i_high", 8, "i_high", True), (8, "j_low", 9, "j_low", True), (10, "j_low", 11, "i_low", True), (11, "j_high", 12, "i_low", False), (6, "i_low", 6, "i_high", False),
+]
 
 
 def _round(df: DataFrame, *names: str) -> DataFrame:
@@ -113,6 +123,15 @@ def read_stores(spark, d):
         return _kept(_round(readers.read_snapshots(spark, [f"{folder}/a", f"{folder}/b"], 10000, [0, 5, 7, 8, 12]), "theta"))
 
 
+def read_chunks(spark, d):
+    """The snapshot, written as chunk objects and reference files, and read by iteration, faces and a range of rows and columns."""
+    cells = tables.cells(spark, d).select(F.lit(10000).cast("bigint").alias("iter"), "face", "j", "i", F.col("theta").alias("Theta"), F.col("hfacc").alias("hFacC"))
+    with _written(spark) as folder:
+        chunks.write_chunks(cells, folder, ["Theta", "hFacC"], block=TILE)
+        read = chunks.read_chunks(spark, folder, iterations=[10000], faces=[0, 5, 7, 12], j=(10, 300), i=(3, 28))
+        return _kept(_round(read, "Theta", "hFacC"))
+
+
 def references(spark, d):
     """A JSON reference file for each nation, listed, read and parsed."""
     n = tables.table(spark, d, "nation")
@@ -155,10 +174,10 @@ def observed_negative_salinity(spark, d):
 
 
 def gradient_attributes(spark, d):
-    """The names and units that go with a gradient's columns."""
+    """The names and units that go with a gradient's columns, and how many values each has."""
     g = stencil.tracer_gradient(tables.cells(spark, d), "theta", long_name="potential temperature", units="K/m")
-    rows = [(f.name, f.metadata.get("long_name"), f.metadata.get("units")) for f in g.schema if f.name in ("zonal", "merid")]
-    return spark.createDataFrame(rows, "name STRING, long_name STRING, units STRING")
+    named = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.metadata.get("long_name")).alias("long_name"), F.lit(f.metadata.get("units")).alias("units"), F.count(f.name).alias("n")) for f in g.schema if f.name in ("zonal", "merid")])
+    return g.agg(named.alias("a")).select(F.inline("a"))
 
 
 def negative_salinity(spark, d):
@@ -182,6 +201,18 @@ def gradient_native(spark, d):
     return _round(g.select("face", "j", "i", (F.col("zonal") * 1e3).alias("zonal"), (F.col("merid") * 1e3).alias("merid")), "zonal", "merid")
 
 
+def gradient_linked(spark, d):
+    """The gradient with neighbours across the seams of faces."""
+    g = seams.linked_gradient(tables.cells(spark, d), "theta", seams.face_links(spark, SEAMS))
+    return _round(g.select("face", "j", "i", (F.col("zonal") * 1e3).alias("zonal"), (F.col("merid") * 1e3).alias("merid")), "zonal", "merid")
+
+
+def seam_vectors(spark, d):
+    """A vector of two variables in the cells across every seam, in the axes of the face that they enter."""
+    across = seams.ghosts(tables.cells(spark, d), seams.face_links(spark, SEAMS), ["theta", "salt"])
+    return _round(seams.turned(across, "theta", "salt").select("face", "j", "i", "side", "theta", "salt"), "theta", "salt")
+
+
 def grad_squared(spark, d):
     """The flagship: grid, buoyancy, native gradient, squared, then figures per face."""
     per_face = _field(spark, d).groupBy("face").agg(F.count("g2").alias("n"), F.max(F.col("g2") * 1e9).alias("g2_max"), F.avg(F.col("g2") * 1e9).alias("g2_mean"))
@@ -205,6 +236,15 @@ def approximate_quantiles(spark, d):
     return near
 
 
+def quantile_summaries(spark, d):
+    """Limits over all faces from stored summaries of each, and how far their ranks are from what was asked."""
+    cells = tables.cells(spark, d)
+    with _written(spark) as folder:
+        summaries.summarise(cells, "theta", ["face"], SUMMARY, TILE).write.parquet(folder)
+        limits = summaries.quantiles(summaries.merge(spark.read.parquet(folder), [], SUMMARY), [0.01, 0.1, 0.5, 0.9, 0.99])
+        return _kept(_round(summaries.rank_errors(cells, "theta", limits), "v", "error"))
+
+
 def log_range(spark, d):
     return _round(stats.log_range(tables.table(spark, d, "lineitem"), "l_discount"), "vmin", "vmax")
 
@@ -230,7 +270,8 @@ def size_estimate(spark, d):
 
 
 def mosaic_layout(spark, d):
-    return mosaic.layout(spark)
+    """The slots of the faces that are there, with their cells."""
+    return mosaic.place(tables.cells(spark, d).groupBy("face").agg(F.count("*").alias("n")))
 
 
 def log_field_mosaic(spark, d):
@@ -251,13 +292,20 @@ def halo_mask_euclid(spark, d):
 
 
 def halo_mask_fmm(spark, d):
-    return halo.fast_marching(_masked(spark, d), tables.geometry(spark, d), HALO_KM)
+    """The halo by marched distance, on blocks that exchange borders."""
+    return halo.marched(_masked(spark, d), tables.geometry(spark, d), HALO_KM, TILE)
 
 
 def weighted_sample(spark, d):
     return _samples(spark, d)
 
 
+def weighted_sample_half(spark, d):
+    """Half of all cells, chosen by the key of that rank and ordered in ranges."""
+    cells = tables.cells(spark, d).select("face", "j", "i", F.col("theta").alias("v"))
+    return sampling.weighted_sample(cells, cells.count() // 2, BIAS, seed=SEED, strict=False, together=1000).withColumn("sample_rank", F.col("sample_rank").cast("bigint"))
+
+
 def weighted_sample_by_column(spark, d):
     """The strength of the bias depends on the cell."""
     cells = tables.cells(spark, d).select("face", "j", "i", F.col("theta").alias("v"))
@@ -274,7 +322,9 @@ def uniform_sample(spark, d):
 
 
 def linear_bin_counts(spark, d):
-    return sampling.linear_bin_counts(spark, 1000, 10, 0, 100.0)
+    """How many of a pool each bin of the prices gets, beside what it holds."""
+    held = stats.probability_table(_price(spark, d), "v", 10).select("bin", F.col("n").alias("held"))
+    return sampling.linear_bin_counts(spark, 1000, 10, 0, 100.0).join(held, "bin")
 
 
 def linear_sample(spark, d):
@@ -315,14 +365,30 @@ def image_pixels(spark, d):
     return _round(_pixels(spark, d), "v")
 
 
+def image_blocks(spark, d):
+    """The pixels from a store in blocks, of which only those that patches touch are read."""
+    with _written(spark) as folder:
+        blocks.write_blocks(tables.cells(spark, d).select("face", "j", "i", "theta", "salt"), folder, TILE)
+        return _kept(_round(patches.patch_pixels(blocks.read_blocks(spark, folder), _bounds(spark, d), ["theta", "salt"], block=TILE), "v"))
+
+
+def _pooled(spark: SparkSession, d: str) -> DataFrame:
+    return patches.pooled(tables.cells(spark, d), _bounds(spark, d), ["theta", "salt"], IMAGE, block=TILE)
+
+
 def image_downsample(spark, d):
-    pooled = patches.downsample(_pixels(spark, d, with_size=True), IMAGE)
-    return pooled.withColumn("v", F.round(F.col("v").cast("double"), 4))
+    """Images of patches by summed-area tables of blocks."""
+    return _pooled(spark, d).withColumn("v", F.round(F.col("v").cast("double"), 4))
+
+
+def image_downsample_pixels(spark, d):
+    """The same images from pixel rows."""
+    return patches.downsample(_pixels(spark, d, with_size=True), IMAGE).withColumn("v", F.round(F.col("v").cast("double"), 4))
 
 
 def image_tensor(spark, d):
     """Arrays as text, in units of 1e-3, so that the order of their cells is compared too."""
-    t = patches.tensors(patches.downsample(_pixels(spark, d, with_size=True), IMAGE))
+    t = patches.tensors(_pooled(spark, d))
     return t.withColumn("data", F.array_join(F.transform("data", lambda v: F.round(v.cast("double") * 1e3).cast("bigint").cast("string")), ",", "-"))
 
 
@@ -330,6 +396,27 @@ def image_tensor_pixels(spark, d):
     return _round(patches.tensor_pixels(patches.tensors(_pixels(spark, d))), "v")
 
 
+def image_dataset_records(spark, d):
+    """The whole way from fields to images: each sample's record from the sink, with the mean of its image's first channel."""
+    recipe = Recipe(HALO_KM, PATCH_KM, SAMPLES, BIAS, IMAGE, ("theta", "salt"), SEED, TILE)
+    records, images = image_dataset(tables.cells(spark, d), recipe)
+    means = images.where("channel = 0").groupBy("sample_id").agg(F.avg(F.col("v").cast("double")).alias("mean"), F.count("v").alias("n_pixels"))
+    with _written(spark) as folder:
+        commit_log.CommitLog(spark, folder).append(records.join(means, "sample_id", "left"), "records")
+        return _kept(_round(commit_log.CommitLog(spark, folder).read().select("sample_id", "face", "j", "i", "status", "v", "n_pixels", F.round("mean", 4).alias("mean")), "v", "mean"))
+
+
+def merge_conflicts(spark, d):
+    """Cells that state and geometry give two values for; every tenth geometry has another salinity."""
+    state = tables.cells(spark, d).select("face", "j", "i", "theta", "salt")
+    grid = tables.cells(spark, d).select("face", "j", "i", "dxc", F.when((F.col("i") + F.col("j")) % 10 == 0, F.col("salt") + 1).when((F.col("i") + F.col("j")) % 10 != 1, F.col("salt")).alias("salt"))
+    return model.conflicts(state, grid)
+
+
+def negative_salinity_faces(spark, d):
+    return eos.any_negative_salinity(tables.cells(spark, d).withColumn("salt", F.col("salt") - F.lit(30.0) - F.col("face") / 1000.0))
+
+
 def metadata_append(spark, d):
     """Two batches, of which the first lacks a column, appended to the sink and read back."""
     e = tables.table(spark, d, "events").select("event_id", F.col("event_type"), F.col("value"))
@@ -339,6 +426,18 @@ def metadata_append(spark, d):
         return _kept(metadata.read(spark, folder).groupBy("event_type").agg(F.count("*").alias("n"), F.count("value").alias("with_value")))
 
 
+def metadata_stream(spark, d):
+    """Events as a stream of files into the logged sink, compacted on the way, then read back."""
+    e = tables.table(spark, d, "events").select("event_id", "event_type", "value")
+    with _written(spark) as folder:
+        e.repartition(6, "event_id").write.parquet(f"{folder}/source")
+        arriving = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/source")
+        query = commit_log.write_stream(arriving, f"{folder}/sink", f"{folder}/checkpoint", compact_every=2)
+        query.awaitTermination()
+        read = commit_log.CommitLog(spark, f"{folder}/sink").read(e.schema)
+        return _kept(read.groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("n_ids"), F.round(F.sum("value"), 3).alias("total")))
+
+
 def metadata_union(spark, d):
     e = tables.table(spark, d, "events").select("event_id", F.col("event_type"), F.col("value"))
     first, second = e.where("event_id % 2 = 0").drop("value"), e.where("event_id % 2 = 1")
@@ -363,10 +462,10 @@ def hash_uniform(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_snapshot, flux_variables, read_stores, references, object_paths, scan_grid, list_theta_files, latest_iteration, last_listed_file, merge_landmask, merge_inner, density_surface, density_pressure, bulk_modulus,
-        buoyancy, negative_salinity, observed_negative_salinity, gradient_attributes, diff_x, diff_y, interp_fill, gradient_native, grad_squared, compute_pdf, approximate_quantiles, log_range, density_hist, log_density_hist,
+        scan_snapshot, flux_variables, read_stores, read_chunks, references, object_paths, scan_grid, list_theta_files, latest_iteration, last_listed_file, merge_landmask, merge_inner, merge_conflicts, density_surface, density_pressure, bulk_modulus,
+        buoyancy, negative_salinity, negative_salinity_faces, observed_negative_salinity, gradient_attributes, diff_x, diff_y, interp_fill, gradient_native, gradient_linked, seam_vectors, grad_squared, compute_pdf, approximate_quantiles, quantile_summaries, log_range, density_hist, log_density_hist,
         face_minmax, face_mean_spacing, size_estimate, mosaic_layout, log_field_mosaic, face_slice, face_two_vars, halo_mask_euclid, halo_mask_fmm,
-        weighted_sample, weighted_sample_by_column, sample_weights, uniform_sample, linear_bin_counts, linear_sample, inverse_transform_sample, sample_on_pdf, first_match_tolerance,
-        extent_i, extent_j, patch_bounds, patch_rejects, image_pixels, image_downsample, image_tensor, image_tensor_pixels, metadata_append, metadata_union, metadata_records, hash_uniform,
+        weighted_sample, weighted_sample_half, weighted_sample_by_column, sample_weights, uniform_sample, linear_bin_counts, linear_sample, inverse_transform_sample, sample_on_pdf, first_match_tolerance,
+        extent_i, extent_j, patch_bounds, patch_rejects, image_pixels, image_blocks, image_downsample, image_downsample_pixels, image_tensor, image_tensor_pixels, image_dataset_records, metadata_append, metadata_stream, metadata_union, metadata_records, hash_uniform,
     )
 }

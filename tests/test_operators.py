@@ -169,7 +169,7 @@ def test_tensor_round_trip(spark):
     assert sorted(map(tuple, patches.tensor_pixels(t).collect())) == sorted(map(tuple, px.collect()))
 
 
-@pytest.mark.parametrize("method", [halo.euclid, halo.fast_marching])
+@pytest.mark.parametrize("method", [halo.euclid, halo.marched])
 def test_halo_of_a_straight_coast_and_whole_faces(spark, method):
     faces = grid(spark, 6, 10).unionByName(grid(spark, 6, 10, face=1)).unionByName(grid(spark, 6, 10, face=2))
     mask = faces.select("face", "j", "i", F.when(F.col("face") == 0, F.col("i") < 3).otherwise(F.col("face") == 1).alias("masked"))
