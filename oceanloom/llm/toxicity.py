@@ -7,7 +7,10 @@ insults and threats, targets, negation and reported speech, are composed into
 one machine, which reads a clause and ends in the sort of match: plain, aimed at
 a target, negated, or reported.  A document's score is a logistic function of its
 matched clauses' weights, by sort.  Isolated words outside a matched clause don't score.
-Threat words need not be learned: they count where they are aimed at a target.
+Threat words need not be learned: they count where they are aimed at a target, inflected ones where the clause
+addresses somebody.  An insult or a threat may come before its target.  The weights are fitted to the labelled rows
+alone, around a prior that holds where these have no clause of a sort; negated and reported clauses never weigh less than
+nothing, nor more than half of plain ones.
 """
 
 from __future__ import annotations
@@ -38,6 +41,19 @@ TARGET_WORDS = set("you your yours yourself he she they him her them his their d
 NEGATION_WORDS = set("not no never nor without isn't aren't wasn't don't didn't won't nicht kein keine keinen nie niemals pas jamais aucun aucune sans nunca jamás tampoco ningún ninguna sin".split())
 REPORT_WORDS = set("said says quoted quote reported according claimed wrote called alleged sagte sagt angeblich zitiert laut dit disait selon prétend affirme dijo dice según afirma llamó".split())
 THREAT_WORDS = set("kill murder strangle stab shoot umbringen töten erschießen tuer égorger matar apuñalar".split())
+SECOND_PERSON = set("you your yours yourself yourselves du dich dir ihr euch dein deine deinen euer tu toi te vous ton ta tes votre vos tú ti os usted ustedes vosotros tus vuestro vuestra".split())
+#: Other forms of threat words, and other threat words: a stem, then the endings that it takes.
+THREAT_FORMS = {
+    stem + end
+    for stem, *ends in map(
+        lambda x: x.split(","),
+        "kill,s,ed,ing murder,s,ed,ing strangl,es,ed,ing stab,s,bed,bing shoot,s,ing hurt,,s,ing burn,,s,ed,ing,t chok,e,es,ed,ing slaughter,,s,ed,ing behead,,s,ed,ing "
+        "umbring,e,st,t umgebracht, umzubringen, töt,e,est,et getötet, erschieß,e,t erschossen, erwürg,e,t,en erwürgt, verbrenn,e,t,en verbrannt, verprügel,,n,t "
+        "tuer,ai,as,a,ons,ez,ont,ais,ait égorg,erai,era,erons,eront étrangl,er,erai,era,erons,eront brûl,er,erai,era,erons,eront poignard,er,erai,era,erons,eront "
+        "mat,aré,arás,ará,aremos,arán,arte,aros,arlo apuñal,aré,ará,aremos,arán,arte,aros quem,aré,ará,aremos,arán,arte,aros degoll,ar,aré,ará,aremos,arán,arte estrangul,ar,aré,ará,aremos,arán,arte".split(),
+    )
+    for end in ends
+}
 
 _WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?|[\"«»„“”]")
 _CLAUSE = re.compile(r"[.!?;\n]+")
@@ -76,20 +92,24 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
 #: Weights of the four transducers, on top of an entry's own log-odds.
 AIMED, NEGATED, REPORTED, AT_A_THREAT = 1.0, -0.5, -0.5, 0.5
 NEGATION_REACH = 3
-#: A threat's target may follow by so many words.
-THREAT_REACH = 3
+#: Between a threat or an insult and a target after it there may be so many words; both the same, since a threat without a target passes as an insult.
+THREAT_REACH = INSULT_REACH = 3
 #: Stands for the log-odds of an aimed threat, learned or not: about those of a word in 1,500 toxic texts of 5,000 and in no clean one.
 OF_A_THREAT = 8.0
 
 
 def grammar() -> Transducer:
-    """threat after target, or up to three words before it > target anywhere before the insult > negation up to three words back > reported speech opened before."""
+    """threat after target, or up to three words before it > target anywhere before the insult, or up to three words after it > negation up to three words back > reported speech opened before."""
     aims: dict[tuple[int, int], tuple[int, int, float]] = {(0, TARGET): (1, TARGET, 0.0), (1, THREAT): (1, INSULT, AT_A_THREAT), (0, THREAT): (2, INSULT, 0.0)}
-    for q in range(2, THREAT_REACH + 2):  # a threat waits for its target
-        aims |= {(q, a): (q + 1 if q <= THREAT_REACH else 0, a, 0.0) for a in (INSULT, NEGATION, REPORT, OTHER)}
-        aims |= {(q, THREAT): (2, INSULT, 0.0), (q, TARGET): (1, TARGET, AT_A_THREAT + AIMED)}
-    threats = transducer(THREAT_REACH + 2, aims)
-    targets = transducer(2, {(0, TARGET): (1, TARGET, 0.0), (1, INSULT): (1, INSULT, AIMED)})
+    for q in range(2, THREAT_REACH + 3):  # a threat waits for its target
+        aims |= {(q, a): (q + 1 if q <= THREAT_REACH + 1 else 0, a, 0.0) for a in (INSULT, NEGATION, REPORT, OTHER)}
+        aims |= {(q, THREAT): (2, INSULT, 0.0), (q, TARGET): (1, TARGET, AT_A_THREAT)}
+    threats = transducer(THREAT_REACH + 3, aims)
+    later: dict[tuple[int, int], tuple[int, int, float]] = {(0, TARGET): (1, TARGET, 0.0), (1, INSULT): (1, INSULT, AIMED), (0, INSULT): (2, INSULT, 0.0)}
+    for q in range(2, INSULT_REACH + 3):  # what has no target yet waits for one
+        later |= {(q, a): (q + 1 if q <= INSULT_REACH + 1 else 0, a, 0.0) for a in (NEGATION, REPORT, OTHER, THREAT)}
+        later |= {(q, INSULT): (2, INSULT, 0.0), (q, TARGET): (1, TARGET, AIMED)}
+    targets = transducer(INSULT_REACH + 3, later)
     moves: dict[tuple[int, int], tuple[int, int, float]] = {(q, NEGATION): (NEGATION_REACH, NEGATION, 0.0) for q in range(NEGATION_REACH + 1)}
     for q in range(1, NEGATION_REACH + 1):
         moves |= {(q, a): (q - 1, a, 0.0) for a in (TARGET, REPORT, OTHER, THREAT)}
@@ -101,6 +121,10 @@ def grammar() -> Transducer:
 
 PLAIN, AIM, NEG, REP = range(4)
 FEATURES = 8
+#: Negated and reported clauses weigh at most so much of plain ones.
+DISCOUNTED = 0.5
+#: Where labelled rows say nothing: the intercept, then the weights of plain, aimed, negated and reported clauses' sums and numbers.
+PRIOR = [-3.0, 1.0, 2.0, 0.25, 0.25, 0.0, 0.0, 0.0, 0.0]
 
 
 class Scorer:
@@ -109,7 +133,7 @@ class Scorer:
     def __init__(self, lexicon: dict[str, float], coefficients: list[float] | None = None):
         self.lexicon, self.coefficients, self.machine = lexicon, coefficients, grammar()
         self.finder = ahocorasick.Automaton()
-        for entry in {e.rstrip("*") for e in lexicon} | THREAT_WORDS:
+        for entry in {e.rstrip("*") for e in lexicon} | THREAT_WORDS | THREAT_FORMS:
             self.finder.add_word(entry, entry)
         self.finder.make_automaton()
 
@@ -142,10 +166,12 @@ class Scorer:
             state, score, sort = 0, 0.0, -1
             aimed = negated = reported = False
             waiting = (0.0, INSULT, 0.0)
-            for word in _WORD.findall(clause):
+            words = _WORD.findall(clause)
+            addressed = not SECOND_PERSON.isdisjoint(words)
+            for word in words:
                 own = self.weight(word)
                 symbol = (
-                    THREAT if word in THREAT_WORDS else INSULT if own > 0 else TARGET if word in TARGET_WORDS
+                    THREAT if word in THREAT_WORDS or (addressed and word in THREAT_FORMS) else INSULT if own > 0 else TARGET if word in TARGET_WORDS
                     else NEGATION if word in NEGATION_WORDS else REPORT if word in REPORT_WORDS or word in "\"«»„“”" else OTHER
                 )
                 state, out, w = self.machine.step[state][symbol]
@@ -153,6 +179,9 @@ class Scorer:
                     own = max(own, OF_A_THREAT)
                 elif symbol == THREAT:
                     waiting = (own, out, w)
+                elif symbol == TARGET and w == AIMED:  # a waiting insult's, which has been added, or a waiting threat's that is past its reach
+                    if sort >= 0:
+                        score, aimed = score + w, True
                 elif symbol == TARGET and w > 0:  # the waiting threat's; what it was worth unaimed has been added
                     before, out, less = waiting
                     own, w = max(OF_A_THREAT, before), w - before + (0.0 if before > 0 else less)
@@ -196,21 +225,50 @@ def choose_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int, t
     return {f: w for _, f, w in out}
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 200, ridge: float = 0.05) -> list[float]:
-    """Newton steps on a few features; the intercept comes first and isn't shrunk."""
-    a = np.hstack([np.ones((len(x), 1)), x])
-    w, keep = np.zeros(a.shape[1]), np.full(a.shape[1], ridge)
+def fit_logistic(x: np.ndarray, y: np.ndarray, prior: list[float], held: dict[int, float] | None = None, rounds: int = 200, ridge: float = 0.05) -> list[float]:
+    """Newton steps on a few features toward the prior; the intercept comes first and is hardly drawn there.  Weights in ``held`` stay as given."""
+    a, held = np.hstack([np.ones((len(x), 1)), x]), held or {}
+    w, keep = np.array(prior, float), np.full(a.shape[1], ridge)
     keep[0] = 1e-6
+    w[list(held)] = list(held.values())
+    free = [k for k in range(a.shape[1]) if k not in held]
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = (a * (p * (1 - p))[:, None]).T @ a + np.diag(keep)
-        move = np.linalg.solve(h, a.T @ (y - p) - keep * w)
-        w += np.clip(move, -2, 2)
+        h = (a[:, free] * (p * (1 - p))[:, None]).T @ a[:, free] + np.diag(keep[free])
+        move = np.linalg.solve(h, a[:, free].T @ (y - p) - keep[free] * (w - prior)[free])
+        w[free] += np.clip(move, -2, 2)
         if np.abs(move).max() < 1e-6:
             break
     return w.tolist()
 
 
+def fit_sorts(x: np.ndarray, y: np.ndarray) -> list[float]:
+    """The weights of the sorts: plain ones not below 0, aimed ones not below plain ones, negated and reported ones between 0 and half of these.
+
+    A weight beyond its bound is put there, and the others are fitted again.
+    """
+    zero: set[int] = set()
+    tied: dict[int, float] = {}  # these are so much of the plain weight of their part
+    while True:
+        columns = x.copy()
+        for k, share in tied.items():
+            columns[:, k - k % 4] += share * x[:, k]
+        w = fit_logistic(columns, y, PRIOR, {k + 1: 0.0 for k in zero | tied.keys()})
+        for k, share in tied.items():
+            w[k + 1] = share * w[k - k % 4 + 1]
+        before = len(zero) + len(tied)
+        for k in range(FEATURES):
+            own, plain, sort = w[k + 1], w[k - k % 4 + 1], k % 4
+            if k in zero or k in tied:
+                continue
+            if sort != AIM and own < 0:
+                zero.add(k)
+            elif (sort == AIM and own < plain) or (sort in (NEG, REP) and own > plain * DISCOUNTED):
+                tied[k] = 1.0 if sort == AIM else DISCOUNTED
+        if len(zero) + len(tied) == before:
+            return w
+
+
 def held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == HELD_OUT
 
@@ -265,12 +323,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Scor
     finally:
         sample.unpersist()
     if toxic and clean:
-        # Each threat word joins the sample aimed, as toxic, and negated and reported, as clean, since the labelled texts may hold no threats.
-        threats = [(scorer.features(f"{before} {w}").tolist(), y) for before, y in (("you", 1.0), ("you not", 0.0), ("said you", 0.0)) for w in sorted(THREAT_WORDS)]
-        x, y = (np.array(v) for v in zip(*[(r["x"], float(r["toxic"])) for r in described], *threats, strict=True))
-        scorer.coefficients = fit_logistic(x, y)
+        x, y = (np.array(v) for v in zip(*[(r["x"], float(r["toxic"])) for r in described], strict=True))
+        scorer.coefficients = fit_sorts(x, y)
     else:
-        scorer.coefficients = [-3.0, *[1.0] * FEATURES]
+        scorer.coefficients = list(PRIOR)
     return scorer
 
 

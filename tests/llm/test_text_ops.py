@@ -151,6 +151,34 @@ def test_an_aimed_threat_counts_without_a_learned_word(spark):
     assert not {r.text for r in toxicity.reject_toxic(df, labels.where("false")).collect()} & set(threats)
 
 
+def test_inflected_threats_and_targets_after_insults():
+    """Scores by the prior alone; a learned lexicon only adds to them."""
+    s = toxicity.Scorer({"clown": 6.0, "zarg*": 5.0}, list(toxicity.PRIOR))
+    clean = s.score("clean words only")
+    for t in ("I will kill you", "I am killing you", "you will be killed", "je vous tuerai", "I will hurt you", "we will burn your house down", "te mataremos mañana", "ihr werdet erschossen", "je te brûlerai"):
+        assert s.score(t) > 0.5 > clean, t
+    for t in ("the fire burned the house", "she was killed in 1945", "it hurts", "burning wood", "he said you will be killed", "you will not be killed"):
+        assert s.score(t) < 0.5, t
+    assert {s.score(t) for t in ("she was killed in 1945", "burning wood", "the fire burned the house")} == {clean}
+    assert s.score("clown you") == s.score("clown, all of you") == s.score("you clown") > s.score("a clown") > clean
+    assert s.score("clown and then a lot of words before you") == s.score("a clown")
+    assert s.features("kill you clown").argmax() == toxicity.AIM and s.score("you are not a clown") >= clean
+
+
+def test_weights_of_sorts_keep_their_order():
+    """Labels that contradict the grammar: negated and reported clauses in toxic texts only, plain ones in clean texts too."""
+    rng = np.random.default_rng(7)
+    for trial in range(20):
+        x = rng.exponential(size=(200, toxicity.FEATURES)) * (rng.random((200, toxicity.FEATURES)) < 0.3)
+        y = (rng.random(200) < 1 / (1 + np.exp(-x @ rng.normal(size=toxicity.FEATURES) * 2))).astype(float)
+        w = toxicity.fit_sorts(x, y)
+        for part in (1, 5):
+            plain, aimed, negated, reported = w[part : part + 4]
+            assert min(plain, aimed - plain, negated, reported) >= -1e-9 and max(negated, reported) <= max(toxicity.DISCOUNTED * plain, 0) + 1e-9, w
+    free = toxicity.fit_logistic(np.zeros((50, toxicity.FEATURES)), np.array([0.0, 1.0] * 25), toxicity.PRIOR)
+    assert np.allclose(free[1:], toxicity.PRIOR[1:]) and abs(free[0]) < 1e-3
+
+
 def features_by_rules(text, lexicon):
     """The grammar's sums clause by clause, each transducer's rule said in words: no automaton, no search for entries."""
     def entry(word):
@@ -159,7 +187,8 @@ def features_by_rules(text, lexicon):
     total = [0.0] * 8
     for clause in re.split(r"[.!?;\n]+", text.lower()):
         words = toxicity._WORD.findall(clause)
-        kinds = ["threat" if w in toxicity.THREAT_WORDS else "insult" if entry(w) > 0 else "target" if w in toxicity.TARGET_WORDS else "negation" if w in toxicity.NEGATION_WORDS
+        addressed = any(w in toxicity.SECOND_PERSON for w in words)
+        kinds = ["threat" if w in toxicity.THREAT_WORDS or (addressed and w in toxicity.THREAT_FORMS) else "insult" if entry(w) > 0 else "target" if w in toxicity.TARGET_WORDS else "negation" if w in toxicity.NEGATION_WORDS
                  else "report" if w in toxicity.REPORT_WORDS or w in "\"«»„“”" else "other" for w in words]
         score, matched, aimed, negated, reported = 0.0, False, False, False, False
         for k, (word, kind) in enumerate(zip(words, kinds, strict=True)):
@@ -175,6 +204,14 @@ def features_by_rules(text, lexicon):
                 own = max(own, toxicity.OF_A_THREAT)
             if own <= 0:
                 continue
+            if kind == "insult" and not at:
+                # The next word of abuse within reach would take the target, and a threat that waits for it takes it for both.
+                ahead = kinds[k + 1 : k + 2 + toxicity.INSULT_REACH]
+                until = next((d for d, a in enumerate(ahead) if a in ("insult", "threat", "target")), None)
+                if until is not None and ahead[until] == "target":
+                    place = k + 1 + until
+                    taken = any(kinds[q] == "threat" and place - q - 1 <= toxicity.THREAT_REACH and "threat" not in kinds[q + 1 : place] for q in range(k))
+                    score, aimed = score + (0.0 if taken else toxicity.AIMED), True
             near = next((d for d, a in enumerate(reversed(before)) if a == "negation"), None)
             hits = sum(a in ("target", "report", "other", "threat", "insult") for a in before[len(before) - (near or 0) :]) if near is not None else 99
             is_negated = near is not None and hits < toxicity.NEGATION_REACH
@@ -196,7 +233,7 @@ def test_toxicity_features_equal_the_rules_on_all_rows(spark, sf_dir):
     scorer = toxicity.train(docs, labels)
     texts = [t for _, t in documents(spark, sf_dir)]
     some = sorted(scorer.lexicon)[:3]
-    texts += [f"{a} {b} {c}." for a in ("you", "not", "he said", "the") for b in (*(e.rstrip("*") for e in some), "kill", "word") for c in ("you", "kill them", "it all now", "")]
+    texts += [f"{a} {b} {c}." for a in ("you", "not", "he said", "the") for b in (*(e.rstrip("*") for e in some), "kill", "word", "killed", "burn") for c in ("you", "kill them", "it all now", "", "and then you", f"{some[0].rstrip('*')} of you", "burning your house")]
     different = [t for t in texts if not np.allclose(scorer.features(t), features_by_rules(t, scorer.lexicon))]
     assert not different, different[:3]
 
