@@ -141,18 +141,19 @@ def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
 
     Sets of n and m words at Jaccard t share o >= t/(1+t) * (n+m) words.  The first unbroken neighbours end by word
     2(n-o) + (m-o) + 2 of the first set, which is (2-q)n - (q-1)m + 2 at most with q = 3t/(1+t), and m >= tn.  A set of one word is its own
-    signature.
+    signature.  Unbroken neighbours are sure where q(n+m) > n+m+1, so for all sets of two words or more where q > 5/4; below
+    that, each of the first n - tn + 1 words is a signature.
     """
     q = 3 * similarity / (1 + similarity)
-    share = (2 - q) - (q - 1) * similarity if q >= 1 else 2 - q + (1 - q) / similarity
-    n = F.size("k")
-    count = F.greatest(F.lit(1), F.least(n - 1, F.floor(n * share + 1e-9).cast("int") + 1))
+    n, neighbours = F.size("k"), q > 1.25
+    share = (2 - q) - (q - 1) * similarity if neighbours else 1 - similarity
+    count = F.greatest(F.lit(1), F.least(n - 1 if neighbours else n, F.floor(n * share + 1e-9).cast("int") + 1))
     one = F.lit(1).cast("bigint")
     bits = lambda words: F.aggregate(words, F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", one, w.bitwiseAND(PARITY_BITS - 1).cast("int"))))
     half = F.filter("k", lambda w: w.bitwiseAND(PARITY_BITS) != 0)
     marked = keyed.select("doc", "line", "k", bits(F.col("k")).alias("odd"), F.when(n >= WIDE_FROM, bits(half)).otherwise(0).alias("wide"))  # before the explode, or they would be found again for each signature
     at = marked.select("doc", "line", "k", "odd", "wide", F.explode(F.sequence(F.lit(0), count - 1)).alias("i"))
-    sig = F.shiftrightunsigned(F.xxhash64(F.get("k", "i"), F.get("k", F.col("i") + 1)), 64 - SIGNATURE_BITS)
+    sig = F.shiftrightunsigned(F.xxhash64(F.get("k", "i"), *([F.get("k", F.col("i") + 1)] if neighbours else [])), 64 - SIGNATURE_BITS)
     most = F.lit(FULL).cast("bigint")
     about = F.shiftleft(F.least(F.size("k").cast("bigint"), most), 16).bitwiseOR(F.least(F.col("i").cast("bigint"), most))
     return at.select(sig.alias("sig"), "doc", "line", about.alias("about"), "odd", "wide")
@@ -161,7 +162,7 @@ def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
 def _may_match(t: float, x: dict[str, Column], y: dict[str, Column]) -> Column:
     """Length, positional and parity filters between two lines' ``about, odd, wide``.
 
-    After the two shared words and before them there must be enough words to share.  The bits that differ between two sets'
+    Up to the first shared word and from it on there must be enough words to share.  The bits that differ between two sets'
     parities can't outnumber the words that differ.  Sizes and places of FULL or more are not known, and pass.
     """
     n, m = (F.shiftrightunsigned(c["about"], 16) for c in (x, y))

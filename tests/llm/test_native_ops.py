@@ -184,6 +184,17 @@ def test_line_dedup_at_other_thresholds(spark, t):
     assert {(r.doc_id, r.line_no) for r in linededup.removed_lines(df, t).collect()} == removed_by_loop(docs, t)
 
 
+@pytest.mark.parametrize("t", [0.34, 0.5, 0.6, 0.7, 0.72])
+def test_line_dedup_of_small_sets_at_low_thresholds(spark, t):
+    """Sets so small that shared words need not be neighbours: three words against five that hold them, the others between."""
+    rng, docs = random.Random(12), []
+    for k in range(60):
+        a, b, c, x, y = (f"{w}{k}" for w in rng.sample(["ab", "cd", "ef", "gh", "ij"], 5))
+        docs += [(3 * k, f"{a} {b} {c}"), (3 * k + 1, f"{a} {x} {b} {y} {c}"), (3 * k + 2, f"{a} {b} {x}")]
+    got = {(r.doc_id, r.line_no) for r in linededup.removed_lines(spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), t).collect()}
+    assert got == removed_by_loop(docs, t)
+
+
 def test_lines_leave_the_texts(spark):
     df = spark.createDataFrame([(1, "same line here\nown one\n\nend"), (2, "Same  line HERE\nother"), (3, None), (4, "same line here")], "doc_id BIGINT, text STRING").withColumn("n_chars", F.length("text").cast("bigint"))
     got = {r.doc_id: (r.text, r.n_chars) for r in linededup.drop_later_lines(df).collect()}
