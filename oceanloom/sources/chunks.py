@@ -15,6 +15,7 @@ import json
 import math
 import re
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +34,8 @@ ROW_DIMS, COLUMN_DIMS = ("j", "j_g"), ("i", "i_g")
 BLOCK = 720
 #: Cells that leave a task in one batch.
 CELLS_PER_BATCH = 1 << 16
+#: Reference files that are opened at the same time.
+OPENED_TOGETHER = 16
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
@@ -160,22 +163,22 @@ class ChunkReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         fs, files = reference_files(self.options)
-        out = []
-        for face, iteration, path in files:
-            if not (self.wanted.holds("face", face, face) and self.wanted.holds("iter", iteration, iteration)):
-                continue
-            with fs.open_input_stream(path) as f:
-                doc = json.loads(f.read())
-            refs = doc.get("refs", doc)
-            variables = [v for v in parsed(doc) if v.name.lower() in {n.lower() for n in self.names}]
-            if not variables:
-                continue
-            (nj, ni), (bj, bi) = variables[0].shape, variables[0].chunks
-            for j0 in range(0, nj, bj):
-                for i0 in range(0, ni, bi):
-                    j1, i1 = min(j0 + bj, nj), min(i0 + bi, ni)
-                    if self.wanted.holds("j", j0, j1 - 1) and self.wanted.holds("i", i0, i1 - 1):
-                        out.append(ChunkPartition(iteration, face, j0, j1, i0, i1, [_with_refs(v, refs, doc.get("templates", {}), j0, j1, i0, i1) for v in variables]))
+        chosen = [f for f in files if self.wanted.holds("face", f[0], f[0]) and self.wanted.holds("iter", f[1], f[1])]
+        with ThreadPoolExecutor(OPENED_TOGETHER) as pool:
+            docs = pool.map(lambda f: _document(fs, f[2]), chosen)
+            return [p for (face, iteration, _), doc in zip(chosen, docs, strict=True) for p in self._chunks_of(face, iteration, doc)]
+
+    def _chunks_of(self, face: int, iteration: int, doc: dict) -> list[InputPartition]:
+        refs, out = doc.get("refs", doc), []
+        variables = [v for v in parsed(doc) if v.name.lower() in {n.lower() for n in self.names}]
+        if not variables:
+            return []
+        (nj, ni), (bj, bi) = variables[0].shape, variables[0].chunks
+        for j0 in range(0, nj, bj):
+            for i0 in range(0, ni, bi):
+                j1, i1 = min(j0 + bj, nj), min(i0 + bi, ni)
+                if self.wanted.holds("j", j0, j1 - 1) and self.wanted.holds("i", i0, i1 - 1):
+                    out.append(ChunkPartition(iteration, face, j0, j1, i0, i1, [_with_refs(v, refs, doc.get("templates", {}), j0, j1, i0, i1) for v in variables]))
         return out
 
     def read(self, partition: ChunkPartition | None) -> Iterator[pa.RecordBatch]:
@@ -250,6 +253,11 @@ def _with_refs(v: Variable, refs: dict, templates: dict, j0: int, j1: int, i0: i
     return Variable(v.name, v.shape, v.chunks, v.lead, v.dtype, v.order, v.codec, v.fill, v.separator, held)
 
 
+def _document(fs: pafs.FileSystem, path: str) -> dict:
+    with fs.open_input_stream(path) as f:
+        return json.loads(f.read())
+
+
 def reference_files(options: dict[str, str]) -> tuple[pafs.FileSystem, list[tuple[int, int, str]]]:
     """``(face, iteration, path)`` of the reference files of a folder, by name; nothing is opened."""
     fs, folder = open_store(options["path"], options)
@@ -269,8 +277,7 @@ class ChunkedCells(DataSource):
         fs, files = reference_files(self.options)
         names = []
         if files:
-            with fs.open_input_stream(files[0][2]) as f:
-                names = [v.name for v in parsed(json.loads(f.read()))]
+            names = [v.name for v in parsed(_document(fs, files[0][2]))]
         key = [T.StructField("iter", T.LongType()), *(T.StructField(c, T.IntegerType()) for c in CELL_KEY)]
         return T.StructType([*key, *(T.StructField(n, T.DoubleType()) for n in names)])
 
@@ -290,7 +297,7 @@ def read_chunks(
     """
     spark.dataSource.register(ChunkedCells)
     given = {
-        "iterations": iterations and ",".join(map(str, iterations)), "faces": faces is not None and (",".join(map(str, faces)) or "-1"), "j": j and f"{j[0]}:{j[1]}", "i": i and f"{i[0]}:{i[1]}",
+        "iterations": iterations is not None and (",".join(map(str, iterations)) or "-1"), "faces": faces is not None and (",".join(map(str, faces)) or "-1"), "j": j and f"{j[0]}:{j[1]}", "i": i and f"{i[0]}:{i[1]}",
         "endpoint": endpoint, "region": region, "anonymous": str(anonymous).lower(), "pushing": str(spark.conf.get(PUSHDOWN, "false")).lower(),
     }
     reader = spark.read.format("chunked_cells").options(**{k: v for k, v in given.items() if v})

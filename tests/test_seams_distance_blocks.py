@@ -198,7 +198,7 @@ def test_chunks_round_trip(spark, tmp_path, codec):
     got = chunks.read_chunks(spark, path)
     assert got.columns == ["iter", "face", "j", "i", "Salt", "Theta"] and got.rdd.getNumPartitions() == 4 * 3 * 2
     assert sorted(map(tuple, got.select(df.columns).collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
-    assert chunks.read_chunks(spark, path, faces=[]).count() == chunks.read_chunks(spark, path, faces=[9]).count() == chunks.read_chunks(spark, path, iterations=[1]).count() == 0
+    assert chunks.read_chunks(spark, path, faces=[]).count() == chunks.read_chunks(spark, path, faces=[9]).count() == chunks.read_chunks(spark, path, iterations=[1]).count() == chunks.read_chunks(spark, path, iterations=[]).count() == 0
     assert chunks.read_chunks(spark, path, variables=["Salt"]).columns[4:] == ["Salt"]
 
 
@@ -433,3 +433,57 @@ def test_a_batch_killed_before_its_entry_counts_once(spark, tmp_path):
     assert not log.append(df, name) and not log.commit(name, "data/other") and log.read().count() == 600
     assert log.append(df.select("id").limit(5), "later") and log.read().where("v IS NULL").count() == 5
     assert CommitLog(spark, f"{tmp_path}/none").read(df.schema).count() == 0
+
+
+def test_conflicting_values_end_the_merge(spark):
+    from oceanloom.operators import model
+
+    state = spark.createDataFrame([(0, 0, 0, 1.0, 5.0), (0, 0, 1, None, 6.0), (1, 0, 0, 2.0, 7.0)], "face INT, j INT, i INT, salt DOUBLE, theta DOUBLE")
+    grid = spark.createDataFrame([(0, 0, 0, 1.0, 9.0), (0, 0, 1, 4.0, 9.0), (2, 0, 0, 3.0, 9.0)], "face INT, j INT, i INT, salt DOUBLE, depth DOUBLE")
+    want = {(0, 0, 0, 1.0), (0, 0, 1, 4.0), (1, 0, 0, 2.0), (2, 0, 0, 3.0)}
+    for compat in ("override", "no_conflicts"):
+        assert {(r.face, r.j, r.i, r.salt) for r in model.merge(state, grid, compat=compat).collect()} == want
+    other = grid.withColumn("salt", F.when(F.col("i") == 1, F.col("salt")).otherwise(F.col("salt") + 1))
+    assert {(r.face, r.j, r.i, r.salt) for r in model.merge(state, other).where("face < 2").collect()} == {(0, 0, 0, 1.0), (0, 0, 1, 4.0), (1, 0, 0, 2.0)}
+    with pytest.raises(Exception, match="conflicting values of salt at face, j, i 0 0 0"):
+        model.merge(state, other, compat="no_conflicts").collect()
+    with pytest.raises(ValueError):
+        model.merge(state, grid, compat="equals")
+
+
+def test_sizes_come_from_file_footers(spark, tmp_path):
+    from oceanloom.operators import stats
+
+    spark.range(500).select(F.col("id").cast("int").alias("face"), F.lit(1.5).alias("v")).write.parquet(f"{tmp_path}/p")
+    sized = stats.size_bytes(spark.read.parquet(f"{tmp_path}/p"))
+    assert tuple(sized.first()) == (500, 500 * 12) and "ReadSchema: struct<>" in sized._jdf.queryExecution().executedPlan().toString()
+
+
+def test_faces_with_negative_salinity(spark):
+    from oceanloom.functions import eos
+
+    df = spark.createDataFrame([(0, -1.0), (0, 3.0), (1, 0.0), (1, None), (2, None)], "face INT, salt DOUBLE")
+    assert {tuple(r) for r in eos.any_negative_salinity(df).collect()} == {(0, True), (1, False), (2, False)}
+
+
+def test_image_dataset_end_to_end(spark):
+    """Samples lie beyond the halo, records say why a sample has no image, images equal pooling of their own patches."""
+    from oceanloom.plans.dataset import Recipe, front_strength, image_dataset
+
+    n = 40
+    cells = spark.range(n * n).select(
+        F.lit(0).alias("face"), F.floor(F.col("id") / n).cast("int").alias("j"), (F.col("id") % n).cast("int").alias("i"), (F.col("id") * F.col("id") % 197 / 19.0).alias("theta"), (F.lit(34.0) + F.col("id") % 31 / 50.0).alias("salt"),
+        F.when(F.col("id") % n < 3, 0.0).otherwise(1.0).alias("hfacc"), F.lit(1000.0).alias("dxc"), F.lit(1000.0).alias("dyc"), F.lit(1.0).alias("cs"), F.lit(0.0).alias("sn"),
+    )
+    recipe = Recipe(halo_km=4.0, patch_km=9.0, samples=30, bias=0.3, target=8, channels=("theta", "salt"), seed=5, block=16)
+    records, images = image_dataset(cells, recipe)
+    rows = records.collect()
+    assert sorted(r.sample_id for r in rows) == list(range(1, 31)) and min(r.i for r in rows) >= 3 + 4
+    strength = {(r.j, r.i): r.v for r in front_strength(cells).collect()}
+    assert all(abs(r.v - strength[r.j, r.i]) < 1e-12 for r in rows)
+    fine = {r.sample_id for r in rows if r.status == "ok"}
+    assert fine and {r.status for r in rows} <= {"ok", "i_low", "i_high", "j_low", "j_high"} and {r.sample_id for r in images.select("sample_id").distinct().collect()} == fine
+    again = patches.downsample(patches.patch_pixels(cells, records, ["theta", "salt"], with_size=True), 8)
+    assert sorted((r.sample_id, r.channel, r.y, r.x, round(r.v, 4)) for r in images.collect()) == sorted((r.sample_id, r.channel, r.y, r.x, round(r.v, 4)) for r in again.collect())
+    small, none = image_dataset(cells, Recipe(halo_km=4.0, patch_km=9.0, samples=30, bias=0.3, target=64, seed=5, block=16))
+    assert none.count() == 0 and {r.status for r in small.collect()} <= {"small", "i_low", "i_high", "j_low", "j_high"}
