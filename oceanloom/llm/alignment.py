@@ -201,7 +201,7 @@ def align(docs: DataFrame, vocabulary: str, ranks: str, pieces: str) -> DataFram
             texts = spark.read.parquet(f"{folder}/texts")
             pair_counts(texts).write.parquet(f"{folder}/pairs")
             measured = text_measures(texts, spark.read.parquet(f"{folder}/pairs"))
-            keyed = id_and_text(docs).select("doc_id", F.unhex(F.sha2("text", 256)).alias("key"))
+            keyed = id_and_text(docs).select("doc_id", F.when(F.col("text") != "", F.unhex(F.sha2("text", 256))).alias("key"))
             zero = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in MEASURES}
             joined = join_to_rows(keyed, cut(measured), "key", "n", [*MEASURES, "groups_sha256"])
             return cut(joined.select("doc_id", *zero.values(), F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256")))

@@ -50,9 +50,9 @@ def join_to_rows(rows: DataFrame, per_key: DataFrame, key: str, count: str, colu
     hot = per_key.where(is_hot).select(key, F.lit(True).alias("_hot"), *(F.col(c).alias(f"_hot_{c}") for c in columns))
     cold = per_key.where(~is_hot).select(F.col(key).alias("_key"), *(F.col(c).alias(f"_cold_{c}") for c in columns))
     met = rows.join(F.broadcast(hot), key, "left")
-    # Rows that have met a hot key need no other, and are dealt out by what they hold.
+    # Rows that have met a hot key need no other; they and rows without a key are dealt out by what they hold.
     elsewhere = F.encode(F.concat(F.lit("row:"), F.xxhash64(*rows.columns).cast("string")), "utf-8")
-    own = F.when(F.col("_hot"), elsewhere).otherwise(F.col(key))
+    own = F.when(F.col("_hot") | F.col(key).isNull(), elsewhere).otherwise(F.col(key))
     joined = met.withColumn("_own", own).join(cold, F.col("_own") == F.col("_key"), "left")
     return joined.select(*rows.columns, *(F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}")).alias(c) for c in columns))
 
