@@ -161,10 +161,10 @@ def test_pipeline_equals_loops(spark, tmp_path):
     rng = random.Random(21)
     texts = [syllables(rng, rng.randint(30, 90)) for _ in range(60)]
     insult = "zargblof"
-    for k in range(24):
-        texts[k] += f" you {insult} thing."
     shared = [syllables(rng, 9) for _ in range(6)]
     texts = [t if k % 3 else t[:150] + "\n" + shared[k % 6] + "\n" + (shared[(k + 1) % 6] if k % 2 else "own end") for k, t in enumerate(texts)]
+    for k in range(24):
+        texts[k] += f" you {insult} thing."
     items = [syllables(rng, 30) for _ in range(4)]
     texts += [f"{syllables(rng, 40)} {items[0].upper()} {syllables(rng, 5)}", f"{items[1]}", f"{syllables(rng, 20)} {items[2][:60]}"]
     near = syllables(rng, 150).split()
