@@ -373,7 +373,7 @@ def image_blocks(spark, d):
 
 
 def _pooled(spark: SparkSession, d: str) -> DataFrame:
-    return patches.pooled(tables.cells(spark, d), _bounds(spark, d), ["theta", "salt"], IMAGE, block=TILE)
+    return patches.pooled(tables.cells(spark, d), _bounds(spark, d), ["theta", "salt"], IMAGE, block=4 * TILE)
 
 
 def image_downsample(spark, d):
