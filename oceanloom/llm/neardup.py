@@ -1,9 +1,11 @@
-"""Operator 9, MinHash near-dedup: improved consistent weighted sampling over counted shingles, banded, verified by weighted Jaccard.
+"""Operator 9, MinHash near-dedup: improved consistent weighted sampling over TF-IDF shingles, banded, verified by weighted Jaccard.
 
-A text's set is its five-word shingles, each weighted by its count.
-Inverse document frequencies aren't used: the near copies of a large group make
-what they share frequent, so these would part them (figures in the README).  Each of 80 samples picks one
-shingle and level with chance proportional to weight; four samples make a band
+A text's set is its five-word shingles, each weighted by its count times its inverse document frequency.  Near copies count once in
+these frequencies (or what the copies of a large group share would be common, and part them): of the texts that share a first, shorter
+band key only the one of least name counts.  The weight is ln((N + SPREAD) / df) / ln(SPREAD) and 1 at most, with df of N such texts: shingles
+of less than one text in SPREAD weigh alike, and a few texts hardly change a weight.  ``idf=False`` weighs by counts alone.
+
+Each of 80 samples picks one shingle and level with chance proportional to weight; four samples make a band
 key.  Texts that share a key are candidates: first against the key's hub
 (its text that meets most others), then, outside the hub's class, against a second hub, at a cost in proportion to the key's
 texts.  Where a key's texts still lie in several classes, pairs across classes are compared too, once each, unless what both
@@ -13,6 +15,7 @@ share with a hub rules a link out; that part can grow faster than the key's text
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,22 +25,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oceanloom.llm import textnum
-from oceanloom.llm.common import cut, id_and_text, small_batches
+from oceanloom.llm.common import cut, id_and_text, remove, shared_folder, small_batches
 
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 POOL_BITS = 12
 PIECE = 2048
+#: Shingles are common from one text in so many on; smoothing is by as many texts without them.
+SPREAD = 1024
+#: Bands of the first keys, under which near copies count once.
+FIRST_BANDS = 5
+#: Shingles and texts that are counted together in a task; candidates reach a quarter of the common share in such a block.
+BLOCK_SHINGLES, BLOCK_TEXTS, LEEWAY = 1 << 22, 1 << 14, 4
 #: For rounding of sums of weights.
 SLACK = 1e-5
 #: Rows of text names that may be broadcast; larger sides are shuffled.
 BROADCAST_ROWS = 200_000
 
 
-def weighted_set(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending shingle hashes and their weights, the counts."""
+#: Ascending hashes of the common shingles, and their inverse document frequencies as shares of the largest.
+Frequencies = tuple[np.ndarray, np.ndarray]
+NONE_COMMON: Frequencies = (np.zeros(0, np.uint64), np.zeros(0, np.float32))
+
+
+def weighted_set(text: str, common: Frequencies = NONE_COMMON) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending shingle hashes and their weights: the counts, times the inverse document frequency of common ones."""
     shingles, tf = textnum.text_shingles(text)
-    return shingles, tf.astype(np.float32)
+    weights = tf.astype(np.float32)
+    if len(common[0]) and len(shingles):
+        at = np.minimum(np.searchsorted(common[0], shingles), len(common[0]) - 1)
+        weights *= np.where(common[0][at] == shingles, common[1][at], np.float32(1))
+    return shingles, weights
 
 
 def shared_weight(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -112,14 +130,14 @@ def band_keys(shingles: np.ndarray, weights: np.ndarray, bands: int, rows: int)
     return key.view(np.int64)
 
 
-def _signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
+def _signatures(docs: DataFrame, bands: int, rows: int, common: Frequencies = NONE_COMMON) -> DataFrame:
     """``doc_id, node, keys, weight``; a node is a text, named by its md5."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             nodes, keys, sums = [], [], []
             for text in b.column("text").to_pylist():
-                s, w = weighted_set(text)
+                s, w = weighted_set(text, common)
                 nodes.append(hashlib.md5(text.encode()).hexdigest())
                 keys.append(band_keys(s, w, bands, rows))
                 sums.append(float(w.astype(np.float64).sum()))
@@ -135,7 +153,80 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return named.join(F.broadcast(nodes) if few else nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
 
 
-def _measured(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+def _counted_once(docs: DataFrame, rows: int) -> DataFrame:
+    """``node`` of the texts that count in document frequencies: those that no text of lesser name shares a first key with."""
+    nodes = cut(_signatures(docs, FIRST_BANDS, rows).groupBy("node").agg(F.first("keys").alias("keys")).where(F.size("keys") > 0))
+    keyed = nodes.select("node", F.explode("keys").alias("key"))
+    led = keyed.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("size")).where("size > 1")
+    return cut(nodes.select("node").join(keyed.join(led, "key").where("node != least").select("node").distinct(), "node", "left_anti"))
+
+
+def common_shingles(docs: DataFrame, rows: int = ROWS, spread: int = SPREAD) -> Frequencies:
+    """The shingles of more than (N + spread) / spread of the N texts that count, and their weights.
+
+    A shingle that common reaches its share in some block of texts; blocks report those that reach a quarter of it, so that their
+    sums miss less than a quarter of a common shingle's texts.  What this leaves, at most spread * 4/3 times
+    a text's mean number of shingles, is counted exactly over all texts and goes to the driver and the tasks.
+    """
+    counting = _counted_once(docs, rows)
+    n = counting.count()
+    if not n:
+        return NONE_COMMON
+    spark, folder = docs.sparkSession, f"{shared_folder(docs.sparkSession)}/texts-{uuid.uuid4().hex}"
+    out = "h BIGINT, df BIGINT"
+
+    def rows_of(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], ["h", "df"])
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: list[np.ndarray] = []
+        held = 0
+
+        def report() -> pa.RecordBatch:
+            hashes, counts = np.unique(np.concatenate(block), return_counts=True)
+            often = counts * (LEEWAY * spread) > len(block)
+            return rows_of(hashes[often], counts[often])
+
+        for b in batches:
+            for text in b.column("text").to_pylist():
+                block.append(textnum.text_shingles(text)[0])
+                held += len(block[-1])
+                if held >= BLOCK_SHINGLES or len(block) >= BLOCK_TEXTS:
+                    yield report()
+                    block, held = [], 0
+        if block:
+            yield report()
+
+    def exactly(wanted: np.ndarray):
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            counts = np.zeros(len(wanted), np.int64)
+            for b in batches:
+                for text in b.column("text").to_pylist():
+                    h = textnum.text_shingles(text)[0]
+                    at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
+                    counts[at[wanted[at] == h]] += 1
+            yield rows_of(wanted[counts > 0], counts[counts > 0])
+
+        return each
+
+    try:
+        _texts(docs, counting).select("text").write.option("compression", "zstd").parquet(folder)
+        texts = spark.read.parquet(folder)
+        summed = texts.mapInArrow(likely, out).groupBy("h").agg(F.sum("df").alias("df"))
+        wanted = summed.where(F.col("df") * (spread * LEEWAY) >= (LEEWAY - 1) * n).where("df > 1").select("h").toArrow()
+        wanted = np.sort(wanted.column("h").to_numpy().view(np.uint64))
+        if not len(wanted):
+            return NONE_COMMON
+        counted = texts.mapInArrow(exactly(wanted), out).groupBy("h").agg(F.sum("df").alias("df"))
+        counted = counted.where(F.col("df") * spread > n + spread).toArrow()
+    finally:
+        remove(spark, folder)
+    h, df = counted.column("h").to_numpy().view(np.uint64), counted.column("df").to_numpy()
+    order = np.argsort(h)
+    return h[order], (np.log((n + spread) / df[order]) / np.log(spread)).astype(np.float32)
+
+
+def _measured(pairs: DataFrame, docs: DataFrame, similarity: float, common: Frequencies = NONE_COMMON) -> DataFrame:
     """``a, b, shared, similar`` of pairs of nodes: the weight they share, and whether their weighted Jaccard reaches the similarity."""
     texts = _texts(docs, cut(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()))
     joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -146,8 +237,8 @@ def _measured(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame
             shared, similar = [], []
             for b, text_a, text_b in zip(*(batch.column(c).to_pylist() for c in ("b", "text_a", "text_b")), strict=True):
                 if last[0] != b:
-                    last = (b, weighted_set(text_b))
-                own = weighted_set(text_a)
+                    last = (b, weighted_set(text_b, common))
+                own = weighted_set(text_a, common)
                 shared.append(shared_weight(own, last[1]))
                 similar.append(weighted_jaccard(own, last[1]) >= similarity)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shared, pa.float64()), pa.array(similar, pa.bool_())], ["a", "b", "shared", "similar"])
@@ -155,13 +246,13 @@ def _measured(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(each, "a STRING, b STRING, shared DOUBLE, similar BOOLEAN")
 
 
-def _lone_mass(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _lone_mass(docs: DataFrame, nodes: DataFrame, common: Frequencies = NONE_COMMON) -> DataFrame:
     """``node, alone``: the weight of a node's shingles that no other of these nodes holds."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for node, text in zip(b.column("node").to_pylist(), b.column("text").to_pylist(), strict=True):
-                shingles, w = weighted_set(text)
+                shingles, w = weighted_set(text, common)
                 yield pa.RecordBatch.from_pydict({"h": pa.array(shingles.view(np.int64)), "node": pa.array([node] * len(shingles), pa.string()), "w": pa.array(w.astype(np.float64))})
 
     held = _texts(docs, nodes).mapInArrow(each, "h BIGINT, node STRING, w DOUBLE")
@@ -191,7 +282,7 @@ def _mixed(placed: DataFrame) -> DataFrame:
     return placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, idf: bool = True) -> DataFrame:
     """``doc_id, node, class_node, class_id`` of every row.
 
     Rows of one class are linked by texts of at least that weighted Jaccard similarity, or have equal texts; ``class_id`` is the
@@ -200,7 +291,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     """
     small_batches(docs.sparkSession)
     own = id_and_text(docs)
-    signed = cut(_signatures(own, bands, rows))
+    common = common_shingles(own, rows) if idf else NONE_COMMON
+    signed = cut(_signatures(own, bands, rows, common))
     nodes = signed.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("keys").alias("keys"), F.first("weight").alias("weight"))
     keyed = cut(nodes.select("node", "weight", F.explode("keys").alias("key")))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
@@ -209,7 +301,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     hubs = met.join(central, "node").groupBy("key").agg(F.max(F.struct("met", "node")).alias("hub")).select("key", F.col("hub.node").alias("hub"), F.col("hub.met").alias("hub_met"))
     spoked = cut(met.join(hubs, "key"))
     ordered = [F.greatest("node", "hub"), F.least("node", "hub")]
-    measured = cut(_measured(cut(spoked.where("node != hub").select(ordered[0].alias("a"), ordered[1].alias("b")).distinct()), own, similarity))
+    measured = cut(_measured(cut(spoked.where("node != hub").select(ordered[0].alias("a"), ordered[1].alias("b")).distinct()), own, similarity, common))
     first = measured.where("similar").select("a", "b")
     found = components(first)
 
@@ -218,7 +310,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     outer = placed.join(placed.where("node = hub").select("key", F.col("component").alias("_c")), "key").where("component != _c")
     others = outer.groupBy("key").agg(F.max(F.struct("met", "node", "component")).alias("o")).select("key", F.col("o.node").alias("hub2"), F.col("o.component").alias("_c2"))
     pairs = placed.join(others, "key").where("component != _c2").select(F.greatest("node", "hub2").alias("a"), F.least("node", "hub2").alias("b")).distinct()
-    more = cut(_measured(cut(pairs.join(measured, ["a", "b"], "left_anti")), own, similarity).where("similar").select("a", "b"))
+    more = cut(_measured(cut(pairs.join(measured, ["a", "b"], "left_anti")), own, similarity, common).where("similar").select("a", "b"))
     first = cut(first.unionByName(more))
     found = components(first)
 
@@ -228,7 +320,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     # texts have met the same, the hub that meets most others of all that a text has met.
     placed = spoked.join(found, "node", "left").select("node", "weight", "key", "hub", "hub_met", F.coalesce("component", "node").alias("component"))
     open_keys = cut(placed.join(_mixed(placed), "key", "left_semi"))
-    lone = _lone_mass(own, cut(open_keys.select("node").distinct()))
+    lone = _lone_mass(own, cut(open_keys.select("node").distinct()), common)
     able = open_keys.join(lone, "node", "left").withColumn("common", F.col("weight") - F.coalesce("alone", F.lit(0.0)))
     able = able.where(F.col("common") >= (similarity - SLACK) * F.col("weight")).join(measured.select("a", "b", "shared").withColumnsRenamed({"a": "_a", "b": "_b"}), (ordered[0] == F.col("_a")) & (ordered[1] == F.col("_b")), "left")
     inside = F.when(F.col("node") == F.col("hub"), F.col("weight")).otherwise(F.col("shared"))
@@ -245,7 +337,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     can_link = (F.col("component_a") > F.col("component_b")) & may_link("inside") & ((F.col("mark_a") != F.col("mark_b")) | may_link("mark_inside"))
     once = F.array_min(F.array_intersect("keys_a", "keys_b")) == left["key"]  # a pair is made at the least of its keys only
     across = left.join(right, (left["key"] == right["key"]) & can_link & once).select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b")).distinct()
-    second = cut(_measured(cut(across.join(first, ["a", "b"], "left_anti")), own, similarity).where("similar").select("a", "b"))
+    second = cut(_measured(cut(across.join(first, ["a", "b"], "left_anti")), own, similarity, common).where("similar").select("a", "b"))
     if second.limit(1).count():
         found = components(first.unionByName(second))
 
@@ -255,9 +347,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     return signed.select("doc_id", "node").join(of_node, "node").select("doc_id", "node", "class_node", "class_id")
 
 
-def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, idf: bool = True) -> DataFrame:
     """One row of each class stays: that of the least id (of repeated rows and equal ids one), all columns as they were."""
-    kept = classes(docs, similarity).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    kept = classes(docs, similarity, idf=idf).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     winners = kept.groupBy("class_node").agg(F.min(F.struct("doc_id", "node")).alias("w")).select(F.col("w.doc_id").alias("_w_id"), F.col("w.node").alias("_w_node"))
     names = docs.columns
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("_node"))

@@ -1,6 +1,8 @@
 """Near duplicates against exact weighted Jaccard over all pairs; the pipeline stage by stage."""
 
+import hashlib
 import itertools
+import math
 import random
 import re
 from collections import Counter
@@ -41,16 +43,60 @@ def families(seed=2):
     return list(enumerate(docs))
 
 
-def classes_by_all_pairs(docs, similarity=0.8):
-    sets = [(i, t, neardup.weighted_set(t)) for i, t in docs]
-    links = [(i, j) for (i, t, a), (j, u, b) in itertools.combinations(sets, 2) if t == u or neardup.weighted_jaccard(a, b) >= similarity]
+def common_by_loops(docs, spread=neardup.SPREAD):
+    """Weights of the common shingles, counted text after text; of texts that share a first key the one of least name counts."""
+    keys = {}
+    for text in {t for _, t in docs}:
+        if (own := neardup.weighted_set(text))[0].size:
+            keys[hashlib.md5(text.encode()).hexdigest()] = text, set(neardup.band_keys(*own, neardup.FIRST_BANDS, neardup.ROWS).tolist())
+    counting = [t for name, (t, k) in keys.items() if not any(other < name and k & theirs for other, (_, theirs) in keys.items())]
+    df = Counter(h for t in counting for h in textnum.text_shingles(t)[0].tolist())
+    n = len(counting)
+    return {h: math.log((n + spread) / c) / math.log(spread) for h, c in df.items() if c > (n + spread) / spread}
+
+
+def classes_by_all_pairs(docs, common, similarity=0.8):
+    bags = [(i, t, {h: c * common.get(h, 1.0) for h, c in zip(*(x.tolist() for x in textnum.text_shingles(t)), strict=True)}) for i, t in docs]
+
+    def alike(a, b):
+        least = sum(min(w, b[h]) for h, w in a.items() if h in b)
+        return least > 0 and least / (sum(a.values()) + sum(b.values()) - least) >= similarity - 1e-9
+
+    links = [(i, j) for (i, t, a), (j, u, b) in itertools.combinations(bags, 2) if t == u or alike(a, b)]
     return partition(links, [i for i, _ in docs])
 
 
 def test_classes_equal_all_pairs(spark):
     docs = families()
     df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
-    assert {r.doc_id: r.class_id for r in neardup.classes(df).collect()} == classes_by_all_pairs(docs)
+    common = common_by_loops(docs)
+    assert len(common) > 50  # the passage that 25 texts share
+    assert {r.doc_id: r.class_id for r in neardup.classes(df).collect()} == classes_by_all_pairs(docs, common)
+    assert {r.doc_id: r.class_id for r in neardup.classes(df, idf=False).collect()} == classes_by_all_pairs(docs, {})
+
+
+def test_near_copies_count_once_and_passages_are_common(spark):
+    """A passage in a third of the texts weighs less; what 120 near copies of one text share weighs as much as anything rare."""
+    rng = random.Random(5)
+    passage, base = syllables(rng, 50), syllables(rng, 200).split()
+    texts = [f"{syllables(rng, 60)} {passage}" for _ in range(100)] + [syllables(rng, 90) for _ in range(200)]
+    for k in range(120):
+        words = list(base)
+        words[(k * 7) % 200] = syllables(rng, 1)
+        texts.append(" ".join(words))
+    docs = list(enumerate(texts)) + [(1000 + k, texts[0]) for k in range(50)]
+    df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING").repartition(7)
+    for spread in (4, 16, neardup.SPREAD):
+        h, w = neardup.common_shingles(df, spread=spread)
+        want = common_by_loops(docs, spread)
+        assert h.tolist() == sorted(want) and np.allclose(w, [want[x] for x in sorted(want)], atol=1e-6)
+        passage_set, base_set = (set(textnum.text_shingles(t)[0].tolist()) for t in (passage, " ".join(base)))
+        assert passage_set <= set(want)
+        if spread == 4:
+            assert not base_set & set(want)
+    _, got = neardup.weighted_set(passage, (h, w))
+    assert (got < 0.7).all()
+    assert neardup.common_shingles(empty(spark).select("doc_id", "text"))[0].size == 0
 
 
 def test_similarity_is_that_of_counted_shingles():
@@ -84,7 +130,7 @@ def test_query_equals_all_pairs(spark):
     sf = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = {r.doc_id: r.class_id for r in QUERIES["op9_neardup"](spark, sf).collect()}
-    assert got == classes_by_all_pairs(docs)
+    assert got == classes_by_all_pairs(docs, common_by_loops(docs))
 
 
 def test_samples_agree_as_often_as_weighted_jaccard():
