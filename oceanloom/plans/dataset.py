@@ -37,6 +37,11 @@ def front_strength(cells: DataFrame) -> DataFrame:
     return gradient.select("face", "j", "i", log_magnitude(stencil.grad_squared()).alias("v"))
 
 
+def with_mask(field: DataFrame, kept: DataFrame) -> DataFrame:
+    """The field beside its mask.  Both have a row for each cell, but the mask is estimated by the packed blocks that it comes from, and would be broadcast."""
+    return field.join(kept.hint("merge"), ["face", "j", "i"])
+
+
 def image_dataset(cells: DataFrame, recipe: Recipe = Recipe()) -> tuple[DataFrame, DataFrame]:
     """``(records, images)`` from cells with ``theta, salt, hfacc, dxc, dyc, cs, sn`` and the channels.
 
@@ -46,10 +51,14 @@ def image_dataset(cells: DataFrame, recipe: Recipe = Recipe()) -> tuple[DataFram
     """
     spark = cells.sparkSession
     folder = f"{shared_folder(spark)}/dataset-{uuid.uuid4().hex}"
+    used = {"face", "j", "i", "theta", "salt", "hfacc", "dxc", "dyc", "cs", "sn", "jb", "ib", *recipe.channels}
     try:
+        # Eight steps read the cells; what they come from is joined once, and its broadcasts don't add up in the driver.
+        cells.select(*[c for c in cells.columns if c in used]).write.parquet(f"{folder}/cells")
+        cells = spark.read.schema(cells.select(*[c for c in cells.columns if c in used]).schema).parquet(f"{folder}/cells")
         masked = cells.select("face", "j", "i", (~F.coalesce(F.col("hfacc") > 0, F.lit(False))).alias("masked"))
         kept = halo.marched(masked, cells, recipe.halo_km, recipe.block)
-        field = front_strength(cells).join(kept, ["face", "j", "i"])
+        field = with_mask(front_strength(cells), kept)
         field.write.parquet(f"{folder}/field")
         field = spark.read.parquet(f"{folder}/field")
         chosen = sampling.weighted_sample(field, recipe.samples, recipe.bias, keep=F.col("retained"), seed=recipe.seed, strict=False)
