@@ -133,14 +133,16 @@ def first_match(df: DataFrame, samples: DataFrame, value: str, order: str, toler
 
     Values go to buckets as wide as the tolerance, and each sample looks in those beside its own: an equi-join instead of a nested
     loop.  Buckets are doubles, which don't overflow; a quotient may round to the next one, so two on either side are looked in.
+    Equal values count as the first of them, and equal samples look once, so copies of either make no pairs.
     """
     if tolerance <= 0:
         raise ValueError("tolerance must be above 0")
     bucket = lambda x: F.rint(x / F.lit(float(tolerance)))
-    asked = samples.select("sample_id", "s", F.explode(F.array_distinct(F.array(*[bucket(F.col("s")) + float(d) for d in (-2, -1, 0, 1, 2)]))).alias("_b"))
-    held = df.where(F.col(value).isNotNull()).select(F.col(order).alias("_order"), F.col(value).alias("_v"), bucket(F.col(value)).alias("_b"))
-    best = asked.join(held, "_b").where(F.abs(F.col("_v") - F.col("s")) < tolerance).groupBy("sample_id").agg(F.min("_order").alias("match"))
-    return samples.select("sample_id", "s").join(best, "sample_id", "left")
+    asked = samples.select("s").distinct().select("s", F.explode(F.array_distinct(F.array(*[bucket(F.col("s")) + float(d) for d in (-2, -1, 0, 1, 2)]))).alias("_b"))
+    firsts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.min(order).alias("_order"))
+    held = firsts.select("_order", "_v", bucket(F.col("_v")).alias("_b"))
+    best = asked.join(held, "_b").where(F.abs(F.col("_v") - F.col("s")) < tolerance).groupBy("s").agg(F.min("_order").alias("match"))
+    return samples.select("sample_id", "s").join(best, "s", "left").select("sample_id", "s", "match")
 
 
 __all__ = ["first_match", "histogram", "inverse_transform_sample", "linear_bin_counts", "linear_sample", "quantiles", "sample_on_pdf", "uniform_sample", "weighted_sample", "weights"]

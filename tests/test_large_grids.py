@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from oceanloom.operators import sampling
 from oceanloom.plans import dataset
 
 
@@ -11,3 +12,11 @@ def test_mask_of_cells_is_never_broadcast(spark):
     assert joined.count() == 500
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_equal_values_and_samples_make_one_pair(spark):
+    df = spark.range(3000).select("id", F.lit(5.0).alias("v"))
+    got = sampling.first_match(df, df.select(F.col("id").alias("sample_id"), F.col("v").alias("s")), "v", "id", 0.01)
+    assert got.where("match = 0").count() == 3000 == got.count()
+    under = got._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[1]
+    assert under.count("Aggregate") == 2  # both sides of the join by buckets are made distinct first
