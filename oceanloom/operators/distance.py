@@ -5,7 +5,7 @@ neighbour.  Its solution is the only one, so blocks that relax on their own and
 come to what one array for the whole face would: values only fall, and a round without a changed border is the end.  Only
 distances below a limit are solved for, so a front enters few blocks, and rounds are about the limit by a block's width.
 
-A task holds one block.  Rounds are written to the shared folder, so each starts from files.
+A task holds one block.  Blocks of a large grid are larger than asked for, up to ``BLOCK``, since each block is a call to Python in each round.  Rounds are written to the shared folder, so each starts from files.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from oceanloom.sources.blocks import side_for
 from oceanloom.sources.scratch import remove, shared_folder
 
 BLOCK = 720
@@ -114,6 +115,7 @@ def distances(mask: DataFrame, spacing: DataFrame, limit: float, block: int = BL
     ``spacing`` has ``face, dx_km, dy_km``.  A face without masked cells has no distances, nor has a wholly masked one.
     """
     spark = mask.sparkSession
+    block = side_for(mask, block)
     folder = f"{shared_folder(spark)}/distance-{uuid.uuid4().hex}"
 
     def solve(own: pa.Table, arrived: pa.Table) -> pa.Table:

@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from oceanloom.schema import nan_to_null
 
 BLOCK = 720
+#: Blocks of a grid, each of which costs a folder or a call to Python; where there would be more, blocks are larger.
+MOST_BLOCKS = 2048
+
+
+def side_for(cells: DataFrame, least: int, most: int | None = None) -> int:
+    """The side of a grid's blocks: ``least``, doubled until there are at most so many blocks, or they have BLOCK cells along a side."""
+    faces = cells.groupBy("face").agg((F.max("j") + 1).alias("nj"), (F.max("i") + 1).alias("ni")).collect()  # a row for each face
+    side, most = least, most or MOST_BLOCKS
+    while side < BLOCK and sum(-(-r["nj"] // side) * -(-r["ni"] // side) for r in faces) > most:
+        side = min(2 * side, BLOCK)
+    return side
 
 
 def write_blocks(df: DataFrame, path: str, block: int = BLOCK, mode: str = "overwrite") -> None:
