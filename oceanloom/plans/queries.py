@@ -368,8 +368,10 @@ def image_pixels(spark, d):
 def image_blocks(spark, d):
     """The pixels from a store in blocks, of which only those that patches touch are read."""
     with _written(spark) as folder:
-        blocks.write_blocks(tables.cells(spark, d).select("face", "j", "i", "theta", "salt"), folder, TILE)
-        return _kept(_round(patches.patch_pixels(blocks.read_blocks(spark, folder), _bounds(spark, d), ["theta", "salt"], block=TILE), "v"))
+        cells = tables.cells(spark, d).select("face", "j", "i", "theta", "salt")
+        side = blocks.side_for(cells, TILE)
+        blocks.write_blocks(cells, folder, side)
+        return _kept(_round(patches.patch_pixels(blocks.read_blocks(spark, folder), _bounds(spark, d), ["theta", "salt"], block=side), "v"))
 
 
 def _pooled(spark: SparkSession, d: str) -> DataFrame:
