@@ -165,7 +165,8 @@ def common_shingles(docs: DataFrame, rows: int = ROWS, spread: int = SPREAD) ->
     """The shingles of more than (N + spread) / spread of the N texts that count, and their weights.
 
     A shingle that common reaches its share in some block of texts; blocks report those that reach a quarter of it, so that their
-    sums miss less than a quarter of a common shingle's texts.  What this leaves, at most spread * 4/3 times
+    sums miss less than a quarter of a common shingle's texts.  Tasks have at least a full block of texts, however
+    the table is dealt out.  What this leaves, at most spread * 4/3 times
     a text's mean number of shingles, is counted exactly over all texts and goes to the driver and the tasks.
     """
     counting = _counted_once(docs, rows)
@@ -179,30 +180,36 @@ def common_shingles(docs: DataFrame, rows: int = ROWS, spread: int = SPREAD) ->
         return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], ["h", "df"])
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full: list[np.ndarray] = []
         block: list[np.ndarray] = []
         held = 0
 
-        def report() -> pa.RecordBatch:
+        def report(block: list[np.ndarray]) -> pa.RecordBatch:
             hashes, counts = np.unique(np.concatenate(block), return_counts=True)
             often = counts * (LEEWAY * spread) > len(block)
             return rows_of(hashes[often], counts[often])
 
         for b in batches:
-            for text in b.column("text").to_pylist():
-                block.append(textnum.text_shingles(text)[0])
+            for own in b.column("shingles").to_pylist():
+                block.append(np.frombuffer(own, np.uint64))
                 held += len(block[-1])
                 if held >= BLOCK_SHINGLES or len(block) >= BLOCK_TEXTS:
-                    yield report()
-                    block, held = [], 0
-        if block:
-            yield report()
+                    if full:
+                        yield report(full)
+                    full, block, held = block, [], 0
+        if full or block:  # what remains goes with the last full block: in few texts each shingle would reach its share
+            yield report(full + block)
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([textnum.text_shingles(t)[0].tobytes() for t in b.column("text").to_pylist()], pa.binary())], ["shingles"])
 
     def exactly(wanted: np.ndarray):
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.zeros(len(wanted), np.int64)
             for b in batches:
-                for text in b.column("text").to_pylist():
-                    h = textnum.text_shingles(text)[0]
+                for own in b.column("shingles").to_pylist():
+                    h = np.frombuffer(own, np.uint64)
                     at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
                     counts[at[wanted[at] == h]] += 1
             yield rows_of(wanted[counts > 0], counts[counts > 0])
@@ -210,9 +217,9 @@ def common_shingles(docs: DataFrame, rows: int = ROWS, spread: int = SPREAD) ->
         return each
 
     try:
-        _texts(docs, counting).select("text").write.option("compression", "zstd").parquet(folder)
-        texts = spark.read.parquet(folder)
-        summed = texts.mapInArrow(likely, out).groupBy("h").agg(F.sum("df").alias("df"))
+        _texts(docs, counting).select("text").mapInArrow(shingled, "shingles BINARY").write.option("compression", "none").parquet(folder)
+        texts = spark.read.schema("shingles BINARY").parquet(folder)
+        summed = texts.coalesce(max(1, n // BLOCK_TEXTS)).mapInArrow(likely, out).groupBy("h").agg(F.sum("df").alias("df"))
         wanted = summed.where(F.col("df") * (spread * LEEWAY) >= (LEEWAY - 1) * n).where("df > 1").select("h").toArrow()
         wanted = np.sort(wanted.column("h").to_numpy().view(np.uint64))
         if not len(wanted):
