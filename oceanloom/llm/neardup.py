@@ -37,6 +37,8 @@ SPREAD = 1024
 FIRST_BANDS = 5
 #: Shingles and texts that are counted together in a task; candidates reach a quarter of the common share in such a block.
 BLOCK_SHINGLES, BLOCK_TEXTS, LEEWAY = 1 << 22, 1 << 14, 4
+#: Rows of a batch in which a block's counts are reported.
+REPORT_ROWS = 1 << 16
 #: For rounding of sums of weights.
 SLACK = 1e-5
 #: Rows of text names that may be broadcast; larger sides are shuffled.
@@ -161,6 +163,37 @@ def _counted_once(docs: DataFrame, rows: int) -> DataFrame:
     return cut(nodes.select("node").join(keyed.join(led, "key").where("node != least").select("node").distinct(), "node", "left_anti"))
 
 
+def frequent(hashes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values that stand there at least so often, ascending, and how often.  The hashes are sorted in place: ``np.unique`` with counts takes five times their memory."""
+    hashes.sort()
+    first = hashes[: max(0, len(hashes) - least + 1)]
+    often = first[first == hashes[least - 1 :]]
+    often = often[np.diff(often, prepend=~often[:1]) != 0]
+    return often, np.searchsorted(hashes, often, "right") - np.searchsorted(hashes, often)
+
+
+def likely_common(texts: Iterator[np.ndarray], share: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each block of texts the shingles of more than one text in ``share``, and their counts; texts are arrays of distinct shingles.
+
+    What remains goes with the last full block: in few texts each shingle would reach its share.  No more than two blocks are held, in one array.
+    """
+    held = np.empty(2 * BLOCK_SHINGLES + BLOCK_SHINGLES // 4, np.uint64)  # a block ends with a whole text
+    full = full_texts = end = n = 0  # where the full block ends, and the one that is being filled
+    for own in texts:
+        if end + len(own) > len(held):
+            held = np.concatenate([held[:end], np.empty(len(own) + BLOCK_SHINGLES, np.uint64)])
+        held[end : end + len(own)] = own
+        end, n = end + len(own), n + 1
+        if end - full >= BLOCK_SHINGLES or n - full_texts >= BLOCK_TEXTS:
+            if full_texts:
+                yield frequent(held[:full], full_texts // share + 1)
+                held[: end - full] = held[full:end]
+                end, n = end - full, n - full_texts
+            full, full_texts = end, n
+    if n:
+        yield frequent(held[:end], n // share + 1)
+
+
 def common_shingles(docs: DataFrame, rows: int = ROWS, spread: int = SPREAD) -> Frequencies:
     """The shingles of more than (N + spread) / spread of the N texts that count, and their weights.
 
@@ -180,25 +213,10 @@ def common_shingles(docs: DataFrame, rows: int = ROWS, spread: int = SPREAD) ->
         return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], ["h", "df"])
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        full: list[np.ndarray] = []
-        block: list[np.ndarray] = []
-        held = 0
-
-        def report(block: list[np.ndarray]) -> pa.RecordBatch:
-            hashes, counts = np.unique(np.concatenate(block), return_counts=True)
-            often = counts * (LEEWAY * spread) > len(block)
-            return rows_of(hashes[often], counts[often])
-
-        for b in batches:
-            for own in b.column("shingles").to_pylist():
-                block.append(np.frombuffer(own, np.uint64))
-                held += len(block[-1])
-                if held >= BLOCK_SHINGLES or len(block) >= BLOCK_TEXTS:
-                    if full:
-                        yield report(full)
-                    full, block, held = block, [], 0
-        if full or block:  # what remains goes with the last full block: in few texts each shingle would reach its share
-            yield report(full + block)
+        texts = (np.frombuffer(own, np.uint64) for b in batches for own in b.column("shingles").to_pylist())
+        for hashes, counts in likely_common(texts, LEEWAY * spread):
+            for at in range(0, len(hashes), REPORT_ROWS):
+                yield rows_of(hashes[at : at + REPORT_ROWS], counts[at : at + REPORT_ROWS])
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
