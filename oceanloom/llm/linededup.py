@@ -257,6 +257,23 @@ def _spokes(signed: DataFrame, similarity: float) -> DataFrame:
     return rows.select("sig", "v.*", "size", hub["doc"].alias("doc0"), hub["line"].alias("line0"), gap.alias("gap"))
 
 
+def _renamed(rows: DataFrame) -> DataFrame:
+    """Rows of signatures as the earlier lines of pairs."""
+    return rows.select("sig", *[F.col(c).alias(f"{c}0") for c in ABOUT])
+
+
+def _partners(open_lines: DataFrame, crowd: DataFrame, able: Column, keep: Keep) -> tuple[DataFrame, DataFrame]:
+    """The open lines' rows that an earlier row of their signature may match, and these earlier rows (``doc0, line0, ..``).
+
+    Most lines of a signature only happen to share it.  A match passes the filters at each signature that both lines have, so
+    every row of it is here; a row is one at most, however many it may match.
+    """
+    before = _renamed(crowd).withColumnRenamed("sig", "sig0")
+    here = (F.col("sig") == F.col("sig0")) & able
+    later = keep(open_lines.join(before, here, "left_semi"))
+    return later, keep(before.join(later, here, "left_semi")).withColumnRenamed("sig0", "sig")
+
+
 def _later_matches(docs: DataFrame, similarity: float, keep: Keep) -> DataFrame:
     spark = docs.sparkSession
     rows = numbered(docs)
@@ -278,25 +295,25 @@ def _later_matches(docs: DataFrame, similarity: float, keep: Keep) -> DataFrame:
     still = _if_small(settled)
     crowd = spokes.where("doc0 IS NULL").drop("doc0", "line0", "gap")
     open_lines = keep(crowd.join(still, ["doc", "line"], "left_anti"))
-    crowd = crowd.join(_if_small(open_lines.select("sig").distinct()), "sig", "left_semi")
-    beside = lambda df, *more: df.select("sig", *[F.col(c).alias(f"{c}0") for c in (*ABOUT, *more)])
     able = _is_later(_own(), _own("0")) & _may_match(similarity, _own(), _own("0"))
     few = F.col("size") < CROWDED
-    in_few = open_lines.where(few).join(beside(crowd.where(few)), "sig").where(able)
+    in_few = open_lines.where(few).join(_renamed(crowd.where(few)), "sig").where(able)
 
     names = ["doc", "line", "doc0", "line0"]
     single = keep(pairs.join(still, ["doc", "line"], "left_anti").select(*names).unionByName(in_few.select(*names)).distinct().join(tried, names, "left_anti"))
 
-    many = keep(crowd.where(~few))
-    least = keep(many.groupBy("doc", "line").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, LEAST_FEW).alias("least")))
+    later, earlier = _partners(open_lines.where(~few), crowd.where(~few), able, keep)
+    least = later.select("doc", "line", "sig").unionByName(earlier.select(F.col("doc0").alias("doc"), F.col("line0").alias("line"), "sig"))
+    least = keep(least.groupBy("doc", "line").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, LEAST_FEW).alias("least")))
     held = keep(_words_of(keep(_both_of(single).unionByName(least.select("doc", "line")).distinct()), rows))
     fine = [f"fine{k}" for k in range(FINE_PARTS)]
-    many = keep(many.join(least.join(held, ["doc", "line"]).select("doc", "line", "least", *[_fine(F.col("k"), k).alias(c) for k, c in enumerate(fine)]), ["doc", "line"]))
+    told = keep(least.join(held, ["doc", "line"]).select("doc", "line", "least", *[_fine(F.col("k"), k).alias(c) for k, c in enumerate(fine)]))
     elsewhere = F.coalesce(F.array_min(F.array_intersect("least", "least0")) < F.col("sig"), F.lit(False))
     differing = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}0"))) for c in fine)
     n, m = (F.shiftrightunsigned(c, 16) for c in ("about", "about0"))
     apart = (differing > (n + m) * ((1 - similarity) / (1 + similarity)) + 1e-9) & (n < FULL) & (m < FULL)
-    in_many = many.join(still, ["doc", "line"], "left_anti").join(beside(many, "least", *fine), "sig").where(able & ~elsewhere & ~apart)
+    told0 = told.select(*[F.col(c).alias(f"{c}0") for c in told.columns])
+    in_many = later.join(told, ["doc", "line"]).join(earlier.join(told0, ["doc0", "line0"]), "sig").where(able & ~elsewhere & ~apart)
     rest = keep(single.unionByName(in_many.select(*names)).distinct())
     found = keep(_verified(rest, held, similarity).distinct())
     return same.unionByName(settled).unionByName(found)

@@ -177,6 +177,17 @@ def test_line_dedup_of_a_large_group_just_below_the_threshold(spark):
     assert want and {(r.doc_id, r.line_no) for r in linededup.removed_lines(df).collect()} == want
 
 
+def test_line_dedup_leaves_lines_that_only_share_a_signature(spark, monkeypatch):
+    """40 lines share their two rarest words and no other: none is read as words again, but for the pair of near copies among them."""
+    docs = [(d, " ".join(["aa", "bb", *(f"own{d}x{k}" for k in range(12) for _ in range(60))])) for d in range(40)]
+    docs.append((50, docs[30][1].replace("own30x3", "other")))
+    wanted, words_of = set(), linededup._words_of
+    monkeypatch.setattr(linededup, "_words_of", lambda lines, rows: wanted.update(r.doc for r in lines.collect()) or words_of(lines, rows))
+    df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    assert {(r.doc_id, r.line_no) for r in linededup.removed_lines(df).collect()} == removed_by_loop(docs) == {(50, 0)}
+    assert wanted == {30, 50}
+
+
 @pytest.mark.parametrize("t", [0.6, 0.9])
 def test_line_dedup_at_other_thresholds(spark, t):
     docs = edited_lines(7)
