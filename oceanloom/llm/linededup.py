@@ -91,22 +91,20 @@ def rarity_levels(rows: DataFrame) -> bytes:
     return bytes(min(MOST_LEVEL, 1 + int(LEVELS * log2(1 + counts.get(c, 0)))) for c in range(CLASSES))
 
 
-def _distinct_words(line: Column, number: Callable[[Column], Column]) -> Column:
-    """The numbers of the line's distinct words; spaces at an end or beside each other make no word."""
-    each = F.array_distinct(F.transform(F.split(F.lower(line), " "), lambda w: number(F.xxhash64(w))))
-    loose = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
-    return F.when(loose, F.array_remove(each, number(F.xxhash64(F.lit(""))))).otherwise(each)
-
-
 def word_hashes(line: Column) -> Column:
-    return _distinct_words(line, lambda h: h)
+    """The hashes of the line's distinct words; spaces at an end or beside each other make no word."""
+    return F.array_remove(F.array_distinct(F.transform(F.split(F.lower(line), " "), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def word_keys(line: Column, levels: bytes) -> Column:
-    """The line's distinct words as numbers whose order is the rarity order: the class's level, then 56 bits of hash."""
-    level = lambda h: F.ascii(F.call_function("substring", F.lit(levels), _class_of(h).cast("int") + 1, F.lit(1)).cast("string"))
-    key = lambda h: F.shiftleft(level(h).cast("bigint"), HASH_BITS).bitwiseOR(h.bitwiseAND((1 << HASH_BITS) - 1))
-    return F.sort_array(_distinct_words(line, key))
+    """The line's distinct words as numbers whose order is the rarity order: the class's level, then 56 bits of hash.
+
+    Each distinct word is looked up once, in a constant array whose few values share their objects.  The default can't occur: it says that no
+    element is null, so that plain numbers are sorted.
+    """
+    of_class = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
+    level = lambda h: F.coalesce(F.get(of_class, _class_of(h).cast("int")), F.lit(0).cast("bigint"))
+    return F.sort_array(F.transform(word_hashes(line), lambda h: F.shiftleft(level(h), HASH_BITS).bitwiseOR(h.bitwiseAND((1 << HASH_BITS) - 1))))
 
 
 def _placed(rows: DataFrame, doc_id: Column, text: Column) -> DataFrame:
@@ -135,19 +133,30 @@ def lines(rows: DataFrame) -> DataFrame:
     return each.where(F.trim("value") != "").select("doc", (F.shiftleft("nth", 32) + F.col("p")).alias("line"), "value")
 
 
+def _most_neighbours(n: Column, t: float) -> Column:
+    """The most of 2(n-o) + (m-o) + 1 over all whole m >= tn, where o is the least whole number of shared words, t/(1+t) * (n+m) or more.
+
+    With s = n+m this is n + 1 + s - 3o.  Without rounding s - 3o falls by q - 1 for each word, q = 3t/(1+t), and rounding takes less than 3 off,
+    so no s that lies more than 3/(q-1) above the least one has the most.
+    """
+    share = t / (1 + t)
+    least = n + F.ceil(n * t - 1e-9)
+    each = [least + k - 3 * F.ceil((least + k) * share - 1e-9) for k in range(int(3 / (3 * share - 1)) + 2)]
+    return (n + 1 + F.greatest(*each)).cast("int")
+
+
 def signatures(keyed: DataFrame, similarity: float) -> DataFrame:
     """``sig, doc, line, about, odd, wide`` from ``doc, line, k``; about holds the set's size and the signature's place in
     its order (16 bits), odd the parity of its words in each of 64 hash classes, wide that of half its words (for large sets).
 
     Sets of n and m words at Jaccard t share o >= t/(1+t) * (n+m) words.  The first unbroken neighbours end by word
-    2(n-o) + (m-o) + 2 of the first set, which is (2-q)n - (q-1)m + 2 at most with q = 3t/(1+t), and m >= tn.  A set of one word is its own
+    2(n-o) + (m-o) + 2 of the first set; ``_most_neighbours`` has the most of this.  With q = 3t/(1+t): a set of one word is its own
     signature.  Unbroken neighbours are sure where q(n+m) > n+m+1, so for all sets of two words or more where q > 5/4; below
     that, each of the first n - tn + 1 words is a signature.
     """
     q = 3 * similarity / (1 + similarity)
     n, neighbours = F.size("k"), q > 1.25
-    share = (2 - q) - (q - 1) * similarity if neighbours else 1 - similarity
-    count = F.greatest(F.lit(1), F.least(n - 1 if neighbours else n, F.floor(n * share + 1e-9).cast("int") + 1))
+    count = F.greatest(F.lit(1), F.least(n - 1, _most_neighbours(n, similarity)) if neighbours else F.least(n, F.floor(n * (1 - similarity) + 1e-9).cast("int") + 1))
     one = F.lit(1).cast("bigint")
     bits = lambda words: F.aggregate(words, F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", one, w.bitwiseAND(PARITY_BITS - 1).cast("int"))))
     half = F.filter("k", lambda w: w.bitwiseAND(PARITY_BITS) != 0)

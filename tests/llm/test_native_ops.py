@@ -188,6 +188,26 @@ def test_line_dedup_leaves_lines_that_only_share_a_signature(spark, monkeypatch)
     assert wanted == {30, 50}
 
 
+@pytest.mark.parametrize("t", [0.72, 0.8, 0.9])
+def test_lines_have_no_more_signatures_than_whole_words_need(spark, t):
+    """For each size: the last place, over all partners and overlaps that reach t, where the first unbroken neighbours can stand."""
+    most = {n: max(2 * (n - o) + (m - o) + 1 for m in range(1, int(n / t) + 2) for o in range(1, min(n, m) + 1) if o >= t * (n + m - o) - 1e-9) for n in range(1, 101)}
+    sets = spark.createDataFrame([(n, 0, list(range(n))) for n in most], "doc BIGINT, line BIGINT, k ARRAY<BIGINT>")
+    got = {r.doc: r["count"] for r in linededup.signatures(sets, t).groupBy("doc").count().collect()}
+    assert got == {n: max(1, min(n - 1, x)) for n, x in most.items()}
+
+
+def test_line_words_are_looked_up_once_and_sorted_as_plain_numbers(spark):
+    line, levels = "The  cat the\u00c9 CAT the end ", bytes(1 + k % 126 for k in range(linededup.CLASSES))
+    frame = spark.createDataFrame([(line,), ("",), (" ",)], "value STRING").select("value", linededup.word_keys(F.col("value"), levels).alias("k"))
+    assert not frame.schema["k"].dataType.containsNull
+    hashes = {r.w: r.h for r in spark.createDataFrame([(w,) for w in set(line.lower().split())], "w STRING").select("w", F.xxhash64("w").alias("h")).collect()}
+    want = sorted(levels[(h % 2**64) >> 48] << 56 | h % 2**56 for h in hashes.values())
+    assert {r.value: r.k for r in frame.collect()} == {line: want, "": [], " ": []}
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(") == 1 and "contains(" not in plan
+
+
 @pytest.mark.parametrize("t", [0.6, 0.9])
 def test_line_dedup_at_other_thresholds(spark, t):
     docs = edited_lines(7)
